@@ -51,3 +51,71 @@ def obs_per_datastream(spark, sf_dir) -> DataFrame:
                  F.min("phenomenon_time").alias("first_time"),
                  F.max("phenomenon_time").alias("last_time"),
                  F.round(F.sum("result"), 2).alias("sum_result")))
+
+
+# --------------------------------------------------------------- step 2
+@query
+def thing_table(spark, sf_dir) -> DataFrame:
+    """One Thing per station."""
+    from tidewater.plans import entities
+    t = entities.things(catalog(spark, sf_dir))
+    p = F.col("properties")
+    return t.select("thing_id", "thing_key", "name", "description",
+                    p["district"].alias("district"), p["watershed"].alias("watershed"),
+                    p["territoryOfOrigin"].alias("territory"),
+                    F.size(p["responsibleParties"]).alias("n_parties"),
+                    F.array_join(F.transform(p["responsibleParties"], lambda x: x["code"]), ",").alias("party_codes"))
+
+
+@query
+def location_table(spark, sf_dir) -> DataFrame:
+    """station coordinates; elevation optional."""
+    from tidewater.plans import entities
+    loc = entities.locations(catalog(spark, sf_dir))
+    return loc.select("location_id", "thing_id", F.col("lon").cast("double").alias("lon"),
+                      F.col("lat").cast("double").alias("lat"),
+                      F.col("elevation").cast("double").alias("elevation"),
+                      F.size("location.coordinates").alias("n_coords"))
+
+
+@query
+def datastream_table(spark, sf_dir) -> DataFrame:
+    """One Datastream per (station, registered quantity)
+    whose quantity has a unit."""
+    from tidewater.plans import entities
+    d = entities.datastreams(catalog(spark, sf_dir))
+    p = F.col("properties")
+    return d.select("datastream_id", "thing_id", "sensor_id", "observed_property_id", "datastream_key", "name",
+                    "description", F.col("unitOfMeasurement.symbol").alias("uom_symbol"),
+                    F.col("unitOfMeasurement.name").alias("uom_name"), p["annalVersion"].alias("version"),
+                    p["aggregationPeriod"].alias("aggregation_period"),
+                    p["aggregationStatistic"].alias("aggregation_statistic"),
+                    p["sampledMedium"].alias("sampled_medium"), p["district"].alias("district"))
+
+
+@query
+def sensor_table(spark, sf_dir) -> DataFrame:
+    """Sensors keyed by datastream, labelled by class."""
+    from tidewater.plans import entities
+    s = entities.sensors(catalog(spark, sf_dir))
+    return s.select("sensor_id", "datastream_id", "name", F.col("properties.annalsSensorId").alias("sensor_class"))
+
+
+@query
+def observed_property_table(spark, sf_dir) -> DataFrame:
+    """One ObservedProperty per quantity URI."""
+    from tidewater.plans import entities
+    o = entities.observed_properties(catalog(spark, sf_dir))
+    return o.select("observed_property_id", "definition", "name", "description",
+                    F.col("properties")["variableCode"].alias("variable_code"))
+
+
+@query
+def lookup_last_wins(spark, sf_dir) -> DataFrame:
+    """S1 + W5: station registry revisions (one per order of the station's
+    customer, in order-key order); a repeated station key keeps its last row."""
+    from tidewater.operators import lookups
+    from tidewater.plans.catalog import SITE_KEYS
+    rev = DriverTables(spark, sf_dir).station_revisions()
+    t = lookups.keyed_table(rev, SITE_KEYS)
+    return t.select(*SITE_KEYS, F.col("_ord").alias("revision"), F.col("Z_MSLM").alias("elevation_text"))

@@ -212,6 +212,17 @@ class DriverTables:
             self._elevation_text().alias("Z_MSLM"),
             F.col("c_custkey").alias("_ord"))
 
+    def station_revisions(self) -> DataFrame:
+        """Station rows re-issued once per order of the station's customer
+        (repeated keys; ``_ord`` = order key, elevation from the order total)."""
+        o = self.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+        sites = self._customer_sites().select("c_custkey", "c_name", "n_name", "r_name")
+        cents = F.round(F.col("o_totalprice") * 100).cast("long")
+        return (o.join(sites, o.o_custkey == sites.c_custkey)
+                .select(F.col("r_name").alias("COMPARTIMENTO"), F.col("n_name").alias("ALIAS_BACINO"),
+                        F.col("c_name").alias("ALIAS_STAZIONE"), _decimal_text(cents, 2, ".").alias("Z_MSLM"),
+                        F.col("o_orderkey").alias("_ord")))
+
     def series(self) -> DataFrame:
         """Series catalogue: one row per (station, registered quantity)."""
         sites = self._customer_sites()
