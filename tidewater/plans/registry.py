@@ -119,3 +119,103 @@ def lookup_last_wins(spark, sf_dir) -> DataFrame:
     rev = DriverTables(spark, sf_dir).station_revisions()
     t = lookups.keyed_table(rev, SITE_KEYS)
     return t.select(*SITE_KEYS, F.col("_ord").alias("revision"), F.col("Z_MSLM").alias("elevation_text"))
+
+
+# --------------------------------------------------------------- step 3
+SHOWCASE_BATCH = 5  # observations per batch file in the batch queries
+
+
+def _mapped(spark, sf_dir):
+    return mapping.map_observations(catalog(spark, sf_dir))
+
+
+def _batched(spark, sf_dir):
+    from tidewater.operators import batches
+    return batches.number_batches(_mapped(spark, sf_dir), "datastream_key", "_ord", SHOWCASE_BATCH)
+
+
+@query
+def entity_ids(spark, sf_dir) -> DataFrame:
+    """Hashes and ids of every datastream's keys."""
+    from tidewater.functions import ids
+    d = catalog(spark, sf_dir).datastreams()
+    return d.select("thing_key", "datastream_key", ids.fnv_hash("datastream_key").alias("key_hash"),
+                    "thing_id", ids.entity_id("thing_key", ids.LOCATION_OFFSET).alias("location_id"),
+                    "datastream_id", "sensor_id", "observed_property_id")
+
+
+@query
+def observation_ids(spark, sf_dir) -> DataFrame:
+    """id from the per-datastream prefix state equals the id from the full
+    ``key || NUL || time`` hash."""
+    from tidewater.functions import ids
+    g = _mapped(spark, sf_dir).select("datastream_key", "phenomenon_time", "obs_id").distinct()
+    g = g.withColumn("_full", F.concat("datastream_key", F.expr("chr(0)"), "phenomenon_time"))
+    return g.select("datastream_key", "phenomenon_time", "obs_id",
+                    ids.observation_id_from_hash(ids.fnv_hash("_full")).alias("obs_id_full"))
+
+
+@query
+def batch_numbers(spark, sf_dir) -> DataFrame:
+    """Batch number and position per datastream in arrival order."""
+    return _batched(spark, sf_dir).select("obs_id", "datastream_key", "_ord", "batch_no", "batch_pos") \
+        .withColumnRenamed("_ord", "arrival")
+
+
+@query
+def batch_extent_first(spark, sf_dir) -> DataFrame:
+    """W3 (D7): request index after moving the earliest and latest first."""
+    from tidewater.operators import batches
+    e = batches.extent_first(_batched(spark, sf_dir), "datastream_key", "phenomenon_time")
+    return e.select(F.col("_ord").alias("arrival"), "datastream_key", "batch_no", "request_idx")
+
+
+@query
+def batch_upload_order(spark, sf_dir) -> DataFrame:
+    """Upload rank of each batch file: first, last, then the middle."""
+    from tidewater.operators import batches
+    bt = _batched(spark, sf_dir).groupBy("datastream_key", "batch_no").agg(F.count(F.lit(1)).alias("n_obs"))
+    return batches.upload_order(bt, "datastream_key").select("datastream_key", "batch_no", "n_obs", "upload_rank")
+
+
+@query
+def batch_documents(spark, sf_dir) -> DataFrame:
+    """Batch documents; request count and the first two request
+    times (earliest, latest) per document."""
+    from tidewater.operators import batches
+    e = batches.extent_first(_batched(spark, sf_dir), "datastream_key", "phenomenon_time")
+    e = e.withColumn("iot_id", F.col("obs_id")).withColumn("phenomenonTime", F.col("phenomenon_time"))
+    docs = batches.batch_documents(e, "datastream_key", "datastream_id", ["iot_id", "phenomenonTime", "result"])
+    r = F.col("doc.requests")
+    return docs.select("datastream_key", "batch_no", "file_name", batches.request_count().alias("n_requests"),
+                       r[0]["body"]["phenomenonTime"].alias("first_time"),
+                       F.when(F.size(r) > 1, r[1]["body"]["phenomenonTime"]).alias("second_time"),
+                       r[0]["url"].alias("url"))
+
+
+RESUME_SPLIT = "2024-01-16T00:00:00Z"
+
+
+@query
+def batch_resume(spark, sf_dir) -> DataFrame:
+    """K4: observations before the split are already written in batches; the
+    rest is numbered after the highest existing batch of its datastream."""
+    from tidewater.operators import batches
+    g = _mapped(spark, sf_dir)
+    old = g.filter(F.col("phenomenon_time") < RESUME_SPLIT)
+    new = g.filter(F.col("phenomenon_time") >= RESUME_SPLIT)
+    old_b = batches.number_batches(old, "datastream_key", "_ord", SHOWCASE_BATCH)
+    new_b = batches.number_batches(new, "datastream_key", "_ord", SHOWCASE_BATCH)
+    existing = old_b.select("datastream_key", "batch_no").distinct()
+    res = batches.resume_numbering(new_b, existing, "datastream_key")
+    return res.select(F.col("_ord").alias("arrival"), "datastream_key", "batch_no", "batch_pos")
+
+
+@query
+def run_batches(spark, sf_dir) -> DataFrame:
+    """Legacy runs -- per district file in arrival order, a new run starts
+    when the datastream changes."""
+    from tidewater.operators import batches
+    g = _mapped(spark, sf_dir)
+    r = batches.runs(g, "COMPARTIMENTO", "_ord", "datastream_key")
+    return r.select(F.col("_ord").alias("arrival"), "COMPARTIMENTO", "datastream_key", "run_no")
