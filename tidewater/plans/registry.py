@@ -219,3 +219,110 @@ def run_batches(spark, sf_dir) -> DataFrame:
     g = _mapped(spark, sf_dir)
     r = batches.runs(g, "COMPARTIMENTO", "_ord", "datastream_key")
     return r.select(F.col("_ord").alias("arrival"), "COMPARTIMENTO", "datastream_key", "run_no")
+
+
+# --------------------------------------------------------------- step 4
+def _entities(spark, sf_dir):
+    from tidewater.plans import report
+    return report.build(catalog(spark, sf_dir))
+
+
+def _utc_text(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+@query
+def entity_counts(spark, sf_dir) -> DataFrame:
+    """Rows per collection."""
+    from tidewater.plans import report
+    return report.counts(_entities(spark, sf_dir))
+
+
+@query
+def bbox(spark, sf_dir) -> DataFrame:
+    """Bounding box of all location coordinates."""
+    from tidewater.plans import report
+    return report.bbox(_entities(spark, sf_dir))
+
+
+@query
+def elevation_stats(spark, sf_dir) -> DataFrame:
+    """Elevation count, min, max, median, mean; locations without one."""
+    from tidewater.plans import report
+    e = report.elevation(_entities(spark, sf_dir))
+    return e.select("n_elevations", "min_elevation", "max_elevation", "median_elevation",
+                    F.round("mean_elevation", 4).alias("mean_elevation"), "locations_without_elevation")
+
+
+@query
+def period_stats(spark, sf_dir) -> DataFrame:
+    """Datastream phenomenonTime coverage."""
+    from tidewater.plans import report
+    p = report.periods(_entities(spark, sf_dir))
+    return p.select("datastreams_scanned", "missing", "unparseable", "zero_length", "sampled",
+                    _utc_text("overall_start").alias("overall_start"), _utc_text("overall_end").alias("overall_end"),
+                    "span_s", "shortest_id", "shortest_s", "longest_id", "longest_s",
+                    F.col("median_s").cast("double").alias("median_s"), "median_text")
+
+
+@query
+def obs_count_stats(spark, sf_dir) -> DataFrame:
+    """Observations per datastream (one groupBy, not n+1 counts)."""
+    from tidewater.plans import report
+    c = report.observation_counts(_entities(spark, sf_dir))
+    return c.withColumn("mean_obs", F.round("mean_obs", 4))
+
+
+@query
+def property_tally(spark, sf_dir) -> DataFrame:
+    """Tallies of datastream properties and observation type."""
+    from tidewater.plans import report
+    return report.tallies(_entities(spark, sf_dir)).filter(F.col("property") != "unitOfMeasurement")
+
+
+@query
+def unit_tally(spark, sf_dir) -> DataFrame:
+    """Tally of unit texts."""
+    from tidewater.plans import report
+    return report.tallies(_entities(spark, sf_dir)).filter(F.col("property") == "unitOfMeasurement")
+
+
+@query
+def observed_property_stats(spark, sf_dir) -> DataFrame:
+    """Datastreams and observations per ObservedProperty."""
+    from tidewater.plans import report
+    return report.observed_properties(_entities(spark, sf_dir)).select(
+        "observed_property_id", "name", "n_datastreams", "n_observations")
+
+
+@query
+def phenomenon_time(spark, sf_dir) -> DataFrame:
+    """Observed interval per datastream."""
+    from tidewater.operators import stats
+    obs = _mapped(spark, sf_dir)
+    return stats.phenomenon_interval(obs, "datastream_id", "phenomenon_ts").select("datastream_id", "phenomenonTime")
+
+
+@query
+def iso_period(spark, sf_dir) -> DataFrame:
+    """Series period (series override, else quantity) -> value, unit."""
+    from tidewater.functions.time import iso_period as parse
+    cat = catalog(spark, sf_dir)
+    s = cat.series().select("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA",
+                            F.col("AGGREGATION_PERIOD").alias("_sp"))
+    q = cat.quantities().select("GRANDEZZA", F.col("AGGREGATION_PERIOD").alias("_qp"))
+    j = s.join(F.broadcast(q), "GRANDEZZA")
+    from tidewater.functions.text import key_text
+    j = j.withColumn("period_text", F.coalesce("_sp", "_qp"))
+    v, u = parse("period_text")
+    return j.select(key_text("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA").alias("datastream_key"),
+                    "period_text", v.alias("period_value"), u.alias("period_unit"))
+
+
+@query
+def duration_text(spark, sf_dir) -> DataFrame:
+    """Duration of each datastream's observed interval as text."""
+    from tidewater.functions.time import duration_text as fmt, parse_interval
+    t = phenomenon_time(spark, sf_dir)
+    s, e, d = parse_interval("phenomenonTime")
+    return t.select("datastream_id", d.alias("duration_s"), fmt(d).alias("duration_text"))
