@@ -127,3 +127,8 @@ def duck_observation_id(ds_key_sql: str, time_sql: str) -> str:
     codes = f"list_concat({duck_codes(ds_key_sql)}, [0::hugeint], {duck_codes(time_sql)})"
     return (f"CAST({OBSERVATION_OFFSET} + (({duck_fnv_unsigned_codes(codes)}) % 4503599627370496::hugeint) "
             "AS BIGINT)")
+
+
+def entity_id_lit(key: str, offset: int) -> Column:
+    """F12 of a literal key (for filters on a known natural key)."""
+    return slot_id(F.expr(_fold_sql("'" + key.replace("'", "''") + "'", _INIT, _SIGNED)), offset)

@@ -326,3 +326,117 @@ def duration_text(spark, sf_dir) -> DataFrame:
     t = phenomenon_time(spark, sf_dir)
     s, e, d = parse_interval("phenomenonTime")
     return t.select("datastream_id", d.alias("duration_s"), fmt(d).alias("duration_text"))
+
+
+# --------------------------------------------------------------- step 5
+def _ds_entities(spark, sf_dir):
+    from tidewater.plans import entities
+    return entities.datastreams(catalog(spark, sf_dir))
+
+
+@query
+def filter_property_text(spark, sf_dir) -> DataFrame:
+    """Datastreams whose aggregationPeriod property equals a text."""
+    from tidewater.operators import predicates as P
+    d = _ds_entities(spark, sf_dir)
+    return d.filter(P.property_equals("aggregationPeriod", "P1D")).select("datastream_id", "datastream_key")
+
+
+@query
+def filter_property_number(spark, sf_dir) -> DataFrame:
+    """Numeric comparisons on a text property (version >= 2, != 3)
+    combined with a text inequality."""
+    from tidewater.operators import predicates as P
+    d = _ds_entities(spark, sf_dir)
+    cond = P.all_of(P.property_greater_or_equal("annalVersion", 2), P.property_not_equals("annalVersion", 3),
+                    P.property_not_equals("aggregationStatistic", "Total"))
+    return d.filter(cond).select("datastream_id", "datastream_key")
+
+
+@query
+def filter_property_in(spark, sf_dir) -> DataFrame:
+    """P4, P6 or: property in a list, or another property equal."""
+    from tidewater.operators import predicates as P
+    d = _ds_entities(spark, sf_dir)
+    cond = P.any_of(P.property_in("aggregationStatistic", "Maximum", "Minimum"),
+                    P.property_equals("annalVersion", 2))
+    return d.filter(cond).select("datastream_id", "datastream_key")
+
+
+@query
+def filter_name(spark, sf_dir) -> DataFrame:
+    """P5, P6 not: Thing names by prefix / suffix / substring."""
+    from tidewater.operators import predicates as P
+    from tidewater.plans import entities
+    t = entities.things(catalog(spark, sf_dir))
+    cond = P.all_of(P.any_of(P.name_starts_with("Customer#00000001"), P.name_ends_with("7")),
+                    P.negate(P.name_contains("#00000000")))
+    return t.filter(cond).select("thing_id", "name")
+
+
+@query
+def filter_result_time(spark, sf_dir) -> DataFrame:
+    """Result bounds and a phenomenonTime window (one bound without a
+    zone designator, F7)."""
+    from tidewater.operators import predicates as P
+    o = _mapped(spark, sf_dir)
+    cond = P.all_of(P.group(P.any_of(P.result_greater_than(400), P.result_less_than(5))),
+                    P.time_at_or_after("2024-01-05T00:00:00"), P.time_at_or_before("2024-01-25T12:00:00Z"))
+    return o.filter(cond).select("obs_id", "datastream_id", "phenomenon_time", F.round("result", 2).alias("result"))
+
+
+@query
+def find_sensors(spark, sf_dir) -> DataFrame:
+    """Sensors by name prefix, observed properties by definition."""
+    from tidewater.operators import predicates as P
+    from tidewater.plans import entities
+    cat = catalog(spark, sf_dir)
+    s = entities.sensors(cat).filter(P.name_starts_with("Pluvio")).select(
+        F.col("sensor_id").alias("entity_id"), F.lit("Sensor").alias("kind"))
+    o = entities.observed_properties(cat).filter(F.col("definition").endswith("/224")).select(
+        F.col("observed_property_id").alias("entity_id"), F.lit("ObservedProperty").alias("kind"))
+    return s.unionByName(o)
+
+
+@query
+def expand_thing(spark, sf_dir) -> DataFrame:
+    """Datastreams with their Thing expanded."""
+    from tidewater.operators import navigation as N
+    from tidewater.plans import entities
+    cat = catalog(spark, sf_dir)
+    e = N.expand(entities.datastreams(cat), "thing_id", entities.things(cat), "thing_id", "Thing")
+    return e.select("datastream_id", F.col("Thing.thing_id").alias("thing_id"), F.col("Thing.name").alias("thing_name"),
+                    F.col("Thing.properties.district").alias("thing_district"))
+
+
+@query
+def navigate_thing(spark, sf_dir) -> DataFrame:
+    """Datastreams and locations per Thing (0 when none, D4)."""
+    from tidewater.operators import navigation as N
+    from tidewater.plans import entities
+    cat = catalog(spark, sf_dir)
+    t = entities.things(cat).select("thing_id", "name")
+    t = N.child_counts(t, "thing_id", entities.datastreams(cat), "thing_id", "n_datastreams")
+    t = N.child_counts(t, "thing_id", entities.locations(cat), "thing_id", "n_locations")
+    return t
+
+
+@query
+def navigate_property_observations(spark, sf_dir) -> DataFrame:
+    """Observations of one ObservedProperty through its datastreams, and
+    datastreams found by property name."""
+    from tidewater.functions import ids
+    from tidewater.functions.text import KNOWN_QUANTITY_LABELS
+    from tidewater.operators import navigation as N
+    from tidewater.plans import entities
+    from tidewater.sources.driver import URI_PRECIPITATION
+    cat = catalog(spark, sf_dir)
+    ds = entities.datastreams(cat)
+    pid = spark.range(1).select(ids.entity_id_lit(URI_PRECIPITATION, ids.OBSERVED_PROPERTY_OFFSET)).first()[0]
+    o = N.observations_by_property(_mapped(spark, sf_dir), ds, pid)
+    by_name = N.datastreams_by_property_name(ds, entities.observed_properties(cat),
+                                             KNOWN_QUANTITY_LABELS[URI_PRECIPITATION])
+    a = o.groupBy("datastream_id").agg(F.count(F.lit(1)).alias("n"))
+    a = a.select("datastream_id", F.lit("observations").alias("what"), "n")
+    b = by_name.select("datastream_id", F.lit("datastream").alias("what"), F.lit(1).cast("long").alias("n"))
+    return a.unionByName(b)
