@@ -158,5 +158,23 @@ BASE = [
 ]
 
 
+BASE += [
+    """series_b AS (
+  SELECT CASE WHEN s.c_mktsegment = 'FURNITURE' THEN lower(s.r_name) ELSE s.r_name END AS COMPARTIMENTO,
+         s.c_name AS ALIAS_STAZIONE, CASE WHEN s.c_mktsegment = 'BUILDING' THEN '' ELSE s.n_name END AS ALIAS_BACINO,
+         q.TIPO_GRANDEZZA, g.GRANDEZZA, g.VERSION, g.INTERPOLATION_TYPE, g.AGGREGATION_PERIOD, g.INTENDED_TIME_SPACING,
+         g.INTENDED_TIME_SPACING_UNIT
+  FROM sites s JOIN segment_t g ON s.c_mktsegment = g.c_mktsegment JOIN quantity_t q ON q.GRANDEZZA = g.GRANDEZZA)""",
+    f"""timed_b AS (
+  SELECT *, timezone('UTC', timezone('{ZONE}', local_ts)) AS phenomenon_ts
+  FROM (SELECT *, CASE WHEN year BETWEEN 1 AND 9999 AND month BETWEEN 1 AND 12 AND day >= 1
+                        AND day <= day(last_day(make_date(year, month, 1)))
+                        AND hour BETWEEN 0 AND 23 AND minute BETWEEN 0 AND 59
+                       THEN make_timestamp(year, month, day, hour, minute, 0) END AS local_ts
+        FROM typed_obs)
+  WHERE local_ts IS NOT NULL)""",
+]
+
+
 def with_base(select_sql: str) -> str:
     return "WITH " + ",\n".join(BASE) + "\n" + select_sql

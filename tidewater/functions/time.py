@@ -104,21 +104,28 @@ def duration_text(seconds) -> Column:
 ISO_PERIOD_PATTERN = r"^P(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?)?$"
 
 
-def iso_period(text) -> tuple[Column, Column]:
-    """ISO period -> (value, unit).
+def iso_period_parts(text) -> Column:
+    """F10 step 1: struct(ok, y, mo, d, h, mi, s) of an ISO period text; put it
+    in its own column so the regex runs once per row (``add_iso_period``)."""
+    p = F.upper(F.trim(_c(text)))
+    ok = p.rlike(ISO_PERIOD_PATTERN)
+    names = ["y", "mo", "d", "h", "mi", "s"]
+    fields = [F.coalesce(ok, F.lit(False)).alias("ok")]
+    for i, n in enumerate(names, start=1):
+        g = F.regexp_extract(p, ISO_PERIOD_PATTERN, i)
+        fields.append(F.when(ok & (g != ""), g.try_cast("long")).otherwise(F.lit(0).cast("long")).alias(n))
+    return F.struct(*fields)
+
+
+def iso_period_from_parts(parts) -> tuple[Column, Column]:
+    """F10 step 2: (value, unit) from ``iso_period_parts``.
 
     Years or months only when alone; otherwise the total in seconds, expressed
     in the largest unit that divides it (days, hours, minutes, seconds). Zero,
     blank or bad text -> (NULL, NULL).
     """
-    p = F.upper(F.trim(_c(text)))
-    ok = p.rlike(ISO_PERIOD_PATTERN)
-
-    def part(i: int) -> Column:
-        g = F.regexp_extract(p, ISO_PERIOD_PATTERN, i)
-        return F.when(ok & (g != ""), g.try_cast("long")).otherwise(F.lit(0).cast("long"))
-
-    y, mo, d, h, mi, s = (part(i) for i in range(1, 7))
+    q = _c(parts)
+    ok, y, mo, d, h, mi, s = (q[n] for n in ["ok", "y", "mo", "d", "h", "mi", "s"])
     total = ((d * 24 + h) * 60 + mi) * 60 + s
     value = (F.when(~ok, None)
              .when(y > 0, F.when((mo + d + h + mi + s) == 0, y))
@@ -137,3 +144,17 @@ def iso_period(text) -> tuple[Column, Column]:
             .when(total % 60 == 0, F.lit("minutes"))
             .otherwise(F.lit("seconds")))
     return value, unit
+
+
+def add_iso_period(df, text_col: str, value_out: str, unit_out: str):
+    """F10 on a DataFrame: parts in one projection, value and unit in the
+    next (the regex is not re-evaluated per branch)."""
+    tmp = f"_iso_{value_out}"
+    v, u = iso_period_from_parts(tmp)
+    return df.withColumn(tmp, iso_period_parts(text_col)).withColumn(value_out, v).withColumn(unit_out, u).drop(tmp)
+
+
+def iso_period(text) -> tuple[Column, Column]:
+    """F10 as two columns in one expression (small inputs; prefer
+    ``add_iso_period`` on large frames)."""
+    return iso_period_from_parts(iso_period_parts(text))

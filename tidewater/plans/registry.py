@@ -306,17 +306,17 @@ def phenomenon_time(spark, sf_dir) -> DataFrame:
 @query
 def iso_period(spark, sf_dir) -> DataFrame:
     """Series period (series override, else quantity) -> value, unit."""
-    from tidewater.functions.time import iso_period as parse
+    from tidewater.functions.time import add_iso_period
     cat = catalog(spark, sf_dir)
     s = cat.series().select("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA",
                             F.col("AGGREGATION_PERIOD").alias("_sp"))
     q = cat.quantities().select("GRANDEZZA", F.col("AGGREGATION_PERIOD").alias("_qp"))
     j = s.join(F.broadcast(q), "GRANDEZZA")
     from tidewater.functions.text import key_text
-    j = j.withColumn("period_text", F.coalesce("_sp", "_qp"))
-    v, u = parse("period_text")
+    j = add_iso_period(j.withColumn("period_text", F.coalesce("_sp", "_qp")), "period_text",
+                       "period_value", "period_unit")
     return j.select(key_text("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA").alias("datastream_key"),
-                    "period_text", v.alias("period_value"), u.alias("period_unit"))
+                    "period_text", "period_value", "period_unit")
 
 
 @query
@@ -440,3 +440,161 @@ def navigate_property_observations(spark, sf_dir) -> DataFrame:
     a = a.select("datastream_id", F.lit("observations").alias("what"), "n")
     b = by_name.select("datastream_id", F.lit("datastream").alias("what"), F.lit(1).cast("long").alias("n"))
     return a.unionByName(b)
+
+
+# --------------------------------------------------------------- step 6
+LINEITEM_SERIES = ["l_suppkey", "l_returnflag"]
+LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount",
+                  "l_tax", "l_linestatus"]
+
+
+@query
+def station_quantity_sets(spark, sf_dir) -> DataFrame:
+    """A1: sorted set of quantities per station from the series file."""
+    from tidewater.plans.catalog import SITE_KEYS
+    s = catalog(spark, sf_dir).series()
+    return s.groupBy(*SITE_KEYS).agg(
+        F.array_join(F.sort_array(F.collect_set("GRANDEZZA")), ",").alias("quantities"),
+        F.count_distinct("GRANDEZZA").alias("n_quantities"))
+
+
+@query
+def flag_descriptions(spark, sf_dir) -> DataFrame:
+    """Label of every flag the observations carry (code when absent)."""
+    cat = catalog(spark, sf_dir)
+    raw = cat.source.raw_observations()
+    f = raw.groupBy("FLAG_VALORE").agg(F.count(F.lit(1)).alias("n_obs"))
+    return (f.join(F.broadcast(cat.flag_labels()), "FLAG_VALORE", "left")
+            .select(F.col("FLAG_VALORE").alias("flag"), F.coalesce("flag_label", "FLAG_VALORE").alias("flag_label"),
+                    "n_obs"))
+
+
+@query
+def qualifier_merge(spark, sf_dir) -> DataFrame:
+    """A3: merged qualifier description per (instrument class, flag) pair the
+    path-B observations use; NULL when no qualifier row exists."""
+    from tidewater.operators import quality
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    t = loader.timed(cat)
+    q = cat.source.quantities().select("GRANDEZZA", "SIGLA_STRUMENTO")
+    pairs = (t.join(F.broadcast(q), "GRANDEZZA").groupBy("SIGLA_STRUMENTO", "FLAG_VALORE")
+             .agg(F.count(F.lit(1)).alias("n_obs")))
+    m = quality.merged_qualifiers(cat.source.flag_quality())
+    return pairs.join(F.broadcast(m), ["SIGLA_STRUMENTO", "FLAG_VALORE"], "left").select(
+        F.col("SIGLA_STRUMENTO").alias("instrument_class"), F.col("FLAG_VALORE").alias("flag"),
+        "qualifier_description", "n_obs")
+
+
+@query
+def site_sets(spark, sf_dir) -> DataFrame:
+    """Per site the tag texts of distinct table orders, pages,
+    parts and instrument descriptions."""
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    sets = loader.site_sets(cat.source.raw_observations())
+    sensor = loader.site_sensor_tag(sets, cat.source.instruments())
+    return sets.join(sensor, loader.SITE_KEYS_B, "left").select(
+        *loader.SITE_KEYS_B, "annals_table", "annals_page", "annals_part", "sensor_type")
+
+
+@query
+def organisation_tags(spark, sf_dir) -> DataFrame:
+    """Numbered organisation tags per site."""
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    return loader.organisation_tags(cat.source.raw_observations(), cat.source.organisations()).select(
+        *loader.SITE_KEYS_B, "tag", "value")
+
+
+@query
+def datastream_qualifiers(spark, sf_dir) -> DataFrame:
+    """Flags seen per datastream, as a map flag -> label."""
+    from tidewater.operators import quality
+    m = quality.datastream_qualifier_map(_mapped(spark, sf_dir), "datastream_key", "flag", "flag_label")
+    return m.select("datastream_key", F.size("qualifiers").alias("n_flags"),
+                    F.array_join(F.map_keys("qualifiers"), ",").alias("flags"),
+                    F.array_join(F.map_values("qualifiers"), " | ").alias("labels"))
+
+
+@query
+def responsible_parties(spark, sf_dir) -> DataFrame:
+    """General organisations plus observing organisations with
+    their distinct editors, per datastream."""
+    from tidewater.operators import lookups, quality
+    cat = catalog(spark, sf_dir)
+    parties = lookups.general_parties(cat.source.organisations())
+    r = quality.responsible_parties(_mapped(spark, sf_dir), "datastream_key", "editor_code", "editor_individual",
+                                    parties)
+    return r.select("datastream_key", "org_code", "is_general", F.size("editors").alias("n_editors"),
+                    F.array_join("editors", ",").alias("editors"))
+
+
+def _groups_b(spark, sf_dir):
+    from tidewater.plans import loader
+    return loader.timed(catalog(spark, sf_dir)).select(*loader.GROUP_KEYS).distinct()
+
+
+@query
+def series_defaults(spark, sf_dir) -> DataFrame:
+    """Resolved datastream attributes per path-B group."""
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    return loader.series_defaults(_groups_b(spark, sf_dir), cat.source.series_b(), cat.source.quantities())
+
+
+@query
+def site_coordinates(spark, sf_dir) -> DataFrame:
+    """Coordinates per path-B site; NULL when the station is absent."""
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    sites = _groups_b(spark, sf_dir).select(*loader.SITE_KEYS_B).distinct()
+    return loader.site_coordinates(sites, cat).select(
+        *loader.SITE_KEYS_B, F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"),
+        F.col("elevation").cast("double").alias("elevation"))
+
+
+@query
+def series_without_unit(spark, sf_dir) -> DataFrame:
+    """Groups whose quantity's instrument class has no unit (skipped
+    with a warning), with their row counts."""
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    t = loader.timed(cat)
+    g = t.groupBy(*loader.GROUP_KEYS).agg(F.count(F.lit(1)).alias("n_obs"))
+    u = loader.group_units(g, cat.source.quantities(), cat.source.units())
+    return u.filter(F.col("udm").isNull()).select(*loader.GROUP_KEYS, "SIGLA_STRUMENTO", "n_obs")
+
+
+@query
+def duplicate_report(spark, sf_dir) -> DataFrame:
+    """Duplicates by time per lineitem series and a sample of 5 times."""
+    from tidewater.operators import quality
+    li = DriverTables(spark, sf_dir).lineitem_observations()
+    r = quality.duplicate_report(li, LINEITEM_SERIES, "l_shipdate")
+    return r.select(*LINEITEM_SERIES, "n_duplicates", "n_duplicate_times",
+                    F.array_join(F.transform("sample_times", lambda t: F.date_format(t, "yyyy-MM-dd")), ",")
+                    .alias("sample_times"))
+
+
+@query
+def dedup_first(spark, sf_dir) -> DataFrame:
+    """W1 (D5): first lineitem per (series, ship date) in arrival order."""
+    from tidewater.operators import quality
+    li = DriverTables(spark, sf_dir).lineitem_observations()
+    d = quality.dedup_first(li, LINEITEM_SERIES, "l_shipdate", LINEITEM_ORDER)
+    return d.select(*LINEITEM_SERIES, F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"),
+                    "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query
+def load_observations(spark, sf_dir) -> DataFrame:
+    """Path-B observation load per datastream."""
+    from tidewater.plans import loader
+    o = loader.load_observations(catalog(spark, sf_dir))
+    return o.groupBy("datastream_key").agg(
+        F.count(F.lit(1)).alias("n_loaded"),
+        F.sum(F.when(F.col("result_qualifier_codes").isNotNull(), 1).otherwise(0)).alias("n_qualified"),
+        F.date_format(F.min("phenomenon_ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("first_time"),
+        F.date_format(F.max("phenomenon_ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_time"),
+        F.round(F.sum("result"), 2).alias("sum_result"))

@@ -234,6 +234,29 @@ class DriverTables:
                         "INTERPOLATION_TYPE", "AGGREGATION_PERIOD", "INTENDED_TIME_SPACING",
                         "INTENDED_TIME_SPACING_UNIT"))
 
+    def series_b(self) -> DataFrame:
+        """Series file as the path-B loader sees it: the FURNITURE stations
+        write the compartment in lower case (keys are normalised, F4) and the
+        BUILDING stations leave the basin blank (station-level defaults, J12)."""
+        sites = self._customer_sites()
+        reg = self.segment_registry()
+        q = self.quantities().select("GRANDEZZA", "TIPO_GRANDEZZA")
+        seg = F.col("c_mktsegment")
+        return (sites.join(F.broadcast(reg), "c_mktsegment").join(F.broadcast(q), "GRANDEZZA")
+                .select(F.when(seg == "FURNITURE", F.lower("r_name")).otherwise(F.col("r_name")).alias("COMPARTIMENTO"),
+                        F.col("c_name").alias("ALIAS_STAZIONE"),
+                        F.when(seg == "BUILDING", F.lit("")).otherwise(F.col("n_name")).alias("ALIAS_BACINO"),
+                        "TIPO_GRANDEZZA", "GRANDEZZA", "VERSION", "INTERPOLATION_TYPE", "AGGREGATION_PERIOD",
+                        "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"))
+
+    def lineitem_observations(self) -> DataFrame:
+        """Second fact with repeated times: series (l_suppkey, l_returnflag),
+        time l_shipdate (day level), value l_extendedprice; the remaining
+        columns give a total arrival order."""
+        return self.table("lineitem").select(
+            "l_suppkey", "l_returnflag", "l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber",
+            "l_partkey", "l_quantity", "l_discount", "l_tax", "l_linestatus")
+
     # ------------------------------------------------------------------ facts
     def raw_observations(self) -> DataFrame:
         """The 19 text columns of an observation file plus ``_ord`` (arrival
