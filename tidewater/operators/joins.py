@@ -54,3 +54,16 @@ def lookup(facts: DataFrame, table: DataFrame, keys: list[str] | dict[str, str],
         cond = c if cond is None else cond & c
     out = facts.join(bounded_broadcast(table), cond, how)
     return out.drop(*[table[tk] for tk in keys.values()])
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Persist a dimension-sized frame that several joins reuse and run it
+    once. Afterwards the optimizer sees its real in-memory size, so
+    ``bounded_broadcast`` decides on measured bytes instead of the
+    multiplied estimate of a join chain. Lost partitions are recomputed from
+    lineage (no local checkpoint)."""
+    from pyspark import StorageLevel
+
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    p.count()
+    return p

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import ids
 from tidewater.functions.text import decimal_comma_strict, key_text, quantity_label
 from tidewater.operators import lookups
-from tidewater.operators.joins import bounded_broadcast
+from tidewater.operators.joins import bounded_broadcast, materialized
 
 SITE_KEYS = ["COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE"]
 DS_KEYS = SITE_KEYS + ["GRANDEZZA"]
@@ -30,6 +30,18 @@ class Catalog:
     source: object
     zone: str | None = None
     _meta: dict | None = field(default=None, repr=False)
+    _cache: dict = field(default_factory=dict, repr=False)
+
+    def _once(self, name: str, build) -> DataFrame:
+        """Dimension tables are built and materialized once per catalogue."""
+        if name not in self._cache:
+            self._cache[name] = materialized(build())
+        return self._cache[name]
+
+    def release(self) -> None:
+        for df in self._cache.values():
+            df.unpersist()
+        self._cache.clear()
 
     @property
     def meta(self) -> dict:
@@ -45,6 +57,9 @@ class Catalog:
     # ------------------------------------------------------------ sites
     def stations(self) -> DataFrame:
         """S1 + W5 + F1: one row per station key, coordinates as decimals."""
+        return self._once("stations", self._stations)
+
+    def _stations(self) -> DataFrame:
         s = self.source.stations().withColumnRenamed("Compartimento", "COMPARTIMENTO")
         s = lookups.keyed_table(s, SITE_KEYS)
         return s.select(*SITE_KEYS,
@@ -79,6 +94,9 @@ class Catalog:
         return self.stations().join(self.series().select(*DS_KEYS, "VERSION"), SITE_KEYS, "left")
 
     def datastreams(self) -> DataFrame:
+        return self._once("datastreams", self._datastreams)
+
+    def _datastreams(self) -> DataFrame:
         """Path-A datastream catalogue, one row per mapped datastream.
 
         station x series (inner) x quantity (J6, inner) x unit (J7, inner)

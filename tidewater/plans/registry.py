@@ -152,7 +152,7 @@ def observation_ids(spark, sf_dir) -> DataFrame:
     g = _mapped(spark, sf_dir).select("datastream_key", "phenomenon_time", "obs_id").distinct()
     g = g.withColumn("_full", F.concat("datastream_key", F.expr("chr(0)"), "phenomenon_time"))
     return g.select("datastream_key", "phenomenon_time", "obs_id",
-                    ids.observation_id_from_hash(ids.fnv_hash("_full")).alias("obs_id_full"))
+                    ids.observation_id_from_hash(ids.fnv_hash_sql("_full")).alias("obs_id_full"))
 
 
 @query
