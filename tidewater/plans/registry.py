@@ -598,3 +598,135 @@ def load_observations(spark, sf_dir) -> DataFrame:
         F.date_format(F.min("phenomenon_ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("first_time"),
         F.date_format(F.max("phenomenon_ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_time"),
         F.round(F.sum("result"), 2).alias("sum_result"))
+
+
+# --------------------------------------------------------------- step 7
+SPLIT_EXISTING = "2024-01-16T00:00:00Z"
+OVERLAP_FROM = "2024-01-10T00:00:00Z"
+OVERLAP_TO = "2024-01-20T00:00:00Z"
+
+
+@query
+def get_or_create_sites(spark, sf_dir) -> DataFrame:
+    """Sites known from the earlier load are reused, new ones created."""
+    from tidewater.functions.text import key_text
+    from tidewater.operators import upsert
+    g = _mapped(spark, sf_dir).withColumn("thing_key", key_text("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE"))
+    existing = g.filter(F.col("phenomenon_time") < SPLIT_EXISTING).select("thing_key").distinct()
+    new, _ = upsert.get_or_create(g.select("thing_key"), existing, ["thing_key"])
+    return (existing.withColumn("origin", F.lit("existing"))
+            .unionByName(new.withColumn("origin", F.lit("created"))))
+
+
+@query
+def upsert_datastreams(spark, sf_dir) -> DataFrame:
+    """Forced refresh of the path-A datastream attributes from the
+    path-B series defaults (a NULL keeps the old value; keys of either side)."""
+    from tidewater.functions.text import key_text
+    from tidewater.operators import upsert
+    from tidewater.plans import loader
+    cat = catalog(spark, sf_dir)
+    old = cat.datastreams().select("datastream_key", F.col("INTERPOLATION_TYPE").alias("aggregation_statistic"),
+                                   F.col("VERSION").alias("version"))
+    d = loader.series_defaults(_groups_b(spark, sf_dir), cat.source.series_b(), cat.source.quantities())
+    new = d.select(key_text("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA").alias("datastream_key"),
+                   F.when(F.col("has_series_entry"), F.col("aggregation_statistic")).alias("aggregation_statistic"))
+    r = upsert.refresh(new, old, ["datastream_key"])
+    return r.select("datastream_key", "aggregation_statistic", "version", F.col("_origin").alias("origin"))
+
+
+@query
+def write_modes(spark, sf_dir) -> DataFrame:
+    """K8: rows and distinct ids after loading an overlapping batch in each
+    write mode."""
+    from functools import reduce
+
+    from tidewater.operators import upsert
+    g = _mapped(spark, sf_dir).select("obs_id", "datastream_key", "phenomenon_time", "result")
+    existing = g.filter(F.col("phenomenon_time") < OVERLAP_TO)
+    incoming = g.filter(F.col("phenomenon_time") >= OVERLAP_FROM)
+    parts = []
+    for mode in (upsert.NONE, upsert.DELETE_BEFORE_UPLOAD, upsert.DETERMINISTIC_ID):
+        t = upsert.apply_write_mode(existing, incoming, mode, "datastream_key", "obs_id")
+        parts.append(t.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("obs_id").alias("n_ids"))
+                     .select(F.lit(mode).alias("mode"), "n_rows", "n_ids"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def reconcile(spark, sf_dir) -> DataFrame:
+    """K9: expected rows per batch against the rows a keyed store keeps
+    (one per id; a repeated id is kept in its first batch)."""
+    from tidewater.operators import upsert
+    from tidewater.operators.dedup import keep_first
+    b = _batched(spark, sf_dir).select("obs_id", "datastream_key", "batch_no", "_ord")
+    visible = keep_first(b, ["obs_id"], ["_ord"])
+    r = upsert.reconcile(b, visible, ["datastream_key", "batch_no"])
+    return r.select("datastream_key", "batch_no", "expected", "visible", "ok")
+
+
+PROPERTY_TO_DELETE = "Amount of precipitation"
+
+
+def _cascade(spark, sf_dir):
+    from tidewater.operators import cleanup
+    from tidewater.plans import entities
+    cat = catalog(spark, sf_dir)
+    return cleanup.cascade_by_property_name(
+        entities.observed_properties(cat), entities.datastreams(cat), _mapped(spark, sf_dir),
+        entities.things(cat), entities.locations(cat), PROPERTY_TO_DELETE)
+
+
+@query
+def cascade_plan(spark, sf_dir) -> DataFrame:
+    """X3 dry run: what a cascade delete by ObservedProperty name removes."""
+    from tidewater.operators import cleanup
+    return cleanup.plan_counts(_cascade(spark, sf_dir))
+
+
+@query
+def orphan_things(spark, sf_dir) -> DataFrame:
+    """Things (and their Locations) left without datastreams by the
+    cascade."""
+    plan = _cascade(spark, sf_dir).plan
+    return plan.filter(F.col("entity").isin("Thing", "Location")).select("entity", "iot_id")
+
+
+@query
+def delete_observations(spark, sf_dir) -> DataFrame:
+    """Observations left per datastream after deleting all observations
+    of the datastreams aggregated over 3 hours."""
+    from tidewater.operators import cleanup
+    cat = catalog(spark, sf_dir)
+    target = cat.datastreams().filter(F.col("AGGREGATION_PERIOD") == "PT3H").select("datastream_id")
+    left = cleanup.delete_observations_of(_mapped(spark, sf_dir), target)
+    return left.groupBy("datastream_id").agg(F.count(F.lit(1)).alias("n_obs"))
+
+
+@query
+def set_operations(spark, sf_dir) -> DataFrame:
+    """U1 union of per-district files, U2 distinct keys, U3 difference."""
+    from tidewater.operators import upsert
+    cat = catalog(spark, sf_dir)
+    raw = cat.source.raw_observations()
+    parts = [raw.filter(F.col("COMPARTIMENTO") == r) for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
+    u1 = upsert.union_files(parts).agg(F.count(F.lit(1)).alias("n")).select(F.lit("union").alias("op"), "n")
+    g = _mapped(spark, sf_dir)
+    u2 = g.select("datastream_key").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit("distinct").alias("op"), "n")
+    deleted = g.filter(F.col("result") > 250).select("obs_id", "datastream_key")
+    u3 = (upsert.difference(g.select("obs_id", "datastream_key"), deleted).agg(F.count(F.lit(1)).alias("n"))
+          .select(F.lit("difference").alias("op"), "n"))
+    return u1.unionByName(u2).unionByName(u3)
+
+
+@query
+def patch_entities(spark, sf_dir) -> DataFrame:
+    """Delete one Thing by id and rename another by id (ids looked up by
+    station name, one row each)."""
+    from tidewater.operators import cleanup
+    from tidewater.plans import entities
+    t = entities.things(catalog(spark, sf_dir)).select("thing_id", "thing_key", "name")
+    gone_id = t.filter(F.col("name") == "Customer#000000002").select("thing_id").first()[0]
+    patch_id = t.filter(F.col("name") == "Customer#000000001").select("thing_id").first()[0]
+    out = cleanup.delete_by_id(t, "thing_id", gone_id)
+    return cleanup.update_by_id(out, "thing_id", patch_id, {"name": F.lit("Renamed station")})

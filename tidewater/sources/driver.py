@@ -88,6 +88,8 @@ FLAG_ROWS = [
 
 # Quantities registered per customer market segment, with
 # optional series-level overrides (interpolation, period, spacing, unit).
+# HOUSEHOLD stations measure precipitation only (a cascade delete of that
+# property leaves them without datastreams).
 SEGMENT_COLUMNS = ["c_mktsegment", "GRANDEZZA", "VERSION", "INTERPOLATION_TYPE", "AGGREGATION_PERIOD",
                    "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"]
 SEGMENT_ROWS = [
@@ -104,8 +106,7 @@ SEGMENT_ROWS = [
     ("FURNITURE", "signup", "1", None, None, None, None),
     ("FURNITURE", "error", "1", None, None, None, None),
     ("HOUSEHOLD", "view", "1", None, None, None, None),
-    ("HOUSEHOLD", "purchase", "1", "Maximum", "P0D", None, None),
-    ("HOUSEHOLD", "signup", "1", None, None, None, None),
+    ("HOUSEHOLD", "click", "1", "Maximum", "P0D", None, None),
     ("HOUSEHOLD", "error", "1", None, None, None, None),
     ("MACHINERY", "click", "1", None, None, None, None),
     ("MACHINERY", "purchase", "1", None, None, None, None),
