@@ -36,7 +36,7 @@ def decimal_comma_lenient(x) -> Column:
     """trim, drop no-break spaces; blank or ``NA`` -> NULL; with exactly one
     comma the dots are thousands separators; otherwise all commas become dots;
     unparseable -> NULL."""
-    s = F.replace(F.trim(_c(x)), F.lit(" "), F.lit(""))
+    s = F.replace(F.trim(_c(x)), F.lit("\u00a0"), F.lit(""))
     n_commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
     one_comma = F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     many = F.replace(s, F.lit(","), F.lit("."))
