@@ -29,11 +29,15 @@ def _bucket(ord_col: str, width: int) -> Column:
 
 
 def running_sum(df: DataFrame, keys: list[str], ord_col: str, value: Column, out: str,
-                tie_cols: list[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                tie_cols: list[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                bucket: Column | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per ``keys`` in (``ord_col``,
-    ``tie_cols``) order. ``ord_col`` must be numeric."""
+    ``tie_cols``) order. ``ord_col`` must be numeric unless ``bucket`` is
+    given: any column that never decreases along the order (e.g. the year of
+    a date-ordered series), bounding the rows per (key, bucket)."""
     tie_cols = tie_cols or []
-    d = df.withColumn("_v", value.cast("long")).withColumn("_b", _bucket(ord_col, bucket_width))
+    b = bucket if bucket is not None else _bucket(ord_col, bucket_width)
+    d = df.withColumn("_v", value.cast("long")).withColumn("_b", b)
     per_bucket = d.groupBy(*keys, "_b").agg(F.sum("_v").alias("_bsum"))
     w_b = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bsum").over(w_b), F.lit(0)).alias("_off"))
@@ -44,9 +48,10 @@ def running_sum(df: DataFrame, keys: list[str], ord_col: str, value: Column, out
 
 
 def rank_within(df: DataFrame, keys: list[str], ord_col: str, out: str = "rn",
-                tie_cols: list[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                tie_cols: list[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                bucket: Column | None = None) -> DataFrame:
     """1-based position of each row within its key in ordinal order."""
-    return running_sum(df, keys, ord_col, F.lit(1), out, tie_cols, bucket_width)
+    return running_sum(df, keys, ord_col, F.lit(1), out, tie_cols, bucket_width, bucket)
 
 
 def lag_within(df: DataFrame, keys: list[str], ord_col: str, col: str, out: str,

@@ -730,3 +730,62 @@ def patch_entities(spark, sf_dir) -> DataFrame:
     patch_id = t.filter(F.col("name") == "Customer#000000001").select("thing_id").first()[0]
     out = cleanup.delete_by_id(t, "thing_id", gone_id)
     return cleanup.update_by_id(out, "thing_id", patch_id, {"name": F.lit("Renamed station")})
+
+
+# --------------------------------------------------------------- step 8
+@query
+def sorted_observations(spark, sf_dir) -> DataFrame:
+    """O1: position of every raw row in file order within its series (text
+    keys, then year, month, day as numbers with bad values last, stable)."""
+    from tidewater.operators import sorting
+    raw = catalog(spark, sf_dir).source.raw_observations()
+    p = sorting.position_in_series(raw)
+    return p.select(*sorting.TEXT_KEYS, "ANNO", "MESE", "GIORNO", F.col("_ord").alias("arrival"), "position")
+
+
+@query
+def sample_per_series(spark, sf_dir) -> DataFrame:
+    """W8, P11 (path B): the first 10 loaded observations of each series."""
+    from tidewater.operators.dedup import first_n_per_group
+    from tidewater.plans import loader
+    o = loader.load_observations(catalog(spark, sf_dir))
+    s = first_n_per_group(o, ["datastream_key"], ["_ord"], 10)
+    return s.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n"), F.max("_ord").alias("last_arrival"))
+
+
+@query
+def sample_first_mapped(spark, sf_dir) -> DataFrame:
+    """P11 (path A): sample mode stops after the 1,001st mapped observation
+    in arrival order (a top-k: every task keeps its first 1,001)."""
+    g = _mapped(spark, sf_dir)
+    return g.orderBy("_ord").limit(1001).select("obs_id", F.col("_ord").alias("arrival"))
+
+
+@query
+def sample_series(spark, sf_dir) -> DataFrame:
+    """P11 (legacy): observations of the first six series to appear."""
+    g = _mapped(spark, sf_dir)
+    first = g.groupBy("datastream_key").agg(F.min("_ord").alias("_first")).orderBy("_first").limit(6)
+    s = g.join(F.broadcast(first.select("datastream_key")), "datastream_key", "left_semi")
+    return s.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n_obs"))
+
+
+@query
+def folder_names(spark, sf_dir) -> DataFrame:
+    """Folder-safe names of datastream keys and of their first time."""
+    from tidewater.functions.text import path_safe
+    g = _mapped(spark, sf_dir).groupBy("datastream_key").agg(F.min("phenomenon_time").alias("t"))
+    return g.select("datastream_key", path_safe("datastream_key").alias("folder"), path_safe("t").alias("time_folder"))
+
+
+@query
+def entity_documents(spark, sf_dir) -> DataFrame:
+    """K6: deep-insert documents, one per Thing with nested Datastreams."""
+    from tidewater.plans import entities
+    from tidewater.sinks.files import deep_insert_documents
+    cat = catalog(spark, sf_dir)
+    d = deep_insert_documents(entities.things(cat), entities.datastreams(cat), entities.sensors(cat),
+                              entities.observed_properties(cat))
+    return d.select("thing_id", F.size("Datastreams").alias("n_datastreams"),
+                    F.col("Datastreams")[0]["name"].alias("first_datastream"),
+                    F.col("Datastreams")[0]["Sensor"]["name"].alias("first_sensor"))
