@@ -259,10 +259,15 @@ class DriverTables:
             "l_partkey", "l_quantity", "l_discount", "l_tax", "l_linestatus")
 
     # ------------------------------------------------------------------ facts
-    def raw_observations(self) -> DataFrame:
+    def events_schema(self):
+        return self.table("events").schema
+
+    def raw_observations(self, events: DataFrame | None = None) -> DataFrame:
         """The 19 text columns of an observation file plus ``_ord`` (arrival
-        order, = event_id)."""
-        e = self.table("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+        order, = event_id). ``events`` replaces the events table (a streaming
+        micro-batch, say)."""
+        e = (self.table("events") if events is None else events).select(
+            "event_id", "ts", "user_id", "event_type", "value", "props")
         sites = self._customer_sites().select("c_custkey", "c_name", "n_name", "r_name", "c_acctbal")
         k = F.get_json_object(F.col("props"), "$.k").cast("int")
         spoil = F.col("event_id") % 97
