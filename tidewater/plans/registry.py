@@ -21,6 +21,10 @@ def query(fn):
     return fn
 
 
+def _utc_text(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog(DriverTables(spark, sf_dir))
 
@@ -45,12 +49,14 @@ def obs_per_datastream(spark, sf_dir) -> DataFrame:
     """Flagship: mapped observations -> per datastream count, distinct ids
     (D5: same series and time give the same id), first / last time, sum."""
     g = mapping.map_observations(catalog(spark, sf_dir))
-    return (g.groupBy("datastream_key", "datastream_id")
-            .agg(F.count(F.lit(1)).alias("n_obs"),
-                 F.count_distinct("obs_id").alias("n_ids"),
-                 F.min("phenomenon_time").alias("first_time"),
-                 F.max("phenomenon_time").alias("last_time"),
-                 F.round(F.sum("result"), 2).alias("sum_result")))
+    a = (g.groupBy("datastream_key", "datastream_id")
+         .agg(F.count(F.lit(1)).alias("n_obs"),
+              F.count_distinct("obs_id").alias("n_ids"),
+              F.min("phenomenon_ts").alias("_first"),
+              F.max("phenomenon_ts").alias("_last"),
+              F.round(F.sum("result"), 2).alias("sum_result")))
+    return a.select("datastream_key", "datastream_id", "n_obs", "n_ids", _utc_text("_first").alias("first_time"),
+                    _utc_text("_last").alias("last_time"), "sum_result")
 
 
 # --------------------------------------------------------------- step 2
@@ -227,10 +233,6 @@ def _entities(spark, sf_dir):
     return report.build(catalog(spark, sf_dir))
 
 
-def _utc_text(c):
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 @query
 def entity_counts(spark, sf_dir) -> DataFrame:
     """Rows per collection."""
