@@ -129,6 +129,11 @@ def fnv_continue(state_col: str, suffix_col: str) -> Column:
     return _fnv_continue_udf(F.col(state_col), F.coalesce(F.col(suffix_col), F.lit("")))
 
 
+def fnv_continue_text(state_col: str, suffix: str) -> Column:
+    """Continue a hash state column with a fixed text."""
+    return _fnv_continue_udf(F.col(state_col), F.lit(suffix))
+
+
 def fnv_hash_sql(key_col: str) -> Column:
     """F11 as a pure SQL expression (same values as ``fnv_hash``)."""
     return F.expr(_fold_sql(_key_sql(key_col), _INIT, _SIGNED))

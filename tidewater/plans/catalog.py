@@ -33,8 +33,10 @@ class Catalog:
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _once(self, name: str, build) -> DataFrame:
-        """Dimension tables are built and materialized once per catalogue."""
-        if name not in self._cache:
+        """Dimension tables are built and materialized once per catalogue (and
+        again if their cache was dropped, e.g. by ``clearCache``)."""
+        df = self._cache.get(name)
+        if df is None or not df.storageLevel.useMemory and not df.storageLevel.useDisk:
             self._cache[name] = materialized(build())
         return self._cache[name]
 
@@ -104,20 +106,26 @@ class Catalog:
         state of ``key || NUL`` for observation ids (F13).
         """
         q = self.quantities()
+        # each natural key is hashed once, at the grain where it is unique:
+        # URIs on the quantity table, thing keys per station, datastream keys
+        # per datastream (shared by the datastream and sensor ids, D8)
+        q = (q.withColumn("_h_uri", ids.fnv_hash("TIPO_GRANDEZZA"))
+             .withColumn("observed_property_id", ids.slot_id(F.col("_h_uri"), ids.OBSERVED_PROPERTY_OFFSET))
+             .drop("_h_uri"))
         u = self.units().select("SIGLA_STRUMENTO", F.col("UDM").alias("uom_symbol"),
                                 F.col("DESCRIZIONE_UDM").alias("uom_name"))
         labels = lookups.class_labels(self.source.instruments())
-        ds = (self.stations().join(self.series().select(*DS_KEYS, "VERSION"), SITE_KEYS)
+        st = (self.stations().withColumn("thing_key", key_text(*SITE_KEYS))
+              .withColumn("_h_thing", ids.fnv_hash("thing_key")))
+        ds = (st.join(self.series().select(*DS_KEYS, "VERSION"), SITE_KEYS)
               .join(bounded_broadcast(q), "GRANDEZZA")
               .join(bounded_broadcast(u), "SIGLA_STRUMENTO")
               .join(bounded_broadcast(labels), "SIGLA_STRUMENTO", "left"))
-        ds = (ds.withColumn("thing_key", key_text(*SITE_KEYS))
-              .withColumn("datastream_key", key_text(*DS_KEYS))
-              .withColumn("_ds_prefix", F.concat(F.col("datastream_key"), F.expr("chr(0)"))))
-        return (ds.withColumn("thing_id", ids.entity_id("thing_key", ids.THING_OFFSET))
-                .withColumn("datastream_id", ids.entity_id("datastream_key", ids.DATASTREAM_OFFSET))
-                .withColumn("sensor_id", ids.entity_id("datastream_key", ids.SENSOR_OFFSET))
-                .withColumn("observed_property_id", ids.entity_id("TIPO_GRANDEZZA", ids.OBSERVED_PROPERTY_OFFSET))
-                .withColumn("obs_hash_state", ids.fnv_state("_ds_prefix"))
+        ds = (ds.withColumn("datastream_key", key_text(*DS_KEYS))
+              .withColumn("_h_ds", ids.fnv_hash("datastream_key")))
+        return (ds.withColumn("thing_id", ids.slot_id(F.col("_h_thing"), ids.THING_OFFSET))
+                .withColumn("datastream_id", ids.slot_id(F.col("_h_ds"), ids.DATASTREAM_OFFSET))
+                .withColumn("sensor_id", ids.slot_id(F.col("_h_ds"), ids.SENSOR_OFFSET))
+                .withColumn("obs_hash_state", ids.fnv_continue_text("_h_ds", "\u0000"))
                 .withColumn("quantity_label", quantity_label("TIPO_GRANDEZZA"))
-                .drop("_ds_prefix"))
+                .drop("_h_thing", "_h_ds"))

@@ -25,8 +25,20 @@ def _utc_text(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+_CATALOGS: dict = {}
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(DriverTables(spark, sf_dir))
+    """One catalogue per (session, data folder): its dimension tables are
+    materialized once and shared by every query of the session, so caches do
+    not pile up across queries."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    cat = _CATALOGS.get(key)
+    if cat is None:
+        for k in [k for k in _CATALOGS if k[0] != key[0]]:  # a stopped session's catalogues
+            _CATALOGS.pop(k)
+        cat = _CATALOGS[key] = Catalog(DriverTables(spark, sf_dir))
+    return cat
 
 
 # --------------------------------------------------------------- step 1
@@ -802,8 +814,8 @@ def incremental_load(spark, sf_dir) -> DataFrame:
     checkpoint (a full replay that adds no row). Returns the sink's rows per
     datastream."""
     from tidewater.streaming import incremental as inc
-    src = DriverTables(spark, sf_dir)
-    cat = Catalog(src)
+    cat = catalog(spark, sf_dir)
+    src = cat.source
 
     def map_batch(events):
         g = mapping.map_observations(cat, src.raw_observations(events))
