@@ -17,8 +17,17 @@ QUERIES: dict = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query. Times are rendered as UTC text, so the session time
+    zone is pinned to UTC before the plan is built."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _utc_text(c):
@@ -828,3 +837,21 @@ def incremental_load(spark, sf_dir) -> DataFrame:
         inc.run_available_now(spark, stream, map_batch, sink, f"{base}/{ckpt}")
     t = spark.read.parquet(sink)
     return t.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("obs_id").alias("n_ids"))
+
+
+@query
+def run_totals(spark, sf_dir) -> DataFrame:
+    """Totals of one mapping run -- things, datastreams, observations
+    mapped and rejected."""
+    from functools import reduce
+    cat = catalog(spark, sf_dir)
+    m = mapping.map_all(cat)
+    parts = [
+        cat.stations().agg(F.count(F.lit(1)).alias("n")).select(F.lit("things").alias("metric"), "n"),
+        cat.datastreams().agg(F.count(F.lit(1)).alias("n")).select(F.lit("datastreams").alias("metric"), "n"),
+        m.agg(F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("n"))
+         .select(F.lit("observations_mapped").alias("metric"), "n"),
+        m.agg(F.count(F.when(F.col("reject_reason").isNotNull(), 1)).alias("n"))
+         .select(F.lit("observations_rejected").alias("metric"), "n"),
+    ]
+    return reduce(DataFrame.unionByName, parts)

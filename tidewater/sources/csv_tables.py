@@ -115,9 +115,10 @@ class _Fs:
 
 
 def read_text_table(spark: SparkSession, paths: list[str], required: list[str] | None = None,
-                    with_order: bool = False) -> DataFrame | None:
+                    with_order: bool = False, modified_after: str | None = None) -> DataFrame | None:
     """All-string read of CSV files with per-file delimiter and header;
-    files missing a required column are skipped with a warning (S9)."""
+    files missing a required column are skipped with a warning (S9);
+    ``modified_after`` keeps only files changed after that time (S10)."""
     fs = _Fs(spark)
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for path in paths:
@@ -140,7 +141,10 @@ def read_text_table(spark: SparkSession, paths: list[str], required: list[str] |
     for (sep, cols), files in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", "UTF-8").option("escape", "\"")
-              .option("mode", "PERMISSIVE").csv(files))
+              .option("mode", "PERMISSIVE"))
+        if modified_after:
+            df = df.option("modifiedAfter", modified_after)
+        df = df.csv(files)
         if with_order:
             idx = F.create_map(*[x for f in files for x in (F.lit(_qualified(f)), F.lit(order[f]))])
             df = (df.withColumn("_row", F.monotonically_increasing_id())
@@ -168,9 +172,10 @@ class AnnalsFolder:
     """Source with the same table methods as ``driver.DriverTables`` over a
     folder of district CSV files."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, modified_after: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.modified_after = modified_after
         self._fs = _Fs(spark)
         self._files = self._fs.list(self.root)
 
@@ -243,4 +248,5 @@ class AnnalsFolder:
         return self._series_all()
 
     def raw_observations(self) -> DataFrame:
-        return read_text_table(self.spark, self.district_files("observations"), with_order=True)
+        return read_text_table(self.spark, self.district_files("observations"), with_order=True,
+                               modified_after=self.modified_after)
