@@ -115,3 +115,17 @@ def test_site_tags(cat):
     assert "name: Ufficio Idrografico di Bari, email: uiba@example.org, role: editor, role:  publisher" in canosa
     assert "name: Ufficio di Forlì, individual: Neri, role: owner" in canosa
     assert v[("CANOSA", "organization_1")] == "name: NOPE"     # unknown organisation: its code
+
+
+def test_lookup_rules(spark, tmp_path):
+    from tidewater.operators import lookups
+    (tmp_path / "UNITA_MISURA_UDM.csv").write_text("SIGLA_STRUMENTO,UDM,DESCRIZIONE_UDM\n", encoding="utf-8")
+    src = AnnalsFolder(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        src.units()
+    blank = spark.createDataFrame([(" ", "x")], "k string, v string")
+    with pytest.raises(Exception):
+        lookups.keyed_table(blank, ["k"]).collect()
+    two = spark.createDataFrame([("a", "b")] * 2, "TerritoryName string, TimeZone string")
+    with pytest.raises(lookups.LookupTableError):
+        lookups.general_metadata(two)

@@ -100,3 +100,20 @@ def test_incremental_stream_is_idempotent(spark, tmp_path):
     assert sorted(r.obs_id for r in spark.read.parquet(sink).collect()) == [1, 2, 3]
     run(str(tmp_path / "fresh"))               # full replay adds nothing
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_observation_model_partitioned_write(spark, cat, tmp_path):
+    """K7 + F19: nested observation documents written per datastream folder."""
+    obs = mapping.observation_model(mapping.map_observations(cat))
+    out = str(tmp_path / "obs")
+    sinks.write_observations(obs, out)
+    back = spark.read.parquet(out)
+    assert back.count() == obs.count()
+    r = back.filter(F.col("resultQuality.DQ_Status.code") == "XX9").first()
+    assert r.resultQuality.DQ_Status.label == "XX9" and r.parameters.editorIndividual == "Bianchi"
+    assert sorted({x.ds for x in back.select("ds").collect()}) == ["BA-OFANTO-CANOSA-PIOGGIA", "BA-OFANTO-CANOSA-TEMP_MEDIA"]
+
+
+def test_station_series_keeps_stations_without_series(cat):
+    s = {(r.ALIAS_STAZIONE, r.GRANDEZZA) for r in cat.station_series().collect()}
+    assert ("SENZA SERIE", None) in s   # D4

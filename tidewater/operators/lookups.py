@@ -17,7 +17,7 @@ CITATION_SPELLINGS = {"Reference_Author": ["Reference_Author", "Referece_Author"
                       "Reference_Title": ["Reference_Title", "Referece_Title"]}
 
 
-class LookupError_(ValueError):
+class LookupTableError(ValueError):
     """A lookup table breaks a loader rule (blank key, no rows, blank value)."""
 
 
@@ -47,7 +47,7 @@ def general_metadata(meta: DataFrame) -> dict[str, str]:
     configuration (13 short texts), read once on the driver."""
     rows = meta.limit(2).collect()
     if len(rows) != 1:
-        raise LookupError_(f"general metadata must have exactly one row, found {len(rows)}")
+        raise LookupTableError(f"general metadata must have exactly one row, found {len(rows)}")
     d = {k.strip(): (v.strip() if isinstance(v, str) else v) for k, v in rows[0].asDict().items()}
     for canon, names in CITATION_SPELLINGS.items():
         for n in names:
@@ -56,7 +56,7 @@ def general_metadata(meta: DataFrame) -> dict[str, str]:
                 break
     for k, v in d.items():
         if not k or v is None or v == "":
-            raise LookupError_(f"blank metadata field {k!r}")
+            raise LookupTableError(f"blank metadata field {k!r}")
     return d
 
 

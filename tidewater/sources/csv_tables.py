@@ -146,7 +146,7 @@ def read_text_table(spark: SparkSession, paths: list[str], required: list[str] |
             df = df.option("modifiedAfter", modified_after)
         df = df.csv(files)
         if with_order:
-            idx = F.create_map(*[x for f in files for x in (F.lit(_qualified(f)), F.lit(order[f]))])
+            idx = F.create_map(*[x for f in files for x in (F.lit(f), F.lit(order[f]))])
             df = (df.withColumn("_row", F.monotonically_increasing_id())
                   .withColumn("_file", F.col("_metadata.file_path"))
                   .withColumn("_split", F.col("_metadata.file_block_start"))
@@ -164,10 +164,6 @@ def read_text_table(spark: SparkSession, paths: list[str], required: list[str] |
     return out
 
 
-def _qualified(path: str) -> str:
-    return path
-
-
 class AnnalsFolder:
     """Source with the same table methods as ``driver.DriverTables`` over a
     folder of district CSV files."""
@@ -204,6 +200,8 @@ class AnnalsFolder:
                 return None
             raise FileNotFoundError(path)
         df = read_text_table(self.spark, hit[:1], with_order=True)
+        if df is None or df.limit(1).count() == 0:   # S1: a lookup table without rows is an error
+            raise ValueError(f"lookup table {path} has no rows")
         return df.drop("_row", "_file", "_split", "_file_idx")
 
     def general_metadata(self) -> DataFrame:
