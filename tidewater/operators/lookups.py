@@ -30,7 +30,9 @@ def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     for k in keys:
         b = F.col(k).isNull() | (F.col(k) == "")
         blank = b if blank is None else blank | b
-    return out.withColumn("_key_ok", F.assert_true(~blank, F.lit("blank key in lookup table"))).drop("_key_ok")
+    # assert_true yields NULL when the check passes; as a filter predicate it
+    # cannot be pruned away like an unused column would be
+    return out.filter(F.assert_true(~blank, F.lit("blank key in lookup table")).isNull())
 
 
 def keyed_table(df: DataFrame, keys: list[str], order: str = "_ord") -> DataFrame:
