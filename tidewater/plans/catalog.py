@@ -70,9 +70,10 @@ class Catalog:
                         decimal_comma_strict("Z_MSLM").alias("elevation"))
 
     def series(self) -> DataFrame:
-        """Series rows unique on the 4-part key (last wins)."""
+        """Series rows unique on the 4-part key (last wins); rows with a blank
+        key part (path-B fallback rows) cannot name a datastream here."""
         s = self.source.series()
-        return lookups.keyed_table(s, DS_KEYS)
+        return lookups.keyed_table(s, DS_KEYS, strict=False)
 
     def quantities(self) -> DataFrame:
         return lookups.keyed_table(self.source.quantities(), ["GRANDEZZA"])
