@@ -3,7 +3,8 @@ UTC-timed observations with deterministic ids, plus a reject frame.
 
 Plan shape: one scan of the fact, broadcast lookups (one stage, no shuffle of
 the fact when the catalogue is small), then an optional shuffle only for
-de-duplication or per-datastream aggregates. No Python on the fact path.
+de-duplication or per-datastream aggregates. The only Python on the fact path
+is the Arrow-batched FNV fold of the observation id (``functions.ids``).
 
 Reject reasons, in the order the reference checks them:
 
@@ -34,11 +35,10 @@ REJECT_ORDER = ["unknown_series", "bad_date_part", "bad_hour", "bad_value", "inv
 def typed(raw: DataFrame) -> DataFrame:
     """S6 + P7: typed columns next to the text ones (try_cast, never fail)."""
     h, m = split_hour("ORA")
-    return (raw.withColumn("year", F.trim("ANNO").try_cast("int"))
-            .withColumn("month", F.trim("MESE").try_cast("int"))
-            .withColumn("day", F.trim("GIORNO").try_cast("int"))
-            .withColumn("hour", h).withColumn("minute", m)
-            .withColumn("result", decimal_comma_lenient("VALORE")))
+    return raw.withColumns({
+        "year": F.trim("ANNO").try_cast("int"), "month": F.trim("MESE").try_cast("int"),
+        "day": F.trim("GIORNO").try_cast("int"), "hour": h, "minute": m,
+        "result": decimal_comma_lenient("VALORE")})
 
 
 def map_all(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
@@ -58,8 +58,7 @@ def map_all(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
          .join(bounded_broadcast(flags), "FLAG_VALORE", "left")
          .join(bounded_broadcast(comp), "COMPARTIMENTO", "left")
          .join(bounded_broadcast(orgs), "SIGLA_ENTE_COMPILATORE", "left"))
-    local = local_wall_time("year", "month", "day", "hour", "minute")
-    t = t.withColumn("_local", local)
+    t = t.withColumn("_local", local_wall_time("year", "month", "day", "hour", "minute"))
     reason = (F.when(F.col("_known").isNull(), "unknown_series")
               .when(F.col("year").isNull() | F.col("month").isNull() | F.col("day").isNull(), "bad_date_part")
               .when(F.col("hour").isNull() | F.col("minute").isNull(), "bad_hour")
@@ -68,14 +67,12 @@ def map_all(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
               .when(F.col("district").isNull(), "unknown_compartment")
               .when(F.col("editor_organization").isNull(), "unknown_organisation"))
     utc = local_to_utc("_local", cat.time_zone)
-    t = (t.withColumn("reject_reason", reason)
-         .withColumn("phenomenon_ts", utc)
-         .withColumn("phenomenon_time", instant_text(utc))
-         .withColumn("flag_label", F.coalesce(F.col("flag_label"), F.col("FLAG_VALORE")))
-         .withColumn("citation", citation(F.lit(meta["Reference_Author"]), F.lit(meta["Reference_Title"]),
-                                          F.col("district"), F.col("year"), F.col("PARTE_ANNALE"),
-                                          F.col("PAGINA"), F.col("TABELLA_ORDINE"), F.lit(meta["DataSource"]))))
-    return t
+    return t.withColumns({
+        "reject_reason": reason, "phenomenon_ts": utc, "phenomenon_time": instant_text(utc),
+        "flag_label": F.coalesce(F.col("flag_label"), F.col("FLAG_VALORE")),
+        "citation": citation(F.lit(meta["Reference_Author"]), F.lit(meta["Reference_Title"]), F.col("district"),
+                             F.col("year"), F.col("PARTE_ANNALE"), F.col("PAGINA"), F.col("TABELLA_ORDINE"),
+                             F.lit(meta["DataSource"]))})
 
 
 def good(mapped: DataFrame) -> DataFrame:
