@@ -64,10 +64,13 @@ class Catalog:
     def _stations(self) -> DataFrame:
         s = self.source.stations().withColumnRenamed("Compartimento", "COMPARTIMENTO")
         s = lookups.keyed_table(s, SITE_KEYS)
-        return s.select(*SITE_KEYS,
-                        decimal_comma_strict("X_LONG").alias("lon"),
-                        decimal_comma_strict("Y_LAT").alias("lat"),
-                        decimal_comma_strict("Z_MSLM").alias("elevation"))
+        s = s.select(*SITE_KEYS,
+                     decimal_comma_strict("X_LONG").alias("lon"),
+                     decimal_comma_strict("Y_LAT").alias("lat"),
+                     decimal_comma_strict("Z_MSLM").alias("elevation"),
+                     key_text(*SITE_KEYS).alias("thing_key"))
+        # the thing key is hashed once here; Thing and Location ids derive from it
+        return s.withColumn("thing_hash", ids.fnv_hash("thing_key"))
 
     def series(self) -> DataFrame:
         """Series rows unique on the 4-part key (last wins); rows with a blank
@@ -116,8 +119,7 @@ class Catalog:
         u = self.units().select("SIGLA_STRUMENTO", F.col("UDM").alias("uom_symbol"),
                                 F.col("DESCRIZIONE_UDM").alias("uom_name"))
         labels = lookups.class_labels(self.source.instruments())
-        st = (self.stations().withColumn("thing_key", key_text(*SITE_KEYS))
-              .withColumn("_h_thing", ids.fnv_hash("thing_key")))
+        st = self.stations().withColumnRenamed("thing_hash", "_h_thing")
         ds = (st.join(self.series().select(*DS_KEYS, "VERSION"), SITE_KEYS)
               .join(bounded_broadcast(q), "GRANDEZZA")
               .join(bounded_broadcast(u), "SIGLA_STRUMENTO")

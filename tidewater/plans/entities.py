@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import ids
-from tidewater.functions.text import key_text, series_name, site_description
+from tidewater.functions.text import series_name, site_description
 from tidewater.operators import lookups
 from tidewater.operators.joins import bounded_broadcast
 from tidewater.plans.catalog import SITE_KEYS, Catalog
@@ -32,9 +32,9 @@ def things(cat: Catalog) -> DataFrame:
     """Every station is a Thing (D4: also stations without series)."""
     m = cat.meta
     parties = lookups.general_parties(cat.source.organisations())
-    s = _district(cat, cat.stations()).withColumn("thing_key", key_text(*SITE_KEYS))
+    s = _district(cat, cat.stations())
     return s.select(
-        ids.entity_id("thing_key", ids.THING_OFFSET).alias("thing_id"), "thing_key", *SITE_KEYS,
+        ids.slot_id(F.col("thing_hash"), ids.THING_OFFSET).alias("thing_id"), "thing_key", *SITE_KEYS,
         F.col("ALIAS_STAZIONE").alias("name"),
         site_description(*SITE_KEYS).alias("description"),
         F.struct(F.col("thing_key").alias("annalsSiteId"), F.col("thing_key").alias("siteId"),
@@ -47,12 +47,12 @@ def things(cat: Catalog) -> DataFrame:
 
 def locations(cat: Catalog) -> DataFrame:
     """GeoJSON point [lon, lat, elevation?]."""
-    s = cat.stations().withColumn("thing_key", key_text(*SITE_KEYS))
+    s = cat.stations()
     coords = F.array_compact(F.array(F.col("lon").cast("double"), F.col("lat").cast("double"),
                                      F.col("elevation").cast("double")))
     return s.select(
-        ids.entity_id("thing_key", ids.LOCATION_OFFSET).alias("location_id"),
-        ids.entity_id("thing_key", ids.THING_OFFSET).alias("thing_id"), "thing_key",
+        ids.slot_id(F.col("thing_hash"), ids.LOCATION_OFFSET).alias("location_id"),
+        ids.slot_id(F.col("thing_hash"), ids.THING_OFFSET).alias("thing_id"), "thing_key",
         F.col("ALIAS_STAZIONE").alias("name"), site_description(*SITE_KEYS).alias("description"),
         F.lit(GEOJSON).alias("encodingType"),
         F.struct(F.lit("Point").alias("type"), coords.alias("coordinates")).alias("location"),

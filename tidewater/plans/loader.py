@@ -183,9 +183,12 @@ def load_observations(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
     arrival order (W1, global, D5); groups without a unit are left out (J14).
     Keeps ``datastream_key`` for a ``partitionBy`` write."""
     t = timed(cat, raw)
-    gu = group_units(t.select(*GROUP_KEYS).distinct(), cat.source.quantities(), cat.source.units())
-    ok_groups = gu.filter(F.col("udm").isNotNull()).select(*GROUP_KEYS)
-    t = t.join(bounded_broadcast(ok_groups), GROUP_KEYS, "left_semi")
+    # J14 depends on the quantity only: a semi join with the (small) table of
+    # quantities whose instrument class has a unit, no group-level pass
+    q = cat.source.quantities().select("GRANDEZZA", "SIGLA_STRUMENTO").dropDuplicates(["GRANDEZZA"])
+    u = cat.source.units().select("SIGLA_STRUMENTO").dropDuplicates()
+    with_unit = q.join(u, "SIGLA_STRUMENTO").select("GRANDEZZA")
+    t = t.join(bounded_broadcast(with_unit), "GRANDEZZA", "left_semi")
     t = quality.loadable(t)
     t = quality.dedup_first(t.select(*GROUP_KEYS, "phenomenon_ts", "result", "result_qualifier_codes", "_ord"),
                             GROUP_KEYS, "phenomenon_ts", ["_ord"])

@@ -268,7 +268,13 @@ class DriverTables:
         micro-batch, say)."""
         e = (self.table("events") if events is None else events).select(
             "event_id", "ts", "user_id", "event_type", "value", "props")
-        sites = self._customer_sites().select("c_custkey", "c_name", "n_name", "r_name", "c_acctbal")
+        # events meet the customer projection first: its broadcast is decided on
+        # the customer scan's own size (fact-side shuffle only when it is big),
+        # then nation and region (25 / 5 rows) are attached by broadcast
+        from tidewater.operators.joins import bounded_broadcast
+        c = bounded_broadcast(self.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"))
+        n = F.broadcast(self.table("nation").select("n_nationkey", "n_name", "n_regionkey"))
+        r = F.broadcast(self.table("region").select("r_regionkey", "r_name"))
         k = F.get_json_object(F.col("props"), "$.k").cast("int")
         spoil = F.col("event_id") % 97
         ts = F.col("ts")
@@ -278,7 +284,8 @@ class DriverTables:
                 .when(F.col("event_type").isin("purchase", "signup"),
                       F.when(F.col("k") % 2 == 0, "TMM").otherwise("TMG"))
                 .otherwise("IDR"))
-        j = e.withColumn("k", k).join(sites, e.user_id == sites.c_custkey)
+        j = (e.withColumn("k", k).join(c, e.user_id == c.c_custkey)
+             .join(n, F.col("c_nationkey") == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey))
         return j.select(
             F.col("r_name").alias("COMPARTIMENTO"), F.col("n_name").alias("ALIAS_BACINO"),
             F.col("c_name").alias("ALIAS_STAZIONE"), F.col("event_type").alias("GRANDEZZA"),
