@@ -84,14 +84,17 @@ class Catalog:
     def units(self) -> DataFrame:
         return lookups.keyed_table(self.source.units(), ["SIGLA_STRUMENTO"])
 
+    # small lookup tables: materialized once, so each join that uses them sees
+    # the measured size (an aggregate's estimate alone would block the broadcast)
     def compartments(self) -> DataFrame:
-        return lookups.keyed_table(self.source.compartments(), ["COMPARTIMENTO"])
+        return self._once("compartments",
+                          lambda: lookups.keyed_table(self.source.compartments(), ["COMPARTIMENTO"]))
 
     def organisations(self) -> DataFrame:
-        return lookups.organisations(self.source.organisations())
+        return self._once("organisations", lambda: lookups.organisations(self.source.organisations()))
 
     def flag_labels(self) -> DataFrame:
-        return lookups.flag_descriptions(self.source.flag_quality())
+        return self._once("flag_labels", lambda: lookups.flag_descriptions(self.source.flag_quality()))
 
     # ------------------------------------------------------ datastreams
     def station_series(self) -> DataFrame:
