@@ -120,9 +120,18 @@ OBSERVATION_COLUMNS = ["COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRAND
                        "SIGLA_ENTE_COMPILATORE", "NOME_COMPILATORE"]
 
 
+def _sql_text(v) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _fixed(spark: SparkSession, cols: list[str], rows: list[tuple]) -> DataFrame:
-    schema = ", ".join(f"`{c}` string" for c in cols)
-    return spark.createDataFrame(rows, schema)
+    """A fixed lookup table as an inline VALUES relation: Catalyst knows its
+    exact size, so joins with it are broadcast without a hint."""
+    values = ", ".join("(" + ", ".join(_sql_text(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"`{c}`" for c in cols)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def _decimal_text(units: Column, scale_digits: int, sep: str) -> Column:
