@@ -273,7 +273,7 @@ def elevation_stats(spark, sf_dir) -> DataFrame:
     """Elevation count, min, max, median, mean; locations without one."""
     from tidewater.plans import report
     e = report.elevation(_entities(spark, sf_dir))
-    return e.select("n_elevations", "min_elevation", "max_elevation", "median_elevation",
+    return e.select("n_elevations", "min_elevation", "max_elevation", F.round("median_elevation", 4).alias("median_elevation"),
                     F.round("mean_elevation", 4).alias("mean_elevation"), "locations_without_elevation")
 
 
