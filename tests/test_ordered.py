@@ -29,3 +29,11 @@ def test_running_sum_and_lag(spark):
     lg = lag_within(df, ["key"], "ord", "v", "p", bucket_width=8)
     ref2 = df.withColumn("p", F.lag("v").over(Window.partitionBy("key").orderBy("ord")))
     assert sorted(lg.select("key", "ord", "p").collect()) == sorted(ref2.select("key", "ord", "p").collect())
+
+
+def test_scale_settings():
+    from tidewater.session import scale_settings
+
+    s = scale_settings(100 * 1024 ** 4, 1000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10 ** 6, 2)["spark.sql.shuffle.partitions"] == "24"

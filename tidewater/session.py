@@ -54,3 +54,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
             pass
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scale_settings(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for an input volume (spill-aware).
+
+    * scan splits of ``target_partition_bytes`` (256 MiB): a task's input
+      decompresses to well under an executor core's memory share;
+    * the static shuffle partition count covers the whole input at that size
+      (AQE only coalesces, it never splits a normal shuffle), and is at least
+      three waves of the cluster's cores;
+    * AQE's advisory size matches, and skew splitting starts at 4x that size,
+      so one hot datastream is cut into ~256 MiB pieces in joins.
+    For 100 TB on 1,000 executors x 4 cores: 409,600 shuffle partitions.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
