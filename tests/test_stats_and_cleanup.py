@@ -103,3 +103,23 @@ def test_cascade(spark):
     assert counts == {"Observation": 2, "Datastream": 2, "Thing": 1, "Location": 1}
     upd = cleanup.update_by_id(things.withColumn("n", F.lit("a")), "thing_id", 100, {"n": F.lit("b")})
     assert sorted((r.thing_id, r.n) for r in upd.collect()) == [(100, "b"), (101, "a"), (102, "a")]
+
+
+def test_keyed_lookup_and_broadcast_bound(spark):
+    from tidewater.operators import joins
+    facts = spark.createDataFrame([("a", 1), ("z", 2)], "code string, v long")
+    table = spark.sql("SELECT * FROM VALUES ('a', 'Alpha') AS t(k, name)")
+    got = sorted((r.code, r.name) for r in joins.lookup(facts, table, {"code": "k"}).collect())
+    assert got == [("a", "Alpha"), ("z", None)]          # S2: absent key -> NULL
+    plan = joins.bounded_broadcast(table)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan.lower()                   # small and measured -> hinted
+    unknown = spark.range(10).repartition(2)             # estimate unknown-large
+    big = joins.bounded_broadcast(unknown, max_bytes=1)
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_report_orders(spark):
+    t = spark.createDataFrame([("b", 2), ("A", 2), ("c", 5)], "value string, n long")
+    assert [r.value for r in stats.tally_order(t).collect()] == ["c", "A", "b"]           # O2
+    p = spark.createDataFrame([("beta",), (None,), ("Alpha",)], "name string")
+    assert [r.name for r in stats.observed_property_order(p).collect()] == [None, "Alpha", "beta"]   # O3
