@@ -117,3 +117,14 @@ def test_observation_model_partitioned_write(spark, cat, tmp_path):
 def test_station_series_keeps_stations_without_series(cat):
     s = {(r.ALIAS_STAZIONE, r.GRANDEZZA) for r in cat.station_series().collect()}
     assert ("SENZA SERIE", None) in s   # D4
+
+
+def test_legacy_single_observation_files(spark, tmp_path):
+    d = tmp_path / "single" / "DS-1"
+    d.mkdir(parents=True)
+    (d / "obs_1.json").write_text('{"iot_id": 7, "phenomenonTime": "2024-01-01T00:00:00Z", "result": 1.5}')
+    (d / "obs_2.json").write_text('{\n "iot_id": 8,\n "phenomenonTime": "2024-01-02T00:00:00Z",\n "result": 2.5\n}')
+    body = T.StructType([T.StructField("iot_id", T.LongType()), T.StructField("phenomenonTime", T.StringType()),
+                         T.StructField("result", T.DoubleType())])
+    got = entity_src.read_observation_files(spark, None, str(tmp_path / "single"), body)
+    assert sorted((r.datastream, r.iot_id, r.result) for r in got.collect()) == [("DS-1", 7, 1.5), ("DS-1", 8, 2.5)]
