@@ -41,7 +41,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """One catalogue per (session, data folder): its dimension tables are
     materialized once and shared by every query of the session, so caches do
     not pile up across queries."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
     cat = _CATALOGS.get(key)
     if cat is None:
         for k in [k for k in _CATALOGS if k[0] != key[0]]:  # a stopped session's catalogues
