@@ -226,15 +226,15 @@ RESUME_SPLIT = "2024-01-16T00:00:00Z"
 @query
 def batch_resume(spark, sf_dir) -> DataFrame:
     """K4: observations before the split are already written in batches; the
-    rest is numbered after the highest existing batch of its datastream."""
+    rest is numbered after the highest existing batch of its datastream. Both
+    halves are ranked in one pass (the split is part of the rank key), so the
+    fact is scanned and shuffled once and both branches reuse that exchange."""
     from tidewater.operators import batches
-    g = _mapped(spark, sf_dir)
-    old = g.filter(F.col("phenomenon_time") < RESUME_SPLIT)
-    new = g.filter(F.col("phenomenon_time") >= RESUME_SPLIT)
-    old_b = batches.number_batches(old, "datastream_key", "_ord", SHOWCASE_BATCH)
-    new_b = batches.number_batches(new, "datastream_key", "_ord", SHOWCASE_BATCH)
-    existing = old_b.select("datastream_key", "batch_no").distinct()
-    res = batches.resume_numbering(new_b, existing, "datastream_key")
+    g = _mapped(spark, sf_dir).withColumn("_new", F.col("phenomenon_time") >= RESUME_SPLIT)
+    g = g.withColumn("_run", F.concat("datastream_key", F.when(F.col("_new"), "|new").otherwise("|old")))
+    b = batches.number_batches(g, "_run", "_ord", SHOWCASE_BATCH)
+    existing = b.filter(~F.col("_new")).select("datastream_key", "batch_no").distinct()
+    res = batches.resume_numbering(b.filter(F.col("_new")), existing, "datastream_key")
     return res.select(F.col("_ord").alias("arrival"), "datastream_key", "batch_no", "batch_pos")
 
 
