@@ -123,3 +123,11 @@ def test_report_orders(spark):
     assert [r.value for r in stats.tally_order(t).collect()] == ["c", "A", "b"]           # O2
     p = spark.createDataFrame([("beta",), (None,), ("Alpha",)], "name string")
     assert [r.name for r in stats.observed_property_order(p).collect()] == [None, "Alpha", "beta"]   # O3
+
+
+def test_mask_no_data(spark):
+    from tidewater.operators import quality
+    df = spark.createDataFrame([(1.5,), (-9999.0,), (None,)], "result double")
+    got = [r.result for r in quality.mask_no_data(df).collect()]
+    assert got == [1.5, None, None]
+    assert quality.mask_no_data(df).agg(F.avg("result")).first()[0] == 1.5

@@ -81,3 +81,13 @@ def loadable(obs: DataFrame, result_col: str = "result", flag_col: str = "FLAG_V
     from tidewater.functions.text import qualifier_codes
     return (obs.filter(F.col(result_col).isNotNull())
             .withColumn("result_qualifier_codes", qualifier_codes(flag_col)))
+
+
+# The missing-value sentinel of the source files.
+NO_DATA = -9999.0
+
+
+def mask_no_data(df: DataFrame, col: str = "result", sentinel: float = NO_DATA) -> DataFrame:
+    """The sentinel stays a stored result; this projection turns it into
+    NULL so statistics (sums, means, extremes) can leave it out."""
+    return df.withColumn(col, F.when(F.col(col) != F.lit(sentinel), F.col(col)))
