@@ -39,3 +39,24 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
     spark.catalog.clearCache()
+
+
+def test_runs_from_another_directory(tmp_path):
+    """Workers must not need this repository on their import path: the
+    driver may load __spark_entry__.py from anywhere."""
+    import subprocess
+    import sys
+
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('se', {os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), '__spark_entry__.py')!r})\n"
+        "E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', E.entry(s).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0

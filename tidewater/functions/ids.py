@@ -33,6 +33,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater._shipping import by_value
+
+by_value(__name__)
+
 # FNV-1a 64 offset basis split into 32-bit halves, and the id
 # offsets per entity kind.
 FNV_BASIS_HI = 3421674724   # 0xcbf29ce4

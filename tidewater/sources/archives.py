@@ -19,6 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater._shipping import by_value
+
+by_value(__name__)
+
 from tidewater.sources.csv_tables import choose_delimiter
 
 ENTRY_BITS = 28

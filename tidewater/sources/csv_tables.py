@@ -26,6 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater._shipping import by_value
+
+by_value(__name__)
+
 log = logging.getLogger(__name__)
 
 # File names of the lookup tables.
