@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import bounded_broadcast
+from tidewater.operators.joins import bounded_broadcast, materialized
 
 
 def get_or_create(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +61,10 @@ def apply_write_mode(existing: DataFrame, incoming: DataFrame, mode: str, ds_col
     if mode == NONE:
         return existing.unionByName(incoming)
     if mode == DELETE_BEFORE_UPLOAD:
-        touched = incoming.select(ds_col).distinct()
+        # the touched datastreams are few (a dimension-sized key set) but only
+        # measurable after they are computed: materialize them, then the
+        # existing table is filtered by broadcast instead of being shuffled
+        touched = materialized(incoming.select(ds_col).distinct())
         return existing.join(bounded_broadcast(touched), ds_col, "left_anti").unionByName(incoming)
     if mode == DETERMINISTIC_ID:
         fresh = incoming.dropDuplicates([id_col]).join(existing.select(id_col), id_col, "left_anti")
