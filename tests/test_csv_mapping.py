@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tests.fixtures import write_fixture
 from tidewater.plans import entities, loader, mapping
 from tidewater.plans.catalog import Catalog
-from tidewater.sources.csv_tables import AnnalsFolder, choose_delimiter, split_header
+from tidewater.sources.csv_tables import DistrictFolder, choose_delimiter, split_header
 
 
 @pytest.fixture(scope="module")
 def cat(spark, tmp_path_factory):
-    root = write_fixture(str(tmp_path_factory.mktemp("annals")))
-    return Catalog(AnnalsFolder(spark, root))
+    root = write_fixture(str(tmp_path_factory.mktemp("district")))
+    return Catalog(DistrictFolder(spark, root))
 
 
 def test_delimiter_rule():
@@ -120,7 +120,7 @@ def test_site_tags(cat):
 def test_lookup_rules(spark, tmp_path):
     from tidewater.operators import lookups
     (tmp_path / "UNITA_MISURA_UDM.csv").write_text("SIGLA_STRUMENTO,UDM,DESCRIZIONE_UDM\n", encoding="utf-8")
-    src = AnnalsFolder(spark, str(tmp_path))
+    src = DistrictFolder(spark, str(tmp_path))
     with pytest.raises(ValueError):
         src.units()
     blank = spark.createDataFrame([(" ", "x")], "k string, v string")

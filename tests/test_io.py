@@ -15,15 +15,15 @@ from tidewater.plans.catalog import Catalog
 from tidewater.sinks import files as sinks
 from tidewater.sources import archives
 from tidewater.sources import entities as entity_src
-from tidewater.sources.csv_tables import AnnalsFolder
+from tidewater.sources.csv_tables import DistrictFolder
 from tidewater.sources.driver import OBSERVATION_COLUMNS
 from tidewater.streaming import incremental as inc
 
 
 @pytest.fixture(scope="module")
 def cat(spark, tmp_path_factory):
-    root = write_fixture(str(tmp_path_factory.mktemp("annals_io")))
-    return Catalog(AnnalsFolder(spark, root))
+    root = write_fixture(str(tmp_path_factory.mktemp("district_io")))
+    return Catalog(DistrictFolder(spark, root))
 
 
 def test_zip_archives(spark, tmp_path):

@@ -25,7 +25,7 @@ DS_KEYS = SITE_KEYS + ["GRANDEZZA"]
 class Catalog:
     """Lookup and dimension inputs of one run. ``source`` is any object with
     the table methods of ``sources.driver.DriverTables`` or
-    ``sources.csv_tables.AnnalsFolder``."""
+    ``sources.csv_tables.DistrictFolder``."""
 
     source: object
     zone: str | None = None

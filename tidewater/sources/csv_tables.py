@@ -168,7 +168,7 @@ def read_text_table(spark: SparkSession, paths: list[str], required: list[str] |
     return out
 
 
-class AnnalsFolder:
+class DistrictFolder:
     """Source with the same table methods as ``driver.DriverTables`` over a
     folder of district CSV files."""
 
