@@ -114,7 +114,11 @@ def _fnv_udf(s: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.LongType())
 def _fnv_continue_udf(state: pd.Series, s: pd.Series) -> pd.Series:
-    return pd.Series(fnv_fold(s, state.to_numpy(dtype=np.int64).view(np.uint64)).view(np.int64))
+    """NULL state -> NULL hash (Arrow hands NULL longs over as NaN floats)."""
+    missing = state.isna().to_numpy()
+    start = state.fillna(0).astype("int64").to_numpy().view(np.uint64)
+    h = fnv_fold(s, start).view(np.int64)
+    return pd.Series(pd.arrays.IntegerArray(h, missing))
 
 
 def fnv_hash(key_col: str) -> Column:
