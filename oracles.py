@@ -114,7 +114,7 @@ BASE = [
          CASE WHEN e.k % 7 = 0 THEN '' ELSE 'Editor ' || CAST(e.k % 7 AS VARCHAR) END AS NOME_COMPILATORE,
          e.event_id AS ord, e.ts AS src_ts, e.value AS src_value, e.user_id
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e
-  JOIN sites s ON s.c_custkey = e.user_id)""",
+  LEFT JOIN sites s ON s.c_custkey = e.user_id)""",
     """typed_obs AS (
   SELECT *,
          CASE WHEN v_s IS NULL OR v_s = '' OR upper(v_s) = 'NA' THEN NULL
@@ -129,7 +129,7 @@ BASE = [
     f"""mapped_all AS (
   SELECT o.*, d.datastream_key, d.datastream_id, f.flag_label AS flag_label0, c.NOME_COMPARTIMENTO AS district,
          g.NOME_ENTE_COMPILATORE AS editor_organization, g.RUOLO_ENTE_COMPILATORE AS editor_role,
-         CASE WHEN d.datastream_key IS NULL THEN 'unknown_series'
+         CASE WHEN o.ALIAS_STAZIONE IS NULL THEN 'unknown_station' WHEN d.datastream_key IS NULL THEN 'unknown_series'
               WHEN o.year IS NULL OR o.month IS NULL OR o.day IS NULL THEN 'bad_date_part'
               WHEN o.hour IS NULL OR o.minute IS NULL THEN 'bad_hour'
               WHEN o.result IS NULL THEN 'bad_value'

@@ -129,3 +129,20 @@ def test_lookup_rules(spark, tmp_path):
     two = spark.createDataFrame([("a", "b")] * 2, "TerritoryName string, TimeZone string")
     with pytest.raises(lookups.LookupTableError):
         lookups.general_metadata(two)
+
+
+def test_folder_reader_keeps_every_record_and_its_order(spark, tmp_path):
+    """Spaces in paths, quoted line breaks, deep files and equal positions in
+    several files: nothing is lost and arrival order is total."""
+    from tidewater.sources.csv_tables import read_text_table
+    d = tmp_path / "Distretto di Prova"
+    (d / "a" / "b" / "c").mkdir(parents=True)
+    (d / "osservazioni 1.csv").write_text('A;B\n1;"two\nlines"\n2;x\n')
+    (d / "osservazioni 2.csv").write_text('A;B\n3;"say ""hi"""\n4;y\n')
+    (d / "a" / "b" / "c" / "osservazioni 3.csv").write_text("A;B\n5;z\n")
+    src = DistrictFolder(spark, str(tmp_path))
+    assert len(src.files_matching("osservazioni*.csv")) == 3
+    got = src.raw_observations().orderBy("_ord")
+    assert [(r.A, r.B) for r in got.select("A", "B").collect()] == [("1", "two\nlines"), ("2", "x"), ("3", 'say "hi"'), ("4", "y")]
+    everything = read_text_table(spark, src.files_matching("osservazioni*.csv"), with_order=True)
+    assert everything.select("_ord").distinct().count() == 5

@@ -70,10 +70,10 @@ def test_refresh_and_write_modes(spark):
     assert r == {"k1": ("a", "v1", "both"), "k2": ("b", "v1", "old"), "k3": ("c", None, "new")}
     ex = spark.createDataFrame([(1, "d1"), (2, "d2")], "id long, ds string")
     inc = spark.createDataFrame([(2, "d2"), (3, "d2"), (3, "d2")], "id long, ds string")
-    assert upsert.apply_write_mode(ex, inc, upsert.NONE, "ds", "id").count() == 5
-    assert sorted(x.id for x in upsert.apply_write_mode(ex, inc, upsert.DELETE_BEFORE_UPLOAD, "ds", "id").collect()) == [1, 2, 3, 3]
-    assert sorted(x.id for x in upsert.apply_write_mode(ex, inc, upsert.DETERMINISTIC_ID, "ds", "id").collect()) == [1, 2, 3]
-    again = upsert.apply_write_mode(ex, ex, upsert.DETERMINISTIC_ID, "ds", "id")
+    assert upsert.apply_write_mode(ex, inc, upsert.NONE, "ds", ["id"]).count() == 5
+    assert sorted(x.id for x in upsert.apply_write_mode(ex, inc, upsert.DELETE_BEFORE_UPLOAD, "ds", ["id"]).collect()) == [1, 2, 3, 3]
+    assert sorted(x.id for x in upsert.apply_write_mode(ex, inc, upsert.DETERMINISTIC_ID, "ds", ["id"]).collect()) == [1, 2, 3]
+    again = upsert.apply_write_mode(ex, ex, upsert.DETERMINISTIC_ID, "ds", ["id"])
     assert again.count() == 2   # replay adds nothing
 
 
@@ -89,11 +89,12 @@ def test_reconcile_raises(spark):
 
 
 def test_cascade(spark):
-    props = spark.createDataFrame([(1, "rain"), (2, "temp")], "observed_property_id long, name string")
-    ds = spark.createDataFrame([(10, 100, 1), (11, 100, 2), (12, 101, 1)], "datastream_id long, thing_id long, observed_property_id long")
-    obs = spark.createDataFrame([(1000, 10), (1001, 11), (1002, 12)], "obs_id long, datastream_id long")
-    things = spark.createDataFrame([(100,), (101,), (102,)], "thing_id long")
-    locs = spark.createDataFrame([(200, 100), (201, 101), (202, 102)], "location_id long, thing_id long")
+    props = spark.createDataFrame([("u1", "rain"), ("u2", "temp")], "definition string, name string")
+    ds = spark.createDataFrame([(10, "d10", "t100", "u1"), (11, "d11", "t100", "u2"), (12, "d12", "t101", "u1")],
+                               "datastream_id long, datastream_key string, thing_key string, definition string")
+    obs = spark.createDataFrame([(1000, "d10"), (1001, "d11"), (1002, "d12")], "obs_id long, datastream_key string")
+    things = spark.createDataFrame([(100, "t100"), (101, "t101"), (102, "t102")], "thing_id long, thing_key string")
+    locs = spark.createDataFrame([(200, "t100"), (201, "t101"), (202, "t102")], "location_id long, thing_key string")
     res = cleanup.cascade_by_property_name(props, ds, obs, things, locs, "rain")
     plan = sorted((r.entity, r.iot_id) for r in res.plan.collect())
     assert plan == [("Datastream", 10), ("Datastream", 12), ("Location", 201), ("Observation", 1000),
@@ -105,6 +106,51 @@ def test_cascade(spark):
     assert sorted((r.thing_id, r.n) for r in upd.collect()) == [(100, "b"), (101, "a"), (102, "a")]
 
 
+def test_clashing_ids_keep_keys_apart(spark):
+    """Two datastreams and two things forced onto one id: expand, X1, X3 and the
+    counts go by key."""
+    from tidewater.operators import navigation
+    things = spark.createDataFrame([(1, "ta"), (1, "tb")], "thing_id long, thing_key string")
+    ds = spark.createDataFrame([(5, "a", "ta", "u1"), (5, "b", "tb", "u2")],
+                               "datastream_id long, datastream_key string, thing_key string, definition string")
+    obs = spark.createDataFrame([(9, "a", 5), (9, "b", 5), (8, "b", 5)], "obs_id long, datastream_key string, datastream_id long")
+    locs = spark.createDataFrame([(3, "ta"), (3, "tb")], "location_id long, thing_key string")
+    props = spark.createDataFrame([("u1", "rain"), ("u2", "temp")], "definition string, name string")
+    assert navigation.expand(ds, "thing_key", things, "thing_key", "Thing").count() == 2
+    left = cleanup.delete_observations_of(obs, ds.filter("datastream_key = 'a'"))
+    assert sorted(r.datastream_key for r in left.collect()) == ["b", "b"]
+    res = cleanup.cascade_by_property_name(props, ds, obs, things, locs, "rain")
+    assert {r.entity: r.n for r in cleanup.plan_counts(res).collect()} == {"Observation": 1, "Datastream": 1, "Thing": 1, "Location": 1}
+    assert [r.thing_key for r in res.things.collect()] == ["tb"] and res.observations.count() == 2
+    counts = stats.counts_per_datastream(ds, obs, "datastream_key", "datastream_key")
+    assert {r.datastream_key: r.n_obs for r in counts.collect()} == {"a": 1, "b": 2}
+
+
+def test_empty_collections_in_dependency_order():
+    class Held:
+        def __init__(self):
+            self.empty = False
+
+        def clear(self):
+            self.empty = True
+
+    tables = {"Things": Held(), "Observations": Held(), "Datastreams": Held()}
+    assert cleanup.empty_collections(tables) == ["Observations", "Datastreams", "Things"]
+    assert all(t.empty for t in tables.values())
+
+
+def test_repeated_series_rows_merge_field_by_field(spark):
+    from tidewater.plans import loader
+    rows = [("C", "S", "B", "Q", "Maximum", None, None, None, 1), ("c", "S", "B", "Q", "", "PT3H", None, None, 2)]
+    series = spark.createDataFrame(rows, "COMPARTIMENTO string, ALIAS_STAZIONE string, ALIAS_BACINO string, GRANDEZZA string, "
+                                   "INTERPOLATION_TYPE string, AGGREGATION_PERIOD string, INTENDED_TIME_SPACING string, "
+                                   "INTENDED_TIME_SPACING_UNIT string, _ord long")
+    q = spark.createDataFrame([("Q", "Total", "P1D", "Air")],
+                              "GRANDEZZA string, INTERPOLATION_TYPE string, AGGREGATION_PERIOD string, SAMPLE_MEDIUM string")
+    e = loader._series_entries(series, q).collect()
+    assert len(e) == 1 and (e[0].e_stat, e[0].e_interval) == ("Maximum", 3)
+
+
 def test_keyed_lookup_and_broadcast_bound(spark):
     from tidewater.operators import joins
     facts = spark.createDataFrame([("a", 1), ("z", 2)], "code string, v long")

@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import bounded_broadcast
+from tidewater.session import cut
 
 
-def delete_observations_of(obs: DataFrame, datastream_ids: DataFrame, ds_col: str = "datastream_id") -> DataFrame:
+def delete_observations_of(obs: DataFrame, datastreams: DataFrame, ds_col: str = "datastream_key") -> DataFrame:
     """Observations that survive deleting every observation of the given
-    datastreams."""
-    return obs.join(bounded_broadcast(datastream_ids.select(ds_col).distinct()), ds_col, "left_anti")
+    datastreams, by natural key: hashed ids may clash."""
+    return obs.join(bounded_broadcast(datastreams.select(ds_col).distinct()), ds_col, "left_anti")
 
 
 # Dependency order for emptying whole collections.
@@ -27,9 +28,13 @@ DELETE_ORDER = ["Observations", "Datastreams", "Sensors", "ObservedProperties",
                 "FeaturesOfInterest"]
 
 
-def emptied(df: DataFrame) -> DataFrame:
-    """An empty table with the same schema (written over the old one)."""
-    return df.limit(0)
+def empty_collections(tables: dict) -> list[str]:
+    """Clear stored collections (anything with ``clear()``) in dependency
+    order; returns the names in the order they were emptied."""
+    done = [name for name in DELETE_ORDER if name in tables]
+    for name in done:
+        tables[name].clear()
+    return done
 
 
 def delete_by_id(df: DataFrame, id_col: str, entity_id) -> DataFrame:
@@ -61,15 +66,22 @@ def cascade_by_property_name(props: DataFrame, datastreams: DataFrame, observati
     """Delete the observations and datastreams of every ObservedProperty
     called ``name``, then the Things left without any datastream (J20) and
     their Locations. ``plan`` lists what goes (dry run = do not write the
-    survivors)."""
-    p = props.filter(F.col("name") == F.lit(name)).select("observed_property_id")
-    gone_ds = datastreams.join(bounded_broadcast(p), "observed_property_id", "left_semi").select(
-        "datastream_id", "thing_id")
-    gone_obs = observations.join(bounded_broadcast(gone_ds.select("datastream_id")), "datastream_id", "left_semi")
-    left_ds = datastreams.join(gone_ds.select("datastream_id"), "datastream_id", "left_anti")
-    affected = gone_ds.select("thing_id").distinct()
-    orphan = affected.join(left_ds.select("thing_id").distinct(), "thing_id", "left_anti")
-    gone_loc = locations.join(orphan, "thing_id", "left_semi")
+    survivors).
+
+    All joins are on the natural keys ``definition``, ``datastream_key`` and
+    ``thing_key``; ids are only reported. The doomed datastreams and the orphans
+    are dimension-sized and computed once (in the shared checkpoint folder), so
+    every branch reads them instead of working them out again."""
+    p = props.filter(F.col("name") == F.lit(name)).select("definition").distinct()
+    gone_ds = cut(datastreams.join(bounded_broadcast(p), "definition", "left_semi").select(
+        "datastream_id", "datastream_key", "thing_key"))
+    gone_keys = bounded_broadcast(gone_ds.select("datastream_key"))
+    gone_obs = observations.join(gone_keys, "datastream_key", "left_semi")
+    left_ds = datastreams.join(gone_keys, "datastream_key", "left_anti")
+    affected = gone_ds.select("thing_key").distinct()
+    orphan = cut(things.join(affected, "thing_key", "left_semi")
+                 .join(left_ds.select("thing_key").distinct(), "thing_key", "left_anti").select("thing_key", "thing_id"))
+    gone_loc = locations.join(bounded_broadcast(orphan.select("thing_key")), "thing_key", "left_semi")
     plan = (gone_obs.select(F.lit("Observation").alias("entity"), F.col("obs_id").alias("iot_id"))
             .unionByName(gone_ds.select(F.lit("Datastream").alias("entity"), F.col("datastream_id").alias("iot_id")))
             .unionByName(orphan.select(F.lit("Thing").alias("entity"), F.col("thing_id").alias("iot_id")))
@@ -81,10 +93,10 @@ def cascade_by_property_name(props: DataFrame, datastreams: DataFrame, observati
                "Datastream": gone_ds.select(F.col("datastream_id").alias("iot_id")),
                "Thing": orphan.select(F.col("thing_id").alias("iot_id")),
                "Location": gone_loc.select(F.col("location_id").alias("iot_id"))},
-        observations=observations.join(gone_ds.select("datastream_id"), "datastream_id", "left_anti"),
+        observations=observations.join(gone_keys, "datastream_key", "left_anti"),
         datastreams=left_ds,
-        things=things.join(orphan, "thing_id", "left_anti"),
-        locations=locations.join(orphan, "thing_id", "left_anti"))
+        things=things.join(orphan.select("thing_key"), "thing_key", "left_anti"),
+        locations=locations.join(orphan.select("thing_key"), "thing_key", "left_anti"))
 
 
 def plan_counts(result: CascadeResult) -> DataFrame:

@@ -1,9 +1,9 @@
 """Order-dependent de-duplication.
 
-Both "first wins" and "last wins" are aggregates here, not windows:
-``min_by`` / ``max_by`` over a struct of the row run as partial aggregates
-before the shuffle, so a key holding a third of all rows is pre-reduced on
-every map task instead of being sorted in one task.
+"First wins" and "last wins" are ``row_number() = 1`` per key, which Spark plans
+with a window group limit on both sides of the shuffle: every map task sends at
+most one row of a key, so a key holding a third of all rows costs one row per
+task, and the fact is not sorted twice as a struct-valued aggregate would.
 """
 
 from __future__ import annotations
@@ -19,11 +19,9 @@ def _ord_struct(order: list[str | Column]) -> Column:
 def keep_extreme(df: DataFrame, keys: list[str], order: list[str | Column], first: bool) -> DataFrame:
     """One row per key: the row with the smallest (``first``) or largest order
     tuple. The order tuple must be total (unique per key) for a defined result."""
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    pick = F.min_by if first else F.max_by
-    agg = df.groupBy(*keys).agg(pick(payload, _ord_struct(order)).alias("_row"))
-    return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    by = _ord_struct(order)
+    w = Window.partitionBy(*keys).orderBy(by.asc() if first else by.desc())
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:

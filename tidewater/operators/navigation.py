@@ -1,7 +1,8 @@
 """Navigation joins over the entity model.
 
-Foreign keys are plain columns, so navigation is an equi-join or a filter on
-the key. Child-side counts are aggregated before they meet the parent
+Navigation is an equi-join or a filter on a natural key (``thing_key``,
+``datastream_key``, ``definition``): ids have a limited number of slots and may
+clash, so they are output only. Child-side counts are aggregated before they meet the parent
 (partial aggregation on the large side).
 """
 
@@ -31,19 +32,19 @@ def expand(child: DataFrame, fk: str, parent: DataFrame, pk: str, as_name: str)
     return child.join(bounded_broadcast(p), child[fk] == p["_pk"], "left").drop("_pk")
 
 
-def observations_by_property(obs: DataFrame, ds: DataFrame, property_id=None) -> DataFrame:
-    """Observations reached through Datastream/ObservedProperty; with an
-    id, only that property's observations."""
-    d = ds.select("datastream_id", "observed_property_id")
-    if property_id is not None:
-        d = d.filter(F.col("observed_property_id") == F.lit(property_id))
-    return obs.join(bounded_broadcast(d), "datastream_id")
+def observations_by_property(obs: DataFrame, ds: DataFrame, definition: str | None = None) -> DataFrame:
+    """Observations reached through Datastream/ObservedProperty; with a
+    definition, only that property's observations."""
+    d = ds.select("datastream_key", "definition")
+    if definition is not None:
+        d = d.filter(F.col("definition") == F.lit(definition))
+    return obs.join(bounded_broadcast(d), "datastream_key")
 
 
 def datastreams_by_property_name(ds: DataFrame, props: DataFrame, name: str) -> DataFrame:
     """Datastreams whose ObservedProperty has this name."""
-    p = props.filter(F.col("name") == F.lit(name)).select("observed_property_id")
-    return ds.join(bounded_broadcast(p), "observed_property_id", "left_semi")
+    p = props.filter(F.col("name") == F.lit(name)).select("definition")
+    return ds.join(bounded_broadcast(p), "definition", "left_semi")
 
 
 def orphans(parents: DataFrame, pk: str, children: DataFrame, fk: str) -> DataFrame:

@@ -20,11 +20,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 
-def _bucket(ord_col: str, width: int) -> Column:
+def _bucket(df: DataFrame, ord_col: str, width: int) -> Column:
+    """Bucket of an ordinal: ``width`` values of a number, or all but the last
+    field of a struct (file, split, row): one split of one file."""
+    kind = df.schema[ord_col].dataType
+    if isinstance(kind, T.StructType):
+        return F.struct(*[F.col(ord_col)[f].alias(f) for f in kind.fieldNames()[:-1]])
     return F.floor(F.col(ord_col) / F.lit(width)).cast("long")
 
 
@@ -32,11 +38,11 @@ def running_sum(df: DataFrame, keys: list[str], ord_col: str, value: Column, out
                 tie_cols: list[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH,
                 bucket: Column | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per ``keys`` in (``ord_col``,
-    ``tie_cols``) order. ``ord_col`` must be numeric unless ``bucket`` is
-    given: any column that never decreases along the order (e.g. the year of
+    ``tie_cols``) order. ``ord_col`` must be a number or an arrival struct
+    unless ``bucket`` is given: any column that never decreases along the order (e.g. the year of
     a date-ordered series), bounding the rows per (key, bucket)."""
     tie_cols = tie_cols or []
-    b = bucket if bucket is not None else _bucket(ord_col, bucket_width)
+    b = bucket if bucket is not None else _bucket(df, ord_col, bucket_width)
     d = df.withColumn("_v", value.cast("long")).withColumn("_b", b)
     per_bucket = d.groupBy(*keys, "_b").agg(F.sum("_v").alias("_bsum"))
     w_b = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +65,7 @@ def lag_within(df: DataFrame, keys: list[str], ord_col: str, col: str, out: str,
     """Value of ``col`` on the previous row of the same key (NULL on the
     first). Rows that open a bucket take the last value of the nearest earlier
     non-empty bucket, found on the per-bucket table."""
-    d = df.withColumn("_b", _bucket(ord_col, bucket_width))
+    d = df.withColumn("_b", _bucket(df, ord_col, bucket_width))
     last_per_bucket = d.groupBy(*keys, "_b").agg(F.max_by(F.col(col), F.col(ord_col)).alias("_blast"))
     w_b = Window.partitionBy(*keys).orderBy("_b")
     prev = last_per_bucket.select(*keys, "_b", F.lag("_blast").over(w_b).alias("_prev_bucket_last"))

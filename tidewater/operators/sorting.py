@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.ordered import rank_within
+from tidewater.operators.ordered import DEFAULT_BUCKET_WIDTH, _bucket, rank_within
 
 TEXT_KEYS = ["COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA"]
 INT_MAX = 2147483647
@@ -38,9 +38,11 @@ def sorted_observations(raw: DataFrame, n_partitions: int | None = None, ord_col
 
 def position_in_series(raw: DataFrame, ord_col: str = "_ord") -> DataFrame:
     """O1 checked per series: 1-based position of each row in O1 order
-    within its (compartment, basin, station, quantity). Skew-safe rank
-    bucketed by year (bad year -> last bucket)."""
+    within its (compartment, basin, station, quantity). Skew-safe rank: a
+    bucket is one calendar day (bad parts last) and one stretch of arrival, so
+    it is bounded even if one series has all its rows on one day."""
     d = (raw.withColumn("_y", numeric_sort_key("ANNO")).withColumn("_m", numeric_sort_key("MESE"))
          .withColumn("_d", numeric_sort_key("GIORNO")))
-    r = rank_within(d, TEXT_KEYS, "_y", "position", tie_cols=["_m", "_d", ord_col], bucket=F.col("_y"))
+    r = rank_within(d, TEXT_KEYS, "_y", "position", tie_cols=["_m", "_d", ord_col],
+                    bucket=F.struct("_y", "_m", "_d", _bucket(raw, ord_col, DEFAULT_BUCKET_WIDTH).alias("_o")))
     return r.drop("_y", "_m", "_d")

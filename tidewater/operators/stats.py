@@ -18,6 +18,15 @@ from tidewater.functions.text import blank_to_missing, missing_or_empty, unit_te
 from tidewater.functions.time import duration_text, parse_interval
 
 
+
+def tally_keys() -> list[Column]:
+    return [F.col("n").desc(), F.lower("value")]
+
+
+def property_keys() -> list[Column]:
+    return [F.lower(F.coalesce(F.col("name"), F.lit("")))]
+
+
 def collection_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     """Rows per collection; a ``None`` table (skipped count) gives NULL."""
     parts = []
@@ -101,11 +110,11 @@ def period_stats(ds: DataFrame, id_col: str, time_col: str) -> DataFrame:
      .withColumn("median_text", duration_text(F.floor("median_s").cast("long")))
 
 
-def counts_per_datastream(ds: DataFrame, obs: DataFrame, ds_id: str, obs_ds_id: str) -> DataFrame:
+def counts_per_datastream(ds: DataFrame, obs: DataFrame, key: str, obs_key: str) -> DataFrame:
     """A15 input: every datastream with its observation count (0 when none);
     the fact is reduced by a partial aggregate before the join."""
-    c = obs.groupBy(F.col(obs_ds_id).alias(ds_id)).agg(F.count(F.lit(1)).alias("n_obs"))
-    return ds.join(c, ds_id, "left").withColumn("n_obs", F.coalesce("n_obs", F.lit(0)))
+    c = obs.groupBy(F.col(obs_key).alias(key)).agg(F.count(F.lit(1)).alias("n_obs"))
+    return ds.join(c, key, "left").withColumn("n_obs", F.coalesce("n_obs", F.lit(0)))
 
 
 def count_stats(per_ds: DataFrame, id_col: str) -> DataFrame:
@@ -134,7 +143,7 @@ def tally(df: DataFrame, value: Column, label: str) -> DataFrame:
 
 def tally_order(t: DataFrame) -> DataFrame:
     """O2: count descending, then value case-blind."""
-    return t.orderBy(F.col("n").desc(), F.lower("value"))
+    return t.orderBy(*tally_keys())
 
 
 def datastream_tallies(ds: DataFrame, props_col: str = "properties") -> DataFrame:
@@ -169,12 +178,12 @@ def observed_property_stats(props: DataFrame, ds: DataFrame, per_ds: DataFrame)
 
 def observed_property_order(df: DataFrame) -> DataFrame:
     """O3: by name, case-blind, NULL as blank."""
-    return df.orderBy(F.lower(F.coalesce(F.col("name"), F.lit(""))))
+    return df.orderBy(*property_keys())
 
 
-def phenomenon_interval(obs: DataFrame, ds_col: str, ts_col: str) -> DataFrame:
+def phenomenon_interval(obs: DataFrame, ds_cols: list[str], ts_col: str) -> DataFrame:
     """Per datastream the observed interval ``start/end`` (UTC text)."""
     fmt = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    return (obs.groupBy(ds_col).agg(F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
+    return (obs.groupBy(*ds_cols).agg(F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
             .withColumn("phenomenonTime", F.concat(F.date_format("first_ts", fmt), F.lit("/"),
                                                    F.date_format("last_ts", fmt))))

@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import bounded_broadcast, materialized
+from tidewater.operators.dedup import keep_first
+from tidewater.operators.joins import bounded_broadcast
 
 
 def get_or_create(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows to create (distinct candidates whose key is not present) and
     the resulting table (existing plus created)."""
-    new = candidates.dropDuplicates(keys).join(existing.select(*keys).distinct(), keys, "left_anti")
+    new = candidates.distinct().dropDuplicates(keys).join(existing.select(*keys).distinct(), keys, "left_anti")
     return new, existing.unionByName(new, allowMissingColumns=True)
 
 
@@ -49,36 +50,31 @@ DELETE_BEFORE_UPLOAD = "DELETE_BEFORE_UPLOAD"
 DETERMINISTIC_ID = "DETERMINISTIC_ID"
 
 
-def apply_write_mode(existing: DataFrame, incoming: DataFrame, mode: str, ds_col: str, id_col: str) -> DataFrame:
-    """K8: the observation table after loading ``incoming``.
+def apply_write_mode(existing: DataFrame, incoming: DataFrame, mode: str, ds_col: str, identity: list[str],
+                     order: list[str] | None = None) -> DataFrame:
+    """K8: the observation table after loading ``incoming``. ``identity`` is the
+    natural key of an observation (datastream key, time): hashed ids may clash
+    across datastreams and never decide what is dropped.
 
     * NONE: append everything (duplicates possible);
     * DELETE_BEFORE_UPLOAD: drop the existing rows of every datastream that
       ``incoming`` touches, then append;
-    * DETERMINISTIC_ID: append only rows whose id is not present yet (a
-      replayed batch adds nothing).
+    * DETERMINISTIC_ID: append only rows whose identity is not present yet,
+      the first in ``order`` of several (a replayed batch adds nothing).
+
+    The stored form of the same modes is ``sinks.tables.ObservationTable``.
     """
     if mode == NONE:
         return existing.unionByName(incoming)
     if mode == DELETE_BEFORE_UPLOAD:
-        # the touched datastreams are few (a dimension-sized key set) but only
-        # measurable after they are computed: materialize them, then the
-        # existing table is filtered by broadcast instead of being shuffled
-        touched = materialized(incoming.select(ds_col).distinct())
+        touched = incoming.select(ds_col).distinct()     # one row per datastream; broadcast only if measured small
         return existing.join(bounded_broadcast(touched), ds_col, "left_anti").unionByName(incoming)
     if mode == DETERMINISTIC_ID:
-        fresh = incoming.dropDuplicates([id_col]).join(existing.select(id_col), id_col, "left_anti")
+        fresh = keep_first(incoming, identity, order or identity).join(existing.select(*identity), identity, "left_anti")
         return existing.unionByName(fresh)
     raise ValueError(f"unknown write mode {mode}")
 
 
-def write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    """K8 / X1 sink: dynamic partition overwrite -- only the partitions
-    present in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-
-
 def reconcile(expected: DataFrame, visible: DataFrame, keys: list[str]) -> DataFrame:
     """K9: expected rows per key against rows read back; a row per key with
     both counts and ``ok`` (visible >= expected)."""

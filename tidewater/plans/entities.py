@@ -65,7 +65,7 @@ def datastreams(cat: Catalog) -> DataFrame:
     d = _district(cat, cat.datastreams())
     return d.select(
         "datastream_id", "thing_id", "sensor_id", "observed_property_id", "datastream_key", "thing_key",
-        *SITE_KEYS, "GRANDEZZA", "SIGLA_STRUMENTO", "TIPO_GRANDEZZA",
+        *SITE_KEYS, "GRANDEZZA", "SIGLA_STRUMENTO", "TIPO_GRANDEZZA", F.col("TIPO_GRANDEZZA").alias("definition"),
         series_name("ALIAS_STAZIONE", "DESCRIZIONE_GRANDEZZA").alias("name"),
         F.col("DESCRIZIONE_GRANDEZZA").alias("description"),
         F.lit(OBSERVATION_TYPE).alias("observationType"),
@@ -92,10 +92,11 @@ def sensors(cat: Catalog) -> DataFrame:
 
 
 def observed_properties(cat: Catalog) -> DataFrame:
-    """One ObservedProperty per URI; quantities sharing a URI share it."""
+    """One ObservedProperty per URI; quantities sharing a URI share it.
+    A lookup table of a few rows, so its ids use the SQL form of the hash."""
     q = cat.quantities().select("TIPO_GRANDEZZA").distinct()
     from tidewater.functions.text import quantity_label
-    return q.select(ids.entity_id("TIPO_GRANDEZZA", ids.OBSERVED_PROPERTY_OFFSET).alias("observed_property_id"),
+    return q.select(ids.slot_id(ids.fnv_hash_sql("TIPO_GRANDEZZA"), ids.OBSERVED_PROPERTY_OFFSET).alias("observed_property_id"),
                     F.col("TIPO_GRANDEZZA").alias("definition"),
                     quantity_label("TIPO_GRANDEZZA").alias("name"),
                     F.col("TIPO_GRANDEZZA").alias("description"),

@@ -102,12 +102,15 @@ def site_coordinates(groups: DataFrame, cat: Catalog) -> DataFrame:
 def _series_entries(series: DataFrame, quantities: DataFrame) -> DataFrame:
     """Series-file entries keyed by the normalised 4-part key (F4), with the
     quantity defaults filling what the series row leaves open (J13)."""
+    fields = ["INTERPOLATION_TYPE", "AGGREGATION_PERIOD", "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"]
     s = series.select(norm_key_part("COMPARTIMENTO").alias("k_c"), norm_key_part("ALIAS_STAZIONE").alias("k_s"),
                       norm_key_part("ALIAS_BACINO").alias("k_b"), norm_key_part("GRANDEZZA").alias("k_q"),
-                      "INTERPOLATION_TYPE", "AGGREGATION_PERIOD", "INTENDED_TIME_SPACING",
-                      "INTENDED_TIME_SPACING_UNIT")
+                      *fields, "_ord")
     s = s.filter((F.col("k_c") != "") & (F.col("k_s") != "") & (F.col("k_q") != ""))
-    s = add_iso_period(s.dropDuplicates(["k_c", "k_s", "k_b", "k_q"]), "AGGREGATION_PERIOD", "_pv", "_pu")
+    # repeated rows of a series are merged field by field: the last row that fills a field gives it
+    filled = [F.max_by(optional_text(c), F.when(optional_text(c).isNotNull(), F.col("_ord"))).alias(c) for c in fields]
+    s = s.groupBy("k_c", "k_s", "k_b", "k_q").agg(*filled)
+    s = add_iso_period(s, "AGGREGATION_PERIOD", "_pv", "_pu")
     pv, pu = F.col("_pv"), F.col("_pu")
     spacing = F.col("INTENDED_TIME_SPACING").try_cast("double").cast("long")
     s = s.select("k_c", "k_s", "k_b", "k_q", optional_text("INTERPOLATION_TYPE").alias("s_stat"),

@@ -8,6 +8,7 @@ is the Arrow-batched FNV fold of the observation id (``functions.ids``).
 
 Reject reasons, in the order the reference checks them:
 
+* ``unknown_station``      no station at all (an event without a customer)
 * ``unknown_series``       datastream not in the catalogue (J1; silent there)
 * ``bad_date_part``        year, month or day not an integer (P7)
 * ``bad_hour``             hour text without ``:`` or not numeric (P7)
@@ -28,7 +29,7 @@ from tidewater.functions.time import instant_text, local_to_utc, local_wall_time
 from tidewater.operators.joins import bounded_broadcast
 from tidewater.plans.catalog import DS_KEYS, Catalog
 
-REJECT_ORDER = ["unknown_series", "bad_date_part", "bad_hour", "bad_value", "invalid_datetime",
+REJECT_ORDER = ["unknown_station", "unknown_series", "bad_date_part", "bad_hour", "bad_value", "invalid_datetime",
                 "unknown_compartment", "unknown_organisation"]
 
 
@@ -59,7 +60,8 @@ def map_all(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
          .join(bounded_broadcast(comp), "COMPARTIMENTO", "left")
          .join(bounded_broadcast(orgs), "SIGLA_ENTE_COMPILATORE", "left"))
     t = t.withColumn("_local", local_wall_time("year", "month", "day", "hour", "minute"))
-    reason = (F.when(F.col("_known").isNull(), "unknown_series")
+    reason = (F.when(F.col("ALIAS_STAZIONE").isNull(), "unknown_station")
+              .when(F.col("_known").isNull(), "unknown_series")
               .when(F.col("year").isNull() | F.col("month").isNull() | F.col("day").isNull(), "bad_date_part")
               .when(F.col("hour").isNull() | F.col("minute").isNull(), "bad_hour")
               .when(F.col("result").isNull(), "bad_value")

@@ -34,20 +34,15 @@ def _utc_text(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-_CATALOGS: dict = {}
-
-
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """One catalogue per (session, data folder): its dimension tables are
-    materialized once and shared by every query of the session, so caches do
-    not pile up across queries."""
-    key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
-    cat = _CATALOGS.get(key)
-    if cat is None:
-        for k in [k for k in _CATALOGS if k[0] != key[0]]:  # a stopped session's catalogues
-            _CATALOGS.pop(k)
-        cat = _CATALOGS[key] = Catalog(DriverTables(spark, sf_dir))
-    return cat
+    """One catalogue per session and data folder, kept on the session object:
+    its dimension tables are materialized once and shared by the queries of that
+    session, and go with it."""
+    held = spark.__dict__.setdefault("_tidewater_catalogs", {})
+    key = sf_dir.rstrip("/")
+    if key not in held:
+        held[key] = Catalog(DriverTables(spark, sf_dir))
+    return held[key]
 
 
 # --------------------------------------------------------------- step 1
@@ -130,11 +125,14 @@ def sensor_table(spark, sf_dir) -> DataFrame:
 
 @query
 def observed_property_table(spark, sf_dir) -> DataFrame:
-    """One ObservedProperty per quantity URI."""
+    """One ObservedProperty per quantity URI, with the number of
+    its datastreams."""
+    from tidewater.operators import navigation as N
     from tidewater.plans import entities
-    o = entities.observed_properties(catalog(spark, sf_dir))
+    cat = catalog(spark, sf_dir)
+    o = N.child_counts(entities.observed_properties(cat), "definition", cat.datastreams(), "TIPO_GRANDEZZA", "n_datastreams")
     return o.select("observed_property_id", "definition", "name", "description",
-                    F.col("properties")["variableCode"].alias("variable_code"))
+                    F.col("properties")["variableCode"].alias("variable_code"), "n_datastreams")
 
 
 @query
@@ -156,9 +154,18 @@ def _mapped(spark, sf_dir):
     return mapping.map_observations(catalog(spark, sf_dir))
 
 
+def _mapped_once(spark, sf_dir, *cols):
+    """Mapped observations for plans that use them more than once: scanned,
+    parsed and joined one time, the wanted columns kept in shared storage."""
+    from tidewater.session import cut
+    g = _mapped(spark, sf_dir)
+    return cut(g.select(*cols) if cols else g)
+
+
 def _batched(spark, sf_dir):
     from tidewater.operators import batches
-    return batches.number_batches(_mapped(spark, sf_dir), "datastream_key", "_ord", SHOWCASE_BATCH)
+    g = _mapped_once(spark, sf_dir, "obs_id", "datastream_key", "datastream_id", "phenomenon_time", "result", "_ord")
+    return batches.number_batches(g, "datastream_key", "_ord", SHOWCASE_BATCH)
 
 
 @query
@@ -227,12 +234,13 @@ RESUME_SPLIT = "2024-01-16T00:00:00Z"
 def batch_resume(spark, sf_dir) -> DataFrame:
     """K4: observations before the split are already written in batches; the
     rest is numbered after the highest existing batch of its datastream. Both
-    halves are ranked in one pass (the split is part of the rank key), so the
-    fact is scanned and shuffled once and both branches reuse that exchange."""
+    halves are ranked in one pass (the split is part of the rank key) over the
+    observations mapped once."""
     from tidewater.operators import batches
-    g = _mapped(spark, sf_dir).withColumn("_new", F.col("phenomenon_time") >= RESUME_SPLIT)
+    from tidewater.session import cut
+    g = _mapped_once(spark, sf_dir, "datastream_key", "phenomenon_time", "_ord").withColumn("_new", F.col("phenomenon_time") >= RESUME_SPLIT)
     g = g.withColumn("_run", F.concat("datastream_key", F.when(F.col("_new"), "|new").otherwise("|old")))
-    b = batches.number_batches(g, "_run", "_ord", SHOWCASE_BATCH)
+    b = cut(batches.number_batches(g, "_run", "_ord", SHOWCASE_BATCH))
     existing = b.filter(~F.col("_new")).select("datastream_key", "batch_no").distinct()
     res = batches.resume_numbering(b.filter(F.col("_new")), existing, "datastream_key")
     return res.select(F.col("_ord").alias("arrival"), "datastream_key", "batch_no", "batch_pos")
@@ -243,7 +251,7 @@ def run_batches(spark, sf_dir) -> DataFrame:
     """Legacy runs -- per district file in arrival order, a new run starts
     when the datastream changes."""
     from tidewater.operators import batches
-    g = _mapped(spark, sf_dir)
+    g = _mapped_once(spark, sf_dir, "COMPARTIMENTO", "datastream_key", "_ord")
     r = batches.runs(g, "COMPARTIMENTO", "_ord", "datastream_key")
     return r.select(F.col("_ord").alias("arrival"), "COMPARTIMENTO", "datastream_key", "run_no")
 
@@ -323,7 +331,8 @@ def phenomenon_time(spark, sf_dir) -> DataFrame:
     """Observed interval per datastream."""
     from tidewater.operators import stats
     obs = _mapped(spark, sf_dir)
-    return stats.phenomenon_interval(obs, "datastream_id", "phenomenon_ts").select("datastream_id", "phenomenonTime")
+    return stats.phenomenon_interval(obs, ["datastream_key", "datastream_id"], "phenomenon_ts").select(
+        "datastream_id", "phenomenonTime")
 
 
 @query
@@ -427,7 +436,7 @@ def expand_thing(spark, sf_dir) -> DataFrame:
     from tidewater.operators import navigation as N
     from tidewater.plans import entities
     cat = catalog(spark, sf_dir)
-    e = N.expand(entities.datastreams(cat), "thing_id", entities.things(cat), "thing_id", "Thing")
+    e = N.expand(entities.datastreams(cat), "thing_key", entities.things(cat), "thing_key", "Thing")
     return e.select("datastream_id", F.col("Thing.thing_id").alias("thing_id"), F.col("Thing.name").alias("thing_name"),
                     F.col("Thing.properties.district").alias("thing_district"))
 
@@ -438,28 +447,26 @@ def navigate_thing(spark, sf_dir) -> DataFrame:
     from tidewater.operators import navigation as N
     from tidewater.plans import entities
     cat = catalog(spark, sf_dir)
-    t = entities.things(cat).select("thing_id", "name")
-    t = N.child_counts(t, "thing_id", entities.datastreams(cat), "thing_id", "n_datastreams")
-    t = N.child_counts(t, "thing_id", entities.locations(cat), "thing_id", "n_locations")
-    return t
+    t = entities.things(cat).select("thing_key", "thing_id", "name")
+    t = N.child_counts(t, "thing_key", entities.datastreams(cat), "thing_key", "n_datastreams")
+    t = N.child_counts(t, "thing_key", entities.locations(cat), "thing_key", "n_locations")
+    return t.drop("thing_key")
 
 
 @query
 def navigate_property_observations(spark, sf_dir) -> DataFrame:
     """Observations of one ObservedProperty through its datastreams, and
     datastreams found by property name."""
-    from tidewater.functions import ids
     from tidewater.functions.text import KNOWN_QUANTITY_LABELS
     from tidewater.operators import navigation as N
     from tidewater.plans import entities
     from tidewater.sources.driver import URI_PRECIPITATION
     cat = catalog(spark, sf_dir)
     ds = entities.datastreams(cat)
-    pid = spark.range(1).select(ids.entity_id_lit(URI_PRECIPITATION, ids.OBSERVED_PROPERTY_OFFSET)).first()[0]
-    o = N.observations_by_property(_mapped(spark, sf_dir), ds, pid)
+    o = N.observations_by_property(_mapped(spark, sf_dir), ds, URI_PRECIPITATION)
     by_name = N.datastreams_by_property_name(ds, entities.observed_properties(cat),
                                              KNOWN_QUANTITY_LABELS[URI_PRECIPITATION])
-    a = o.groupBy("datastream_id").agg(F.count(F.lit(1)).alias("n"))
+    a = o.groupBy("datastream_key", "datastream_id").agg(F.count(F.lit(1)).alias("n"))
     a = a.select("datastream_id", F.lit("observations").alias("what"), "n")
     b = by_name.select("datastream_id", F.lit("datastream").alias("what"), F.lit(1).cast("long").alias("n"))
     return a.unionByName(b)
@@ -547,7 +554,8 @@ def responsible_parties(spark, sf_dir) -> DataFrame:
     from tidewater.operators import lookups, quality
     cat = catalog(spark, sf_dir)
     parties = lookups.general_parties(cat.source.organisations())
-    r = quality.responsible_parties(_mapped(spark, sf_dir), "datastream_key", "editor_code", "editor_individual",
+    g = _mapped_once(spark, sf_dir, "datastream_key", "editor_code", "editor_individual")
+    r = quality.responsible_parties(g, "datastream_key", "editor_code", "editor_individual",
                                     parties)
     return r.select("datastream_key", "org_code", "is_general", F.size("editors").alias("n_editors"),
                     F.array_join("editors", ",").alias("editors"))
@@ -660,17 +668,28 @@ def upsert_datastreams(spark, sf_dir) -> DataFrame:
 
 @query
 def write_modes(spark, sf_dir) -> DataFrame:
-    """K8: rows and distinct ids after loading an overlapping batch in each
-    write mode."""
+    """K7, K8, K9: an overlapping batch loaded into a stored table in each write
+    mode; rows and distinct ids of the table read back."""
     from functools import reduce
 
     from tidewater.operators import upsert
-    g = _mapped(spark, sf_dir).select("obs_id", "datastream_key", "phenomenon_time", "result")
+    from tidewater.sinks.tables import ObservationTable
+    from tidewater.streaming.incremental import scratch
+    g = _mapped_once(spark, sf_dir, "obs_id", "datastream_key", "phenomenon_time", "result", "_ord")
     existing = g.filter(F.col("phenomenon_time") < OVERLAP_TO)
     incoming = g.filter(F.col("phenomenon_time") >= OVERLAP_FROM)
+    base, schema = scratch(spark, "write-modes"), g.drop("_ord").schema
     parts = []
     for mode in (upsert.NONE, upsert.DELETE_BEFORE_UPLOAD, upsert.DETERMINISTIC_ID):
-        t = upsert.apply_write_mode(existing, incoming, mode, "datastream_key", "obs_id")
+        table = ObservationTable(spark, f"{base}/{mode}", schema, buckets=8)
+        table.load(existing, mode)
+        if mode == upsert.NONE:
+            table.append(incoming)
+        elif mode == upsert.DELETE_BEFORE_UPLOAD:
+            table.replace(incoming)
+        else:
+            table.append_new(incoming, ["datastream_key", "phenomenon_time"], ["_ord"])
+        t = table.read()
         parts.append(t.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("obs_id").alias("n_ids"))
                      .select(F.lit(mode).alias("mode"), "n_rows", "n_ids"))
     return reduce(DataFrame.unionByName, parts)
@@ -678,13 +697,16 @@ def write_modes(spark, sf_dir) -> DataFrame:
 
 @query
 def reconcile(spark, sf_dir) -> DataFrame:
-    """K9: expected rows per batch against the rows a keyed store keeps
-    (one per id; a repeated id is kept in its first batch)."""
+    """K9: expected rows per batch against the rows read back from a stored
+    table that keeps one row per observation (the first batch's)."""
     from tidewater.operators import upsert
-    from tidewater.operators.dedup import keep_first
-    b = _batched(spark, sf_dir).select("obs_id", "datastream_key", "batch_no", "_ord")
-    visible = keep_first(b, ["obs_id"], ["_ord"])
-    r = upsert.reconcile(b, visible, ["datastream_key", "batch_no"])
+    from tidewater.session import cut
+    from tidewater.sinks.tables import ObservationTable
+    from tidewater.streaming.incremental import scratch
+    b = cut(_batched(spark, sf_dir).select("obs_id", "datastream_key", "phenomenon_time", "batch_no", "_ord"))
+    table = ObservationTable(spark, scratch(spark, "reconcile"), b.schema, buckets=8)
+    table.append_new(b, ["datastream_key", "phenomenon_time"], ["_ord"])
+    r = upsert.reconcile(b, table.read(), ["datastream_key", "batch_no"])
     return r.select("datastream_key", "batch_no", "expected", "visible", "ok")
 
 
@@ -696,7 +718,8 @@ def _cascade(spark, sf_dir):
     from tidewater.plans import entities
     cat = catalog(spark, sf_dir)
     return cleanup.cascade_by_property_name(
-        entities.observed_properties(cat), entities.datastreams(cat), _mapped(spark, sf_dir),
+        entities.observed_properties(cat), entities.datastreams(cat),
+        _mapped(spark, sf_dir).select("obs_id", "datastream_key"),
         entities.things(cat), entities.locations(cat), PROPERTY_TO_DELETE)
 
 
@@ -721,20 +744,26 @@ def delete_observations(spark, sf_dir) -> DataFrame:
     of the datastreams aggregated over 3 hours."""
     from tidewater.operators import cleanup
     cat = catalog(spark, sf_dir)
-    target = cat.datastreams().filter(F.col("AGGREGATION_PERIOD") == "PT3H").select("datastream_id")
+    target = cat.datastreams().filter(F.col("AGGREGATION_PERIOD") == "PT3H").select("datastream_key")
     left = cleanup.delete_observations_of(_mapped(spark, sf_dir), target)
-    return left.groupBy("datastream_id").agg(F.count(F.lit(1)).alias("n_obs"))
+    return (left.groupBy("datastream_key", "datastream_id").agg(F.count(F.lit(1)).alias("n_obs"))
+            .select("datastream_id", "n_obs"))
 
 
 @query
 def set_operations(spark, sf_dir) -> DataFrame:
-    """U1 union of per-district files, U2 distinct keys, U3 difference."""
+    """U1 union of per-district parts, U2 distinct keys, U3 difference."""
     from tidewater.operators import upsert
+    from tidewater.session import cut
     cat = catalog(spark, sf_dir)
     raw = cat.source.raw_observations()
-    parts = [raw.filter(F.col("COMPARTIMENTO") == r) for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
+    # one part per district there is; the rows are read once for all parts
+    names = [r[0] for r in cat.source.table("region").select("r_name").distinct().collect()]
+    rows = cut(raw.select("COMPARTIMENTO", "_ord"))
+    parts = [rows.filter(F.col("COMPARTIMENTO") == r) for r in sorted(names)]
+    parts.append(rows.filter(F.col("COMPARTIMENTO").isNull()))
     u1 = upsert.union_files(parts).agg(F.count(F.lit(1)).alias("n")).select(F.lit("union").alias("op"), "n")
-    g = _mapped(spark, sf_dir)
+    g = _mapped_once(spark, sf_dir, "obs_id", "datastream_key", "result")
     u2 = g.select("datastream_key").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit("distinct").alias("op"), "n")
     deleted = g.filter(F.col("result") > 250).select("obs_id", "datastream_key")
     u3 = (upsert.difference(g.select("obs_id", "datastream_key"), deleted).agg(F.count(F.lit(1)).alias("n"))
@@ -761,7 +790,8 @@ def sorted_observations(spark, sf_dir) -> DataFrame:
     """O1: position of every raw row in file order within its series (text
     keys, then year, month, day as numbers with bad values last, stable)."""
     from tidewater.operators import sorting
-    raw = catalog(spark, sf_dir).source.raw_observations()
+    from tidewater.session import cut
+    raw = cut(catalog(spark, sf_dir).source.raw_observations().select(*sorting.TEXT_KEYS, "ANNO", "MESE", "GIORNO", "_ord"))
     p = sorting.position_in_series(raw)
     return p.select(*sorting.TEXT_KEYS, "ANNO", "MESE", "GIORNO", F.col("_ord").alias("arrival"), "position")
 
@@ -828,17 +858,195 @@ def incremental_load(spark, sf_dir) -> DataFrame:
 
     def map_batch(events):
         g = mapping.map_observations(cat, src.raw_observations(events))
-        return g.select("obs_id", "datastream_key", "phenomenon_time", "result", "flag")
+        return g.select("obs_id", "datastream_key", "phenomenon_time", "result", "flag", "_ord")
 
     base = inc.scratch(spark, "incremental")
     sink = f"{base}/table"
     for ckpt in ("ckpt-a", "ckpt-a", "ckpt-b"):
-        stream = inc.file_stream(spark, sf_dir, src.events_schema(), glob="events.parquet")
+        stream = inc.table_stream(spark, sf_dir, "events", src.events_schema())
         inc.run_available_now(spark, stream, map_batch, sink, f"{base}/{ckpt}")
     t = spark.read.parquet(sink)
     return t.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("obs_id").alias("n_ids"))
 
 
+# -------------------------------------------------------------- step 10
+def _awkward(raw):
+    """Raw rows whose texts need quoting: line breaks, quotes, delimiters."""
+    return raw.withColumn("NOME_STAZIONE_ANNALE", F.replace("NOME_STAZIONE_ANNALE", F.lit("#"), F.lit("\n"))) \
+        .withColumn("NOME_BACINO_ANNALE", F.concat("NOME_BACINO_ANNALE", F.lit(' "'), "PARTE_ANNALE", F.lit('"; a, b')))
+
+
+def _files_back(spark, sf_dir, zipped):
+    from tidewater.operators.ordered import rank_within
+    from tidewater.session import cut
+    from tidewater.sinks.districts import write_district_files
+    from tidewater.sources.archives import read_zip_csv
+    from tidewater.sources.csv_tables import DistrictFolder
+    from tidewater.sources.driver import OBSERVATION_COLUMNS
+    from tidewater.streaming.incremental import scratch
+    root = scratch(spark, "district files")
+    src = DriverTables(spark, sf_dir)
+    last = src.table("events").agg(F.max("event_id")).first()[0] or 0
+    cut(write_district_files(_awkward(src.raw_observations()), root, last // 4 + 1, OBSERVATION_COLUMNS, zipped))
+    back = (read_zip_csv(spark, f"{root}/*/", OBSERVATION_COLUMNS, "osservazioni") if zipped
+            else DistrictFolder(spark, root).raw_observations())
+    ranked = rank_within(cut(back.select(*OBSERVATION_COLUMNS, "_ord")), ["COMPARTIMENTO"], "_ord", "arrival_rank")
+    return ranked.select(*[F.coalesce(c, F.lit("")).alias(c) for c in OBSERVATION_COLUMNS], "arrival_rank")
+
+
+@query
+def csv_round_trip(spark, sf_dir) -> DataFrame:
+    """The events as district CSV files in shared storage
+    (sub-folders and names with spaces, three delimiters, byte-order marks,
+    quoted line breaks), read back in arrival order per district."""
+    return _files_back(spark, sf_dir, zipped=False)
+
+
+@query
+def archive_round_trip(spark, sf_dir) -> DataFrame:
+    """As ``csv_round_trip`` with every file in a zip archive."""
+    return _files_back(spark, sf_dir, zipped=True)
+
+
+@query
+def sorted_files(spark, sf_dir) -> DataFrame:
+    """K1, O1: raw rows written as sorted CSV files and read back; the position
+    of each row in its series, in file order."""
+    from tidewater.operators import sorting
+    from tidewater.operators.ordered import rank_within
+    from tidewater.session import cut
+    from tidewater.sinks.files import write_sorted
+    from tidewater.sources.csv_tables import _Fs, read_text_table
+    from tidewater.streaming.incremental import scratch
+    out = scratch(spark, "sorted")
+    write_sorted(sorting.sorted_observations(DriverTables(spark, sf_dir).raw_observations()), out, sep=";")
+    files = [f for f in _Fs(spark).list(out) if f.endswith(".csv")]
+    cols = [*sorting.TEXT_KEYS, "ANNO", "MESE", "GIORNO", "ORA", "VALORE"]
+    back = cut(read_text_table(spark, files, with_order=True).select(*cols, "_ord"))
+    return (rank_within(back, sorting.TEXT_KEYS, "_ord", "position")
+            .select(*[F.coalesce(c, F.lit("")).alias(c) for c in cols], "position"))
+
+
+@query
+def report_orders(spark, sf_dir) -> DataFrame:
+    """O2, O3: the report order of every property tally and of the observed
+    properties, as ranks."""
+    from pyspark.sql import Window
+
+    from tidewater.operators import stats
+    from tidewater.plans import report
+    t = _entities(spark, sf_dir)
+    tally = report.tallies(t).select("property", "value", "n")
+    o2 = Window.partitionBy("property").orderBy(*stats.tally_keys())
+    a = tally.select("property", "value", F.row_number().over(o2).alias("rank"))
+    o3 = Window.partitionBy("property").orderBy(*stats.property_keys())
+    b = report.observed_properties(t).select(F.lit("observedProperty").alias("property"), "name")
+    return a.unionByName(b.select("property", F.col("name").alias("value"), F.row_number().over(o3).alias("rank")))
+
+
+@query
+def observation_documents(spark, sf_dir) -> DataFrame:
+    """quality and parameters of the nested observation documents."""
+    o = mapping.observation_model(_mapped(spark, sf_dir))
+    q, p = F.col("resultQuality.DQ_Status"), F.col("parameters")
+    return o.select("iot_id", "datastream_key", "phenomenonTime", q["code"].alias("quality_code"),
+                    q["label"].alias("quality_label"), p["referenceCitation"].alias("citation"),
+                    p["editorIndividual"].alias("editor"), p["annalStationName"].alias("station_name"),
+                    p["annalInstrumentType"].alias("instrument_type"))
+
+
+@query
+def entity_folders(spark, sf_dir) -> DataFrame:
+    """Entity documents written to shared storage and read
+    back; rows per kind and the Things found by id."""
+    from functools import reduce
+
+    from tidewater.plans import entities
+    from tidewater.sinks.files import write_entities
+    from tidewater.sources.entities import entity_by_id, read_entities
+    from tidewater.streaming.incremental import scratch
+    cat = catalog(spark, sf_dir)
+    out = scratch(spark, "entities")
+    write_entities({"Things": entities.things(cat), "Locations": entities.locations(cat),
+                    "Datastreams": entities.datastreams(cat), "Sensors": entities.sensors(cat),
+                    "ObservedProperties": entities.observed_properties(cat)}, out)
+    back = read_entities(spark, out)
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in back.items()]
+    smallest = back["Things"].agg(F.min("thing_id")).first()[0]
+    one = entity_by_id(back["Things"], "thing_id", smallest)
+    parts.append(one.agg(F.count(F.lit(1)).alias("n")).select(F.lit("Thing by id").alias("kind"), "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def id_clashes(spark, sf_dir) -> DataFrame:
+    """Keys and ids per entity kind. Ids have a limited number of slots;
+    joins and deletes use the keys, and this reports where ids clash."""
+    from functools import reduce
+    cat = catalog(spark, sf_dir)
+    frames = [("Thing", cat.datastreams().select(F.col("thing_key").alias("k"), F.col("thing_id").alias("i"))),
+              ("Datastream", cat.datastreams().select(F.col("datastream_key").alias("k"), F.col("datastream_id").alias("i"))),
+              ("Observation", _mapped(spark, sf_dir).select(F.concat_ws("|", "datastream_key", "phenomenon_time").alias("k"),
+                                                            F.col("obs_id").alias("i")))]
+    per_id = reduce(DataFrame.unionByName, [df.distinct().groupBy("i").agg(F.count("k").alias("n")).withColumn("entity", F.lit(e))
+                                            for e, df in frames])
+    return per_id.groupBy("entity").agg(F.sum("n").alias("n_keys"), F.count(F.lit(1)).alias("n_ids"),
+                                        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("n_clashing_ids"))
+
+
+@query
+def stored_deletes(spark, sf_dir) -> DataFrame:
+    """A stored table after deleting the observations of the datastreams
+    aggregated over 3 hours, and after emptying it."""
+    from tidewater.operators import cleanup
+    from tidewater.sinks.tables import ObservationTable
+    from tidewater.streaming.incremental import scratch
+    cat = catalog(spark, sf_dir)
+    g = _mapped_once(spark, sf_dir, "obs_id", "datastream_key", "phenomenon_time")
+    base = scratch(spark, "deletes")
+    kept, gone = (ObservationTable(spark, f"{base}/{n}", g.schema, buckets=8) for n in ("kept", "gone"))
+    kept.append(g)
+    kept.delete(cat.datastreams().filter(F.col("AGGREGATION_PERIOD") == "PT3H"))
+    gone.append(g)
+    cleanup.empty_collections({"Observations": gone})
+    return (kept.read().groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n_obs"))
+            .unionByName(gone.read().agg(F.count(F.lit(1)).alias("n_obs")).select(F.lit("(emptied)").alias("datastream_key"), "n_obs")))
+
+
+@query
+def get_or_create_entities(spark, sf_dir) -> DataFrame:
+    """J15 for every kind but sites: what the earlier load knows is reused, the
+    rest is created. Qualifiers are matched by their flag alone."""
+    from functools import reduce
+
+    from tidewater.operators import upsert
+    d = catalog(spark, sf_dir).datastreams().select("datastream_key", "SIGLA_STRUMENTO", "TIPO_GRANDEZZA", "uom_symbol")
+    g = _mapped(spark, sf_dir).select("datastream_key", "flag", (F.col("phenomenon_time") < SPLIT_EXISTING).alias("old"))
+    from tidewater.session import cut
+    seen = cut(g.groupBy("datastream_key", "flag").agg(F.max("old").alias("old")).join(d, "datastream_key"))
+    parts = []
+    for kind, key in (("Sensor", "SIGLA_STRUMENTO"), ("ObservedProperty", "TIPO_GRANDEZZA"), ("Unit", "uom_symbol"),
+                      ("ResultQualifier", "flag"), ("Datastream", "datastream_key")):
+        rows = seen.select(F.col(key).alias("entity_key"), "old")
+        existing = rows.filter("old").select("entity_key").distinct()
+        new, _ = upsert.get_or_create(rows.select("entity_key"), existing, ["entity_key"])
+        parts += [existing.select(F.lit(kind).alias("kind"), "entity_key", F.lit("existing").alias("origin")),
+                  new.select(F.lit(kind).alias("kind"), "entity_key", F.lit("created").alias("origin"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def find_datastreams(spark, sf_dir) -> DataFrame:
+    """Datastreams by the exact definition of their property, and by a
+    property list."""
+    from tidewater.operators import predicates as P
+    from tidewater.sources.driver import URI_AIR_TEMPERATURE
+    d = _ds_entities(spark, sf_dir)
+    a = d.filter(F.col("definition") == URI_AIR_TEMPERATURE).select("datastream_key", F.lit("definition").alias("found_by"))
+    b = d.filter(P.property_in("aggregationPeriod", "PT3H", "P1M")).select("datastream_key", F.lit("property list").alias("found_by"))
+    return a.unionByName(b)
+
+
 @query
 def run_totals(spark, sf_dir) -> DataFrame:
     """Totals of one mapping run -- things, datastreams, observations

@@ -30,8 +30,8 @@ def build(cat: Catalog) -> EntityTables:
     interval of their observations (A18), NULL when they have none."""
     obs = mapping.map_observations(cat)
     ds = entities.datastreams(cat)
-    pt = stats.phenomenon_interval(obs, "datastream_id", "phenomenon_ts").select("datastream_id", "phenomenonTime")
-    ds = ds.join(pt, "datastream_id", "left")
+    pt = stats.phenomenon_interval(obs, ["datastream_key"], "phenomenon_ts").select("datastream_key", "phenomenonTime")
+    ds = ds.join(pt, "datastream_key", "left")
     return EntityTables(entities.things(cat), entities.locations(cat), ds, entities.sensors(cat),
                         entities.observed_properties(cat), obs)
 
@@ -61,8 +61,8 @@ def periods(t: EntityTables) -> DataFrame:
 
 
 def per_datastream_counts(t: EntityTables) -> DataFrame:
-    return stats.counts_per_datastream(t.datastreams.select("datastream_id", "observed_property_id"),
-                                       t.observations, "datastream_id", "datastream_id")
+    return stats.counts_per_datastream(t.datastreams.select("datastream_key", "datastream_id", "observed_property_id"),
+                                       t.observations, "datastream_key", "datastream_key")
 
 
 def observation_counts(t: EntityTables) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -40,22 +41,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there). Only when it is unset -- local tests -- a fresh scratch folder
-    is created and registered.
+    folder there). Only when it is unset on a local master -- tests -- a fresh
+    scratch folder is created and registered; a cluster without a shared folder
+    is an error, as no executor would see the driver's own folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core conf may be read-only at run time
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, its lineage cut:
+    several uses read it instead of computing it again, and none of it is lost
+    with an executor."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scale_settings(input_bytes: int, executors: int, cores_per_executor: int = 4,
                    target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Session settings sized for an input volume (spill-aware).

@@ -58,7 +58,8 @@ def deep_insert_documents(things: DataFrame, datastreams: DataFrame, sensors: Da
 
 
 def write_observations(obs: DataFrame, out: str, ds_col: str = "datastream_key") -> None:
-    """K7: observation table partitioned by datastream; dynamic partition
-    overwrite replaces only the datastreams present (K8 DELETE_BEFORE_UPLOAD)."""
-    (obs.withColumn("ds", path_safe(ds_col)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(out))
+    """K7: observation table in hash buckets; only the datastreams present are
+    replaced (K8 DELETE_BEFORE_UPLOAD), decided by the key itself."""
+    from tidewater.sinks.tables import ObservationTable
+
+    ObservationTable(obs.sparkSession, out, obs.schema, ds_col).replace(obs)

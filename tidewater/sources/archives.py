@@ -1,11 +1,13 @@
 """Zip archives of observation files.
 
-``binaryFile`` gives one row per archive; ``mapInPandas`` opens it on an
-executor and emits the CSV records of its entries as text columns -- one
-task per archive, nothing passes through the driver. Entry names that would
-escape the extraction folder (``..`` parts, absolute paths) fail the job, as
-the reference refuses them. Archives are read whole into a task (a zip is not
-splittable); one row of ``binaryFile`` is limited to 2 GiB.
+The archives are listed by Spark (path and length only). A task opens its
+archives one after the other, streams the CSV entries record by record and
+emits them in batches of ``BATCH`` rows: nothing is held but the open entry's
+buffer, and nothing passes through the driver. Archives up to ``INLINE`` bytes
+come as a ``binaryFile`` row; larger ones, which no row can hold, are opened as
+seekable files through Arrow's file systems. Entry names that would escape the
+extraction folder (``..`` parts, absolute paths) fail the job, as the reference
+refuses them.
 """
 
 from __future__ import annotations
@@ -14,18 +16,18 @@ import csv
 import io
 import zipfile
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater._shipping import by_value
 
 by_value(__name__)
 
 from tidewater.sources.csv_tables import choose_delimiter
+from tidewater.sources.stores import file_system
 
-ENTRY_BITS = 28
+BATCH = 10_000
+INLINE = 256 << 20
 
 
 def unsafe_entry(name: str) -> bool:
@@ -33,48 +35,65 @@ def unsafe_entry(name: str) -> bool:
     return name.startswith("/") or any(p == ".." for p in parts) or (len(name) > 1 and name[1] == ":")
 
 
+def entry_records(archive: str, stream, columns: list[str], want: str | None):
+    """(entry, entry number, line, cells) of every record of the CSV entries."""
+    with zipfile.ZipFile(stream) as z:
+        names = sorted(n for n in z.namelist() if not n.endswith("/"))
+        for n in names:
+            if unsafe_entry(n):
+                raise ValueError(f"archive entry escapes the target folder: {archive}!{n}")
+        for number, n in enumerate(names):
+            base = n.rsplit("/", 1)[-1].lower()
+            if not base.endswith(".csv") or (want and want not in base):
+                continue
+            with io.TextIOWrapper(z.open(n), "utf-8-sig", newline="") as text:
+                head = text.readline()
+                if not head.strip():
+                    continue
+                sep = choose_delimiter(head)
+                at = {c.strip(): i for i, c in enumerate(next(csv.reader([head], delimiter=sep)))}
+                places = [at.get(c) for c in columns]
+                for line, cells in enumerate(row for row in csv.reader(text, delimiter=sep) if row):
+                    yield n, number, line, [cells[i] if i is not None and i < len(cells) else None for i in places]
+
+
 def read_zip_csv(spark: SparkSession, path_glob: str, columns: list[str], name_contains: str | None = None
                  ) -> DataFrame:
     """Records of the CSV entries of every archive as text columns, plus
-    ``_archive``, ``_entry``, ``_line`` and a numeric arrival order ``_ord``
-    (archive path order, entry order, line)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField("_archive", T.StringType()), T.StructField("_entry", T.StringType()),
-                             T.StructField("_entry_idx", T.LongType()), T.StructField("_line", T.LongType())])
+    ``_archive``, ``_entry``, ``_line`` and the arrival order ``_ord``: the
+    struct (archive path, entry number, line), which sorts as it is."""
     want = name_contains.lower() if name_contains else None
 
-    def explode_archives(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                out = []
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    names = sorted(n for n in z.namelist() if not n.endswith("/"))
-                    for n in names:
-                        if unsafe_entry(n):
-                            raise ValueError(f"archive entry escapes the target folder: {path}!{n}")
-                    for ei, n in enumerate(names):
-                        base = n.rsplit("/", 1)[-1].lower()
-                        if not base.endswith(".csv") or (want and want not in base):
-                            continue
-                        text = z.read(n).decode("utf-8-sig")
-                        lines = text.splitlines()
-                        if not lines:
-                            continue
-                        sep = choose_delimiter(lines[0])
-                        reader = csv.DictReader(io.StringIO(text), delimiter=sep)
-                        reader.fieldnames = [f.strip() for f in reader.fieldnames]
-                        for li, rec in enumerate(reader):
-                            row = {c: rec.get(c) for c in columns}
-                            row.update(_archive=path, _entry=n, _entry_idx=ei, _line=li)
-                            out.append(row)
-                if out:
-                    yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+    def records(batches):
+        import pyarrow as pa
+
+        def batch(rows):
+            cells = [pa.array([r[4][i] for r in rows], pa.string()) for i in range(len(columns))]
+            return pa.RecordBatch.from_arrays(
+                cells + [pa.array([r[k] for r in rows], t) for k, t in ((0, pa.string()), (1, pa.string()), (2, pa.int64()), (3, pa.int64()))],
+                names=[*columns, "_archive", "_entry", "_number", "_line"])
+
+        for given in batches:
+            for path, content in zip(given.column(0).to_pylist(), given.column(1)):
+                if content.is_valid:
+                    stream = pa.BufferReader(content.as_buffer())
+                else:
+                    store, name = file_system(path)
+                    stream = store.open_input_file(name)
+                rows = []
+                with stream:
+                    for record in entry_records(path, stream, columns, want):
+                        rows.append((path, *record))
+                        if len(rows) == BATCH:
+                            yield batch(rows)
+                            rows = []
+                if rows:
+                    yield batch(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path_glob)
-    recs = files.select("path", "content").mapInPandas(explode_archives, schema)
-    # archive order: one row per archive (file listing), ranked by path
-    order = files.select("path").withColumn("_archive_idx", F.dense_rank().over(Window.orderBy("path")) - 1)
-    return (recs.join(F.broadcast(order.withColumnRenamed("path", "_archive")), "_archive")
-            .withColumn("_ord", F.col("_archive_idx") * F.lit(1 << 40) + F.col("_entry_idx") * F.lit(1 << ENTRY_BITS)
-                        + F.col("_line"))
-            .drop("_archive_idx"))
+    small = files.filter(F.col("length") <= INLINE).select("path", "content")
+    large = files.filter(F.col("length") > INLINE).select("path", F.lit(None).cast("binary").alias("content"))
+    texts = ", ".join(f"`{c}` string" for c in columns)
+    out = small.unionByName(large).mapInArrow(records, f"{texts}, _archive string, _entry string, _number long, _line long")
+    return out.withColumn("_ord", F.struct(F.col("_archive").alias("file"), F.col("_number").alias("split"),
+                                           F.col("_line").alias("row"))).drop("_number")

@@ -10,17 +10,19 @@ folder per district holding station, series and observation files.
   distributed ``read.csv`` per (delimiter, header) group and ``unionByName``;
 * a UTF-8 byte-order mark is dropped (Spark's CSV reader does so for the
   data; the peeked header is cleaned here);
-* arrival order of observation rows is the tuple (file index in sorted path
-  order, split start, scan-time monotonically increasing id), which is
-  increasing inside each split (``_file_idx``, ``_split``, ``_row``);
-  ``_ord`` is a numeric form that preserves that order for the bucketed
-  rank (file index in the top bits).
+* a quoted cell may hold line breaks: files with a line of unpaired quotes (one
+  scan of the lines that have a quote at all) are read as multi-line records,
+  one task per file; all other files stay splittable;
+* arrival order ``_ord`` is the struct (file path, split start, row id). It sorts
+  as it is, nothing is packed into bits, and no number of files, splits or rows
+  makes two rows equal. (file, split) is the bucket of the skew-safe ranks.
 """
 
 from __future__ import annotations
 
 import fnmatch
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ SERIES_REQUIRED = ["COMPARTIMENTO", "ALIAS_STAZIONE", "ALIAS_BACINO", "GRANDEZZA
 SERIES_OPTIONAL = ["TIPO_GRANDEZZA", "VERSION", "INTERPOLATION_TYPE", "AGGREGATION_PERIOD",
                    "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"]
 PEEK_BYTES = 65536
+HEADER_THREADS = 16
 BOM = "﻿"
 
 
@@ -86,24 +89,24 @@ class _Fs:
         p, fs = self._fs(path)
         return bool(fs.exists(p))
 
-    def list(self, root: str, depth: int = 2) -> list[str]:
-        """Files under ``root`` down to ``depth`` folder levels, sorted,
-        skipping the ``processed`` and ``sta`` folders (S4, S5)."""
+    def qualified(self, path: str) -> str:
+        """The path as listings give it, with its file system."""
+        p, fs = self._fs(path)
+        return fs.makeQualified(p).toString()
+
+    def list(self, root: str) -> list[str]:
+        """All files under ``root``, at any depth, sorted, skipping the
+        ``processed`` and ``sta`` folders (S4, S5)."""
         out: list[str] = []
         p, fs = self._fs(root)
-        if not fs.exists(p):
-            return out
-
-        def walk(path, level):
-            for st in fs.listStatus(path):
+        todo = [p] if fs.exists(p) else []
+        while todo:
+            for st in fs.listStatus(todo.pop()):
                 name = st.getPath().getName()
-                if st.isDirectory():
-                    if level < depth and name not in SKIP_DIRS:
-                        walk(st.getPath(), level + 1)
-                else:
+                if not st.isDirectory():
                     out.append(st.getPath().toString())
-
-        walk(p, 1)
+                elif name not in SKIP_DIRS:
+                    todo.append(st.getPath())
         return sorted(set(out))
 
     def first_line(self, path: str) -> str:
@@ -118,15 +121,32 @@ class _Fs:
         return (line or "").lstrip(BOM)
 
 
+def broken_records(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which some line has an odd number of quotes, so that a record
+    goes on in the next line. Paths as Spark reports them."""
+    if not paths:
+        return set()
+    lines = spark.read.text(paths).withColumn("_file", F.col("_metadata.file_path"))
+    odd = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1
+    return {r[0] for r in lines.filter(F.col("value").contains('"') & odd).select("_file").distinct().collect()}
+
+
 def read_text_table(spark: SparkSession, paths: list[str], required: list[str] | None = None,
                     with_order: bool = False, modified_after: str | None = None) -> DataFrame | None:
     """All-string read of CSV files with per-file delimiter and header;
     files missing a required column are skipped with a warning (S9);
-    ``modified_after`` keeps only files changed after that time (S10)."""
+    ``modified_after`` keeps only files changed after that time (S10).
+    Headers are peeked by a few driver threads, one line per file."""
+    from concurrent.futures import ThreadPoolExecutor
+    from urllib.parse import quote, unquote
+
     fs = _Fs(spark)
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for path in paths:
-        line = fs.first_line(path)
+    plain = lambda p: unquote(re.sub("^file:/+", "/", p))
+    broken = {plain(p) for p in broken_records(spark, paths)}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        heads = list(pool.map(fs.first_line, paths))
+    groups: dict[tuple[str, tuple[str, ...], bool], list[str]] = {}
+    for path, line in zip(paths, heads):
         if not line.strip():
             log.warning("empty file skipped: %s", path)
             continue
@@ -137,34 +157,25 @@ def read_text_table(spark: SparkSession, paths: list[str], required: list[str] |
             if missing:
                 log.warning("file %s lacks required columns %s; skipped", path, missing)
                 continue
-        groups.setdefault((sep, tuple(cols)), []).append(path)
+        groups.setdefault((sep, tuple(cols), plain(quote(path, safe="%:/")) in broken or plain(path) in broken), []).append(path)
     if not groups:
         return None
-    order = {p: i for i, p in enumerate(paths)}
     frames = []
-    for (sep, cols), files in groups.items():
+    for (sep, cols, multi_line), files in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", "UTF-8").option("escape", "\"")
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE").option("multiLine", multi_line))
         if modified_after:
             df = df.option("modifiedAfter", modified_after)
         df = df.csv(files)
         if with_order:
-            idx = F.create_map(*[x for f in files for x in (F.lit(f), F.lit(order[f]))])
-            df = (df.withColumn("_row", F.monotonically_increasing_id())
-                  .withColumn("_file", F.col("_metadata.file_path"))
-                  .withColumn("_split", F.col("_metadata.file_block_start"))
-                  .withColumn("_file_idx", F.coalesce(idx[F.col("_file")], F.lit(-1)).cast("long")))
+            df = df.withColumn("_ord", F.struct(F.col("_metadata.file_path").alias("file"),
+                                                F.col("_metadata.file_block_start").alias("split"),
+                                                F.monotonically_increasing_id().alias("row")))
         frames.append(df)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    if with_order:
-        # numeric ordinal: file index (top 20 bits), split start in MiB (next
-        # 20 bits), row position inside the partition (low 23 bits)
-        out = out.withColumn("_ord", F.col("_file_idx") * F.lit(1 << 43)
-                             + F.floor(F.col("_split") / F.lit(1 << 20)).cast("long") * F.lit(1 << 23)
-                             + F.col("_row").bitwiseAND(F.lit((1 << 23) - 1)))
     return out
 
 
@@ -185,8 +196,8 @@ class DistrictFolder:
         out = []
         for f in self._files:
             name = f.rsplit("/", 1)[-1]
-            parent = f[len(self.root):].strip("/").split("/")
-            if len(parent) < 2:   # lookup tables live at the root
+            parent = f[len(self._fs.qualified(self.root)):].strip("/").split("/")
+            if len(parent) != 2:  # lookup tables live at the root, district files one folder below
                 continue
             if word in name.lower() and name.lower().endswith(".csv"):
                 out.append(f)
@@ -206,7 +217,7 @@ class DistrictFolder:
         df = read_text_table(self.spark, hit[:1], with_order=True)
         if df is None or df.limit(1).count() == 0:   # S1: a lookup table without rows is an error
             raise ValueError(f"lookup table {path} has no rows")
-        return df.drop("_row", "_file", "_split", "_file_idx")
+        return df
 
     def general_metadata(self) -> DataFrame:
         return self._lookup("general_metadata").drop("_ord")
@@ -231,7 +242,7 @@ class DistrictFolder:
 
     def stations(self) -> DataFrame:
         df = read_text_table(self.spark, self.district_files("stations"), with_order=True)
-        return df.drop("_row", "_file", "_split", "_file_idx")
+        return df
 
     def _series_all(self) -> DataFrame:
         df = read_text_table(self.spark, self.district_files("series"), required=SERIES_REQUIRED, with_order=True)
@@ -241,7 +252,7 @@ class DistrictFolder:
         for c in SERIES_OPTIONAL:
             if c not in df.columns:
                 df = df.withColumn(c, F.lit(None).cast("string"))
-        return df.drop("_row", "_file", "_split", "_file_idx")
+        return df
 
     def series(self) -> DataFrame:
         return self._series_all()

@@ -242,7 +242,7 @@ class DriverTables:
                 .select(F.col("r_name").alias("COMPARTIMENTO"), F.col("c_name").alias("ALIAS_STAZIONE"),
                         F.col("n_name").alias("ALIAS_BACINO"), "TIPO_GRANDEZZA", "GRANDEZZA", "VERSION",
                         "INTERPOLATION_TYPE", "AGGREGATION_PERIOD", "INTENDED_TIME_SPACING",
-                        "INTENDED_TIME_SPACING_UNIT"))
+                        "INTENDED_TIME_SPACING_UNIT", F.col("c_custkey").alias("_ord")))
 
     def series_b(self) -> DataFrame:
         """Series file as the path-B loader sees it: the FURNITURE stations
@@ -257,7 +257,7 @@ class DriverTables:
                         F.col("c_name").alias("ALIAS_STAZIONE"),
                         F.when(seg == "BUILDING", F.lit("")).otherwise(F.col("n_name")).alias("ALIAS_BACINO"),
                         "TIPO_GRANDEZZA", "GRANDEZZA", "VERSION", "INTERPOLATION_TYPE", "AGGREGATION_PERIOD",
-                        "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"))
+                        "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT", F.col("c_custkey").alias("_ord")))
 
     def lineitem_observations(self) -> DataFrame:
         """Second fact with repeated times: series (l_suppkey, l_returnflag),
@@ -293,8 +293,10 @@ class DriverTables:
                 .when(F.col("event_type").isin("purchase", "signup"),
                       F.when(F.col("k") % 2 == 0, "TMM").otherwise("TMG"))
                 .otherwise("IDR"))
-        j = (e.withColumn("k", k).join(c, e.user_id == c.c_custkey)
-             .join(n, F.col("c_nationkey") == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey))
+        # outer joins: an event of an unknown customer stays and is rejected as unknown_station
+        j = (e.withColumn("k", k).join(c, e.user_id == c.c_custkey, "left")
+             .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+             .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
         return j.select(
             F.col("r_name").alias("COMPARTIMENTO"), F.col("n_name").alias("ALIAS_BACINO"),
             F.col("c_name").alias("ALIAS_STAZIONE"), F.col("event_type").alias("GRANDEZZA"),

@@ -7,14 +7,14 @@ existing entities are kept and observation ids are deterministic. Here:
   processed (a re-run with the same checkpoint reads only new files);
 * ``trigger(availableNow=True)`` processes what is there and stops, so the
   same job serves batch re-runs and continuous operation;
-* ``foreachBatch`` maps the micro-batch and appends only rows whose id is not
-  in the sink yet (left anti join on the deterministic id). A micro-batch
-  replayed after a failure, or a replay with a fresh checkpoint, adds
-  nothing. The sink is partitioned by datastream folder and the anti join
-  first narrows the existing ids to the datastreams of the batch, so the
-  check reads only the affected partitions.
-
-Cross-run de-duplication is by id, not by watermark: observations may arrive
+* ``foreachBatch`` maps the micro-batch and appends only rows whose identity
+  (datastream key, time) is not in the sink yet, by a left anti join. A
+  micro-batch replayed after a failure, or a replay with a fresh checkpoint,
+  adds nothing; the first batch takes the same path as later ones. The sink
+  (``sinks.tables.ObservationTable``) has a bounded number of hash buckets and
+  only those that the batch touches are read.
+
+Cross-run de-duplication is by natural key, not by watermark: observations may arrive
 years late (a digitised yearbook), so no state is ever expired.
 """
 
@@ -25,33 +25,22 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewater.functions.text import path_safe
 from tidewater.session import checkpoint_dir
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def append_new_ids(spark: SparkSession, batch: DataFrame, sink: str, id_col: str, ds_col: str) -> None:
-    """K5/K8 DETERMINISTIC_ID append: rows whose id is absent from the sink."""
-    fresh = batch.dropDuplicates([id_col]).withColumn("ds", path_safe(ds_col))
-    if _exists(spark, f"{sink}/_SUCCESS"):
-        touched = fresh.select("ds").distinct()
-        existing = spark.read.parquet(sink).select("ds", id_col).join(F.broadcast(touched), "ds", "left_semi")
-        fresh = fresh.join(existing, ["ds", id_col], "left_anti")
-    fresh.write.mode("append").partitionBy("ds").parquet(sink)
+from tidewater.sinks.tables import ObservationTable
 
 
 def run_available_now(spark: SparkSession, stream: DataFrame, map_batch: Callable[[DataFrame], DataFrame],
-                      sink: str, checkpoint: str, id_col: str = "obs_id", ds_col: str = "datastream_key") -> None:
-    """Process every file available now, then stop."""
+                      sink: str, checkpoint: str, identity: tuple = ("datastream_key", "phenomenon_time"),
+                      ds_col: str = "datastream_key", order: str = "_ord") -> None:
+    """Process every file available now, then stop. Of several rows with one
+    identity in a micro-batch the first in ``order`` (if there is such a column)
+    is stored; ``order`` itself is not."""
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        append_new_ids(spark, map_batch(batch_df), sink, id_col, ds_col)
+        rows = map_batch(batch_df)
+        schema = rows.drop(order).schema
+        table = ObservationTable(spark, sink, schema, ds_col)
+        table.append_new(rows, list(identity), [order] if order in rows.columns else None)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -72,6 +61,16 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return r.load(folder)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+    """A parquet table as a file stream, whether it is one file or a folder of
+    part files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        return file_stream(spark, p.toString(), schema)
+    return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
