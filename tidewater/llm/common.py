@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.session import checkpoint_dir
+from tidewater.session import checkpoint_dir, cut  # noqa: F401
 
 by_value(__name__)
 
@@ -26,15 +26,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage:
-    later reads survive the loss of any executor."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        checkpoint_dir(spark)
-    return df.checkpoint()
-
-
 def map_arrow(df: DataFrame, fn: Callable[..., Iterator], schema: str) -> DataFrame:
     """``mapInArrow`` with the task function shipped by value."""
     by_value(fn.__module__ if fn.__module__ in sys.modules else __name__)
