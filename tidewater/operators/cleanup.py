@@ -38,14 +38,14 @@ def empty_collections(tables: dict) -> list[str]:
 
 
 def delete_by_id(df: DataFrame, id_col: str, entity_id) -> DataFrame:
-    """Drop one entity."""
-    return df.filter(F.col(id_col) != F.lit(entity_id))
+    """Drop one entity (a value or a scalar subquery; nothing if absent)."""
+    return df.filter(~F.col(id_col).eqNullSafe(F.lit(entity_id)) | F.col(id_col).isNull())
 
 
 def update_by_id(df: DataFrame, id_col: str, entity_id, changes: dict[str, Column]) -> DataFrame:
     """Patch one entity: the given columns change on that row only."""
     out = df
-    hit = F.col(id_col) == F.lit(entity_id)
+    hit = F.col(id_col).eqNullSafe(F.lit(entity_id)) & F.col(id_col).isNotNull()
     for c, v in changes.items():
         out = out.withColumn(c, F.when(hit, v).otherwise(F.col(c)))
     return out

@@ -4,18 +4,19 @@ The reference pages through every collection and issues one count request
 per datastream; here each statistic is one aggregate over an entity table.
 Observation counts are a ``groupBy`` with map-side partial aggregation, so
 the fact is reduced to one row per datastream before anything else happens.
-Exact medians run over dimension-sized sets (locations, datastreams).
+Exact medians are found by range partitions and counts, never in one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import blank_to_missing, missing_or_empty, unit_text
 from tidewater.functions.time import duration_text, parse_interval
+from tidewater.session import cut
 
 
 
@@ -64,6 +65,34 @@ def bbox(points: DataFrame) -> DataFrame:
                  F.min("lat").alias("south"), F.max("lon").alias("east"))
 
 
+def exact_median(df: DataFrame, col: str) -> Column:
+    """The exact median of a column as a literal (double; NULL without values).
+
+    Counts per value are range-partitioned and counted per partition; only the
+    partitions that hold the middle ranks are summed up value by value, so no
+    task sees all values. Partition counts are all that reaches the driver."""
+    counts = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+              .repartitionByRange("v").withColumn("p", F.spark_partition_id()))
+    counts = cut(counts)
+    parts = sorted(counts.groupBy("p").agg(F.sum("n").alias("n")).collect())
+    total = sum(r["n"] for r in parts)
+    if not total:
+        return F.lit(None).cast("double")
+    ranks, before, hits = sorted({(total - 1) // 2, total // 2}), 0, {}
+    for r in parts:
+        for k in ranks:
+            if before <= k < before + r["n"]:
+                hits[k] = (r["p"], k - before)
+        before += r["n"]
+    up_to = Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    some = counts.filter(F.col("p").isin([p for p, _ in hits.values()])).withColumn("s", F.sum("n").over(up_to))
+    middle = []
+    for p, k in hits.values():
+        own = some.filter((F.col("p") == p) & (F.col("s") > k)).agg(F.min("v").cast("double")).first()[0]
+        middle.append(own)
+    return F.lit(sum(middle) / len(middle))
+
+
 def elevation_stats(points: DataFrame, id_col: str) -> DataFrame:
     """Elevation count, min, max, median, mean over all points; and the
     number of locations without any elevation."""
@@ -71,7 +100,7 @@ def elevation_stats(points: DataFrame, id_col: str) -> DataFrame:
     no_elev = per_loc.agg(F.sum(F.when(F.col("_ne") == 0, 1).otherwise(0)).alias("locations_without_elevation"))
     e = points.filter(F.col("elevation").isNotNull()).agg(
         F.count(F.lit(1)).alias("n_elevations"), F.min("elevation").alias("min_elevation"),
-        F.max("elevation").alias("max_elevation"), F.median("elevation").alias("median_elevation"),
+        F.max("elevation").alias("max_elevation"), exact_median(points, "elevation").alias("median_elevation"),
         F.avg("elevation").alias("mean_elevation"))
     return _side_by_side(e, no_elev)
 
@@ -92,7 +121,7 @@ def period_stats(ds: DataFrame, id_col: str, time_col: str) -> DataFrame:
     start, end, dur = parse_interval(time_col)
     t = F.col(time_col)
     missing = t.isNull() | (F.trim(t) == "")
-    d = ds.select(id_col, missing.alias("_missing"), start.alias("_s"), end.alias("_e"), dur.alias("_d"))
+    d = cut(ds.select(id_col, missing.alias("_missing"), start.alias("_s"), end.alias("_e"), dur.alias("_d")))
     ok = F.col("_d").isNotNull()
     return d.agg(
         F.count(F.lit(1)).alias("datastreams_scanned"),
@@ -105,8 +134,7 @@ def period_stats(ds: DataFrame, id_col: str, time_col: str) -> DataFrame:
         F.min("_d").alias("shortest_s"),
         F.min_by(F.when(ok, F.col(id_col)), F.when(ok, F.struct(-F.col("_d"), F.col(id_col)))).alias("longest_id"),
         F.max("_d").alias("longest_s"),
-        F.median("_d").alias("median_s"),
-    ).withColumn("span_s", F.unix_timestamp("overall_end") - F.unix_timestamp("overall_start")) \
+    ).withColumn("median_s", exact_median(d, "_d")).withColumn("span_s", F.unix_timestamp("overall_end") - F.unix_timestamp("overall_start")) \
      .withColumn("median_text", duration_text(F.floor("median_s").cast("long")))
 
 
@@ -120,12 +148,13 @@ def counts_per_datastream(ds: DataFrame, obs: DataFrame, key: str, obs_key: str)
 def count_stats(per_ds: DataFrame, id_col: str) -> DataFrame:
     """Min and max observation count with their datastream (first id
     wins), integer median (floor, D17), mean, empty count, sample size."""
+    per_ds = cut(per_ds.select(id_col, "n_obs"))         # one row per datastream; the fact is counted once
     return per_ds.agg(
         F.min("n_obs").alias("min_obs"),
         F.min_by(F.col(id_col), F.struct("n_obs", id_col)).alias("min_obs_datastream"),
         F.max("n_obs").alias("max_obs"),
         F.min_by(F.col(id_col), F.struct(-F.col("n_obs"), F.col(id_col))).alias("max_obs_datastream"),
-        F.floor(F.median("n_obs")).cast("long").alias("median_obs"),
+        F.floor(exact_median(per_ds, "n_obs")).cast("long").alias("median_obs"),
         F.avg("n_obs").alias("mean_obs"),
         F.sum(F.when(F.col("n_obs") == 0, 1).otherwise(0)).alias("empty_datastreams"),
         F.count(F.lit(1)).alias("sample_size"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import bounded_broadcast
 from tidewater.plans import mapping
 from tidewater.plans.catalog import Catalog
 from tidewater.sources.driver import DriverTables
@@ -343,7 +344,7 @@ def iso_period(spark, sf_dir) -> DataFrame:
     s = cat.series().select("COMPARTIMENTO", "ALIAS_BACINO", "ALIAS_STAZIONE", "GRANDEZZA",
                             F.col("AGGREGATION_PERIOD").alias("_sp"))
     q = cat.quantities().select("GRANDEZZA", F.col("AGGREGATION_PERIOD").alias("_qp"))
-    j = s.join(F.broadcast(q), "GRANDEZZA")
+    j = s.join(bounded_broadcast(q), "GRANDEZZA")
     from tidewater.functions.text import key_text
     j = add_iso_period(j.withColumn("period_text", F.coalesce("_sp", "_qp")), "period_text",
                        "period_value", "period_unit")
@@ -494,7 +495,7 @@ def flag_descriptions(spark, sf_dir) -> DataFrame:
     cat = catalog(spark, sf_dir)
     raw = cat.source.raw_observations()
     f = raw.groupBy("FLAG_VALORE").agg(F.count(F.lit(1)).alias("n_obs"))
-    return (f.join(F.broadcast(cat.flag_labels()), "FLAG_VALORE", "left")
+    return (f.join(bounded_broadcast(cat.flag_labels()), "FLAG_VALORE", "left")
             .select(F.col("FLAG_VALORE").alias("flag"), F.coalesce("flag_label", "FLAG_VALORE").alias("flag_label"),
                     "n_obs"))
 
@@ -508,10 +509,10 @@ def qualifier_merge(spark, sf_dir) -> DataFrame:
     cat = catalog(spark, sf_dir)
     t = loader.timed(cat)
     q = cat.source.quantities().select("GRANDEZZA", "SIGLA_STRUMENTO")
-    pairs = (t.join(F.broadcast(q), "GRANDEZZA").groupBy("SIGLA_STRUMENTO", "FLAG_VALORE")
+    pairs = (t.join(bounded_broadcast(q), "GRANDEZZA").groupBy("SIGLA_STRUMENTO", "FLAG_VALORE")
              .agg(F.count(F.lit(1)).alias("n_obs")))
     m = quality.merged_qualifiers(cat.source.flag_quality())
-    return pairs.join(F.broadcast(m), ["SIGLA_STRUMENTO", "FLAG_VALORE"], "left").select(
+    return pairs.join(bounded_broadcast(m), ["SIGLA_STRUMENTO", "FLAG_VALORE"], "left").select(
         F.col("SIGLA_STRUMENTO").alias("instrument_class"), F.col("FLAG_VALORE").alias("flag"),
         "qualifier_description", "n_obs")
 
@@ -778,8 +779,8 @@ def patch_entities(spark, sf_dir) -> DataFrame:
     from tidewater.operators import cleanup
     from tidewater.plans import entities
     t = entities.things(catalog(spark, sf_dir)).select("thing_id", "thing_key", "name")
-    gone_id = t.filter(F.col("name") == "Customer#000000002").select("thing_id").first()[0]
-    patch_id = t.filter(F.col("name") == "Customer#000000001").select("thing_id").first()[0]
+    by_name = lambda n: t.filter(F.col("name") == n).agg(F.min("thing_id")).scalar()
+    gone_id, patch_id = by_name("Customer#000000002"), by_name("Customer#000000001")
     out = cleanup.delete_by_id(t, "thing_id", gone_id)
     return cleanup.update_by_id(out, "thing_id", patch_id, {"name": F.lit("Renamed station")})
 
@@ -819,7 +820,7 @@ def sample_series(spark, sf_dir) -> DataFrame:
     """P11 (legacy): observations of the first six series to appear."""
     g = _mapped(spark, sf_dir)
     first = g.groupBy("datastream_key").agg(F.min("_ord").alias("_first")).orderBy("_first").limit(6)
-    s = g.join(F.broadcast(first.select("datastream_key")), "datastream_key", "left_semi")
+    s = g.join(bounded_broadcast(first.select("datastream_key")), "datastream_key", "left_semi")
     return s.groupBy("datastream_key").agg(F.count(F.lit(1)).alias("n_obs"))
 
 
@@ -978,6 +979,32 @@ def entity_folders(spark, sf_dir) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def published_tree(spark, sf_dir) -> DataFrame:
+    """The published folder tree written and read back;
+    documents per kind and requests in the batch files."""
+    from functools import reduce
+
+    from tidewater.operators import batches
+    from tidewater.plans import entities
+    from tidewater.session import cut
+    from tidewater.sinks.publish import tree_documents, write_tree
+    from tidewater.sources.entities import read_tree
+    from tidewater.streaming.incremental import scratch
+    cat = catalog(spark, sf_dir)
+    e = batches.extent_first(_batched(spark, sf_dir), "datastream_key", "phenomenon_time")
+    e = e.withColumn("iot_id", F.col("obs_id")).withColumn("phenomenonTime", F.col("phenomenon_time"))
+    docs = batches.batch_documents(e, "datastream_key", "datastream_id", ["iot_id", "phenomenonTime", "result"])
+    root = scratch(spark, "published")
+    cut(write_tree(tree_documents(entities.things(cat), entities.locations(cat), entities.datastreams(cat),
+                                  entities.sensors(cat), entities.observed_properties(cat), docs), root))
+    back = read_tree(spark, root)
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in back.items()]
+    requests = F.size(F.from_json("value", "struct<requests:array<struct<id:string>>>")["requests"])
+    parts.append(back["Batches"].agg(F.sum(requests).alias("n")).select(F.lit("Requests").alias("kind"), "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def id_clashes(spark, sf_dir) -> DataFrame:
     """Keys and ids per entity kind. Ids have a limited number of slots;

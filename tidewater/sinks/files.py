@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import path_safe
+from tidewater.operators.joins import bounded_broadcast
 
 
 def write_sorted(sorted_df: DataFrame, out: str, sep: str = ",") -> None:
@@ -48,7 +49,7 @@ def deep_insert_documents(things: DataFrame, datastreams: DataFrame, sensors: Da
                                                  "properties").alias("Sensor"))
     o = observed_properties.select("observed_property_id", F.struct("observed_property_id", "name", "definition",
                                                                     "description").alias("ObservedProperty"))
-    ds = (datastreams.join(s, "datastream_id", "left").join(F.broadcast(o), "observed_property_id", "left")
+    ds = (datastreams.join(s, "datastream_id", "left").join(bounded_broadcast(o), "observed_property_id", "left")
           .select("thing_id", F.struct("datastream_id", "name", "description", "observationType",
                                        "unitOfMeasurement", "properties", "Sensor", "ObservedProperty")
                   .alias("ds")))
