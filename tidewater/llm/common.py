@@ -26,13 +26,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows and bytes of an Arrow batch: a task holds a few batches beside its caches.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
 def map_arrow(df: DataFrame, fn: Callable[..., Iterator], schema: str) -> DataFrame:
-    """``mapInArrow`` with the task function shipped by value."""
+    """``mapInArrow`` with the task function shipped by value and, for the
+    session, Arrow batches of bounded size."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     by_value(fn.__module__ if fn.__module__ in sys.modules else __name__)
     return df.mapInArrow(fn, schema)
 
 
-def slices(texts: list, max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list, max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of ``texts`` with at most ``max_chars`` characters each (a
     longer text stands alone): bounds what a task holds beside its batch."""
     lo = n = 0
@@ -46,11 +54,16 @@ def slices(texts: list, max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]
         yield lo, len(texts)
 
 
-def worker_cache() -> dict:
+def worker_cache(owner: str) -> dict:
     """A dictionary that lives as long as the Python worker (functions shipped
-    by value get fresh module globals in every task)."""
+    by value get fresh module globals in every task). A worker keeps the cache
+    of one operator at a time, so the stages of a pipeline do not add up."""
     name = "tidewater_worker_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})
+    if owner not in held:
+        held.clear()
+        held[owner] = {}
+    return held[owner]
 
 
 class _Codes(dict):

@@ -44,7 +44,10 @@ by_value(__name__)
 
 MASK = 0xA282EAD8
 END_ID = 2
-MEMO = 300_000
+MEMO = 600_000
+MARKS = ".,;:!?"
+# Byte-level vocabularies write bytes that do not print as the characters from U+0100 on, in order.
+BYTE_FORMS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 INDEX = "<?qQQ"                # null flag, document id, offset, id count
 
 
@@ -83,37 +86,83 @@ class _Codes(dict):
 
 
 class WordEncoder:
-    """Ids of whole texts, each distinct word encoded once and kept; emptied at
-    ``MEMO`` words."""
+    """Ids of whole texts, each distinct word encoded once and kept.
+
+    Beyond ``MEMO`` words the rarer ones are forgotten (what a word encodes to
+    does not depend on the memo). A new word that is letters and at most one
+    mark shares the entry of its letters: the pre-tokenizer always parts letters
+    from marks, and the tokenizer lower-cases."""
 
     def __init__(self, path: str, end_id: int):
+        import os
+
         import numpy as np
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs the tasks in parallel
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.end = np.array([end_id], f"<u{self.width}")
-        self.forget()
+        self.codes = _Codes()
+        self.codes[None] = 0                             # the end of a text
+        self.pool, self.starts, self.lengths = np.array([end_id], f"<u{self.width}"), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.seen = np.ones(1, np.int64)
+        self.letters: dict[str, bytes] = {}
+        self.marks = {m: self.pack(self.ids([m])[0]) for m in MARKS}
+
+    def ids(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def forget(self):
+        """Keep the half of ``MEMO`` words that were seen most."""
         import numpy as np
 
-        self.codes = _Codes()
-        self.codes[None] = 0                             # the end of a text
-        self.pool, self.starts, self.lengths = self.end, np.zeros(1, np.int64), np.ones(1, np.int64)
+        keep = np.argsort(-self.seen[1:], kind="stable")[:MEMO // 2] + 1
+        keep = np.concatenate([[0], np.sort(keep)])
+        names = list(self.codes)
+        self.codes = _Codes({names[i]: n for n, i in enumerate(keep.tolist())})
+        lengths = self.lengths[keep]
+        ends = np.cumsum(lengths)
+        self.pool = self.pool[np.repeat(self.starts[keep] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        self.starts, self.lengths, self.seen, self.letters = ends - lengths, lengths, self.seen[keep], {}
 
     def learn(self, words: list[str]):
-        import itertools
-
+        """Add new words; ids are kept as bytes, which cost no garbage collection."""
         import numpy as np
 
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter(itertools.chain.from_iterable(got), self.pool.dtype, int(lengths.sum()))
+        letters, marks = self.letters, self.marks
+        cores, ends = [], []
+        for w in words:
+            end = marks.get(w[-1:], b"")
+            core = w[:-1] if end else w
+            if not core.isalpha():
+                core, end = w, b""
+            elif core.isascii() or max(core) < "\u0100":
+                core = core.lower()
+            cores.append(core)
+            ends.append(end)
+        merge, pack = self.tokenizer.model.tokenize, self.pack
+        rest = []
+        for w in dict.fromkeys(cores):
+            if w not in letters:
+                if w.isalpha() and (w.isascii() or max(w) < "\u0100"):
+                    # lower-case Latin letters are normal already; what is left are bytes and merges
+                    form = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_FORMS)
+                    letters[w] = pack([t.id for t in merge(form)])
+                else:
+                    rest.append(w)
+        letters.update(zip(rest, map(pack, self.ids(rest))))
+        got = [letters[w] + end for w, end in zip(cores, ends)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got)) // self.width
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.pool = np.concatenate([self.pool, ids])
+        self.seen = np.concatenate([self.seen, np.zeros(len(got), np.int64)])
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(got), self.pool.dtype)])
+        if len(letters) > MEMO:
+            self.letters = {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(self.width, "little") for i in ids])
 
     def encode(self, texts: list) -> list:
         """One array of ids per text, with the end id."""
@@ -130,6 +179,7 @@ class WordEncoder:
         word = np.fromiter(map(self.codes.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(sizes.sum()))
         if len(self.codes) > len(self.starts):
             self.learn(list(itertools.islice(self.codes, len(self.starts), None)))
+        self.seen += np.bincount(word, minlength=len(self.seen))
         n = self.lengths[word]
         ends = np.cumsum(n)
         out = self.pool[np.repeat(self.starts[word] - (ends - n), n) + np.arange(ends[-1])]
@@ -138,7 +188,7 @@ class WordEncoder:
 
 def encoder(path: str, end_id: int) -> WordEncoder:
     """One encoder per worker process and vocabulary."""
-    cache = worker_cache()
+    cache = worker_cache("token records")
     if ("words", path, end_id) not in cache:
         cache["words", path, end_id] = WordEncoder(path, end_id)
     return cache["words", path, end_id]
