@@ -2,8 +2,10 @@
 
 import zlib
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import CHECK, EDGES, frame
-from tidewater.llm.kd_shards import Node, build_tree, kd_shards, number_slots
+from tidewater.llm.kd_shards import find_splits, kd_shards, number_slots, place
 
 
 def check(got, rows, shards, slack):
@@ -51,13 +53,23 @@ def test_edges_and_empty(spark, edges, nothing):
 
 
 def test_splits_are_weighted_quantiles(spark):
-    points = spark.createDataFrame([(i * i, 1 + i % 5) for i in range(2000)], "d0 long, weight long")
-    root = build_tree(points, ["d0"], 3)
-    assert isinstance(root, Node) and (root.left.leaves, root.right.leaves) == (1, 2)
     rows = sorted((i * i, 1 + i % 5) for i in range(2000))
+    points = spark.createDataFrame(rows, "d0 long, weight long")
+    keyed = points.withColumn("keys", F.array("d0")).withColumn("node", F.lit(0))
+    (dim, at), = find_splits(keyed, {0: 3}, [1]).values()
     total = sum(w for _, w in rows)
-    left = sum(w for k, w in rows if k < root.at)
-    assert abs(left - total / 3) <= 5 + total / 3 / 400
+    left = sum(w for k, w in rows if k < at)
+    assert dim == 0 and abs(left - total / 3) <= 5 + total / 3 / 400
+    shards = {}
+    for r in place(points, ["d0"], 3).collect():
+        shards[r.shard] = shards.get(r.shard, 0) + r.weight
+    assert set(shards) == {0, 1, 2} and all(abs(w - total / 3) <= 15 + total / 100 for w in shards.values())
+
+
+def test_many_leaves(spark):
+    rows = [(i, "t" * (20 + i % 11), "en", f"s{i % 9}") for i in range(6000)]
+    got = kd_shards(frame(spark, rows), ["n_chars"], ["source"], shards=150).collect()
+    check(got, [r[:2] for r in rows], 150, 8.0)
 
 
 def test_slots_over_several_buckets(spark):

@@ -7,11 +7,11 @@ quantile ``floor(k/2) / k`` -- the weighted median for even ``k`` -- until every
 node is one leaf, which then holds the target bytes.
 
 The quantile is found by distributed histograms: per round one aggregate over
-the narrow (id, size, dimensions) table sums the bytes of ``CELLS`` equal cells
-of each node's open interval; the driver sees at most nodes x ``CELLS`` sums and
-narrows each node to the cell that holds its quantile. Rounds end when that
-cell weighs less than ``TOLERANCE`` of a leaf or is a single key. A level of the
-tree is searched for all its nodes at once.
+the narrow (id, size, dimensions) table sums the bytes of equal cells of each node's
+open interval; all nodes share ``CELLS`` cells (two each at least), so the driver
+sees a bounded number of sums, and narrows each node to the cell that holds its
+quantile. Rounds end when that cell weighs less than ``TOLERANCE`` of a leaf or is
+a single key. A level of the tree is searched for all its nodes at once.
 
 Dimensions become integer keys with ``JITTER`` low bits from a hash of the id,
 so one value that holds a third of all rows (a hot source, one language) can
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut
 
-CELLS = 1024
+CELLS = 1 << 15
 JITTER = 20
 TOLERANCE = 1 / 500
 BUCKET_ROWS = 50_000
@@ -50,89 +50,81 @@ def category_key(value: Column, salt: Column) -> Column:
     return numeric_key(F.pmod(F.xxhash64(value), F.lit(1 << 20)) * F.when(value.isNotNull(), 1), salt)
 
 
-class Node:
-    """A tree node: the leaves it becomes and, once split, its dimension and
-    threshold (keys below go left)."""
+def node_table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of tree nodes to join the rows with: at most one row per leaf."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
-    def __init__(self, leaves: int, first: int):
-        self.leaves, self.first = leaves, first
-        self.dim = self.at = self.left = self.right = None
 
-    def leaf_nodes(self) -> list[Node]:
-        return [self] if self.left is None else self.left.leaf_nodes() + self.right.leaf_nodes()
+def find_splits(points: DataFrame, leaves: dict[int, int], span: list[int]) -> dict[int, tuple[int, int]]:
+    """Dimension and threshold (keys below go left) of every node that becomes
+    more than one leaf; nodes without rows have none.
 
-    def expression(self, value) -> Column:
-        """``value(node)`` of the node that a row falls into."""
-        if self.left is None:
-            return value(self)
-        below = F.col(self.dim) < F.lit(self.at)
-        return F.when(below, self.left.expression(value)).otherwise(self.right.expression(value))
-
-
-def split_level(points: DataFrame, root: Node, dims: list[str], span: dict[str, int]) -> bool:
-    """Split every node that has more than one leaf to become; False if none."""
-    todo = {n.first: n for n in root.leaf_nodes() if n.leaves > 1}
-    if not todo:
-        return False
-    here = points.withColumn("node", root.expression(lambda n: F.lit(n.first))).filter(F.col("node").isin(list(todo)))
-    ranges = here.groupBy("node").agg(F.sum("weight").alias("w"), *[F.min(d).alias(f"lo_{d}") for d in dims],
-                                      *[F.max(d).alias(f"hi_{d}") for d in dims]).collect()
+    All nodes are searched at once. A round sums the weight of equal cells of
+    each node's open interval of keys; ``CELLS`` cells are shared by the nodes,
+    so what reaches the driver is bounded whatever their number."""
+    spark = points.sparkSession
+    todo = node_table(spark, [(n,) for n, k in leaves.items() if k > 1], "node int")
+    here = points.join(todo, "node", "left_semi").select("node", "weight", "keys")
+    key = lambda i: F.col("keys")[i]
+    dims = range(len(span))
+    ranges = here.groupBy("node").agg(F.sum("weight").alias("w"), *[F.min(key(i)).alias(f"lo_{i}") for i in dims],
+                                      *[F.max(key(i)).alias(f"hi_{i}") for i in dims]).collect()
     search = {}
     for r in ranges:
-        width = {d: (r[f"hi_{d}"] - r[f"lo_{d}"]) / max(1, span[d]) for d in dims}
-        dim = max(dims, key=lambda d: (width[d], -dims.index(d)))
-        node = todo[r["node"]]
-        goal = r["w"] * (node.leaves // 2) / node.leaves
+        dim = max(dims, key=lambda i: ((r[f"hi_{i}"] - r[f"lo_{i}"]) / max(1, span[i]), -i))
+        k = leaves[r["node"]]
         # keys in [lo, hi) are still open; ``below`` is the weight of all keys under lo
-        search[r["node"]] = {"dim": dim, "lo": r[f"lo_{dim}"], "hi": r[f"hi_{dim}"] + 1, "below": 0, "goal": goal,
-                             "stop": r["w"] / node.leaves * TOLERANCE}
+        search[r["node"]] = {"dim": dim, "lo": r[f"lo_{dim}"], "hi": r[f"hi_{dim}"] + 1, "below": 0,
+                             "goal": r["w"] * (k // 2) / k, "stop": r["w"] / k * TOLERANCE}
     live = dict(search)
     while live:
-        key, lo, step = F.lit(None), F.lit(None), F.lit(None)
-        for i, s in live.items():
-            s["step"] = max(1, -(-(s["hi"] - s["lo"]) // CELLS))
-            mine = F.col("node") == i
-            key = F.when(mine, F.col(s["dim"])).otherwise(key)
-            lo, step = F.when(mine, F.lit(s["lo"])).otherwise(lo), F.when(mine, F.lit(s["step"])).otherwise(step)
-        placed = here.select("node", "weight", key.cast("long").alias("key"), lo.cast("long").alias("lo"), step.cast("long").alias("step"))
-        inside = F.lit(False)
-        for i, s in live.items():
-            inside = inside | ((F.col("node") == i) & (F.col("key") >= s["lo"]) & (F.col("key") < s["hi"]))
-        cells = (placed.filter(inside).groupBy("node", F.floor((F.col("key") - F.col("lo")) / F.col("step")).alias("cell"))
-                 .agg(F.sum("weight").alias("w")).collect())           # nodes x CELLS sums at most
+        cells = max(2, CELLS // len(live))
+        for s in live.values():
+            s["step"] = max(1, -(-(s["hi"] - s["lo"]) // cells))
+        table = node_table(spark, [(n, s["dim"], s["lo"], s["hi"], s["step"]) for n, s in live.items()],
+                           "node int, dim int, lo long, hi long, step long")
+        placed = here.join(table, "node").select("node", "weight", F.get("keys", F.col("dim")).alias("key"), "lo", "hi", "step")
+        inside = placed.filter((F.col("key") >= F.col("lo")) & (F.col("key") < F.col("hi")))
+        cell = F.expr("(key - lo) div step").alias("cell")
         sums: dict[int, dict] = {}
-        for r in cells:
+        for r in inside.groupBy("node", cell).agg(F.sum("weight").alias("w")).collect():
             sums.setdefault(r["node"], {})[r["cell"]] = r["w"]
-        for i, s in list(live.items()):
+        for n, s in list(live.items()):
             total, start, step = s["below"], s["lo"], s["step"]
-            for cell in sorted(sums.get(i, {})):
-                w = sums[i][cell]
+            for c in sorted(sums.get(n, {})):
+                w = sums[n][c]
                 if total + w >= s["goal"]:
-                    s["below"], s["lo"], s["hi"] = total, start + cell * step, min(s["hi"], start + (cell + 1) * step)
+                    s["below"], s["lo"], s["hi"] = total, start + c * step, min(s["hi"], start + (c + 1) * step)
                     if w <= s["stop"] or step == 1:
                         # cut on the side of this last cell that comes closer to the goal
                         s["cut"] = s["lo"] if s["goal"] - total <= total + w - s["goal"] else s["hi"]
-                        del live[i]
+                        del live[n]
                     break
                 total += w
             else:
                 s["cut"] = s["hi"]
-                del live[i]
-    for i, n in todo.items():
-        half = n.leaves // 2
-        n.left, n.right = Node(half, n.first), Node(n.leaves - half, n.first + half)
-        s = search.get(i)
-        n.dim, n.at = (s["dim"], s["cut"]) if s else (dims[0], 0)      # a node without rows
-    return True
+                del live[n]
+    return {n: (s["dim"], s["cut"]) for n, s in search.items()}
 
 
-def build_tree(points: DataFrame, dims: list[str], shards: int) -> Node:
-    root = Node(shards, 0)
+def place(points: DataFrame, dims: list[str], shards: int) -> DataFrame:
+    """``points`` with the column ``shard``. Level by level each row joins its
+    node's split and goes left or right; the narrow rows of a level are kept in
+    shared storage, so plans stay short however deep the tree is."""
     whole = points.agg(*[(F.max(d) - F.min(d)).alias(d) for d in dims]).first()
-    span = {d: whole[d] or 1 for d in dims}
-    while split_level(points, root, dims, span):
-        pass
-    return root
+    span = [whole[d] or 1 for d in dims]
+    points = points.withColumn("keys", F.array(*dims)).drop(*dims).withColumn("node", F.lit(0))
+    leaves = {0: shards}
+    while max(leaves.values()) > 1:
+        splits = find_splits(points, leaves, span)
+        table = node_table(points.sparkSession, [(n, d, at, leaves[n] // 2) for n, (d, at) in splits.items()],
+                           "node int, dim int, at long, half int")
+        right = F.get("keys", F.col("dim")) >= F.col("at")
+        points = cut(points.join(table, "node", "left")
+                     .withColumn("node", F.when(right, F.col("node") + F.col("half")).otherwise(F.col("node")))
+                     .drop("dim", "at", "half"))
+        leaves = {child: k for n, m in leaves.items() for child, k in ((n, max(1, m // 2)), (n + m // 2, m - m // 2))}
+    return points.withColumnRenamed("node", "shard").drop("keys")
 
 
 def kd_shards(docs: DataFrame, numeric: list[str], categories: list[str], shards: int | None = None,
@@ -149,8 +141,7 @@ def kd_shards(docs: DataFrame, numeric: list[str], categories: list[str], shards
                              *[k.alias(d) for k, d in zip(keys, dims)]))
     total = points.agg(F.sum("weight").alias("w"), F.count("*").alias("n")).first()
     leaves = shards or max(1, -(-(total["w"] or 0) // target_bytes))
-    root = build_tree(points, dims, leaves)
-    placed = points.withColumn("shard", root.expression(lambda n: F.lit(n.first)).cast("int"))
+    placed = place(points, dims, leaves)
     buckets = max(1, -(-(total["n"] or 0) // (leaves * BUCKET_ROWS)))
     return number_slots(placed, buckets).select("doc_id", F.col("weight").alias("size"), "text_crc32", "shard", "slot")
 
