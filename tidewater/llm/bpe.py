@@ -33,14 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow, worker_cache
+from tidewater.llm.common import cut, map_arrow, shared_folder, worker_cache
 
 by_value(__name__)
 
 CHUNK = 16_384
 OVERLAP = 1_024
-MEMO = 250_000
+MEMO = 180_000
 LONGEST = 64
+ROW_GROUP = 8 << 20
 MARGIN = 2
 
 
@@ -92,6 +93,7 @@ class Codec:
         for b, i in ranks.items():
             self.table[i] = b
         self.names = [str(i) for i in range(len(self.table))]
+        self.kind = "<u2" if len(self.table) <= 1 << 16 else "<u4"
         self.forget()
 
     def forget(self):
@@ -121,7 +123,7 @@ class Codec:
 
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker process and vocabulary."""
-    cache = worker_cache()
+    cache = worker_cache("bpe")
     if (path, pattern) not in cache:
         cache[path, pattern] = Codec(path, pattern)
     return cache[path, pattern]
@@ -135,20 +137,22 @@ def piece_starts(pattern, window: str, complete: bool) -> list[int]:
 
 
 def cut_chunks(chunk: int, overlap: int):
+    """Rows (row, doc_id, text) to rows (row, doc_id, k, last, window)."""
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for i, text in rows:
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 n = -(-len(text) // chunk)
                 for lo in range(0, n, 256):
                     ks = range(lo, min(n, lo + 256))
+                    own = pa.array([i] * len(ks), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([i] * len(ks), pa.int64()), pa.array(ks, pa.int32()),
+                        [batch.column(0).take(own), batch.column(1).take(own), pa.array(ks, pa.int32()),
                          pa.array([k == n - 1 for k in ks], pa.bool_()),
                          pa.array([text[k * chunk:(k + 1) * chunk + overlap] for k in ks], pa.string())],
-                        names=["row", "k", "last", "window"])
+                        names=["row", "doc_id", "k", "last", "window"])
 
     return run
 
@@ -176,18 +180,22 @@ def find_borders(path: str, pattern: str, chunk: int, overlap: int):
 
 
 def encode_parts(path: str, pattern: str):
-    """Encode the stretch [from, to) of every window (to null: all the rest)."""
+    """Encode the stretch [from, to) of every window (to null: all the rest);
+    ids travel as packed unsigned integers."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         own = codec(path, pattern)
         for batch in batches:
             windows, begin, end = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            got = [own.encode_text(w[a:b]) for w, a, b in zip(windows, begin, end)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.binary())], names=["row", "k", "ids", "bytes"])
+            got = []
+            for w, a, b in zip(windows, begin, end):
+                ids = own.encode_text(w[a:b])[0]
+                got.append(np.array(ids.split(",") if ids else [], own.kind).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.binary())],
+                                             names=["row", "k", "ids"])
 
     return run
 
@@ -222,22 +230,39 @@ def encode_whole(path: str, pattern: str, with_parts: bool):
     return run
 
 
-def join_parts(pdf, with_parts: bool):
+def join_parts(path: str, pattern: str, with_parts: bool):
     """The parts of one document, in order (bounded by the document itself)."""
-    import pandas as pd
 
-    pdf = pdf.sort_values("k")
-    row = result(",".join(x for x in pdf["ids"] if x), b"".join(pdf["bytes"]), with_parts)
-    return pd.DataFrame({"row": pdf["row"].iloc[:1], "n_tokens": [row[0]], "ids": [row[1]], "decoded": [row[2]]})
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+
+        own = codec(path, pattern)
+        pdf = pdf.sort_values("k")
+        ids = np.frombuffer(b"".join(pdf["ids"]), own.kind).tolist()
+        row = result(",".join(map(own.names.__getitem__, ids)), b"".join(map(own.table.__getitem__, ids)), with_parts)
+        return pd.DataFrame({"row": pdf["row"].iloc[:1], "n_tokens": [row[0]], "ids": [row[1]], "decoded": [row[2]]})
+
+    return run
+
+
+def whole_text(chunk: int):
+    """The chunks of one document back as its text, one chunk 0."""
+
+    def run(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("k")
+        text = "".join(w if last else w[:chunk] for w, last in zip(pdf["window"], pdf["last"]))
+        return pd.DataFrame({"row": pdf["row"].iloc[:1], "k": [0], "window": [text], "begin": [0], "end": [None]})
+
+    return run
 
 
-def stitched_parts(long_rows: DataFrame, path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """(row, k, window, begin, end) of every chunk of the texts longer than one
-    chunk; a text that does not resynchronise comes back as its one chunk 0."""
-    chunks = map_arrow(long_rows.select("row", "text"), cut_chunks(chunk, overlap),
-                       "row long, k int, last boolean, window string")
-    chunks = cut(chunks.repartition("row", "k"))
-    borders = map_arrow(chunks, find_borders(path, pattern, chunk, overlap),
+def stitched_parts(chunks: DataFrame, path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
+    """(row, k, window, begin, end) of every chunk; a text that does not
+    resynchronise somewhere comes back as its one chunk 0."""
+    borders = map_arrow(chunks.select("row", "k", "last", "window"), find_borders(path, pattern, chunk, overlap),
                         "row long, k int, last boolean, head array<int>, tail array<int>")
     by_doc = Window.partitionBy("row").orderBy("k")
     shared = F.array_min(F.array_intersect("head", F.lag("tail").over(by_doc)))
@@ -248,9 +273,10 @@ def stitched_parts(long_rows: DataFrame, path: str, pattern: str, chunk: int, ov
     good = (chunks.join(met.filter("not bad"), ["row", "k"])
             .select("row", "k", "window", "begin", F.when(~F.col("last"), F.col("next") + chunk).alias("end")))
     whole = met.filter("bad").select("row").distinct()
-    rest = (long_rows.join(whole, "row", "left_semi")
-            .select("row", F.lit(0).alias("k"), F.col("text").alias("window"), F.lit(0).alias("begin"),
-                    F.lit(None).cast("int").alias("end")))
+    if not whole.limit(1).count():
+        return good                                      # all texts resynchronise: their chunks are shuffled once
+    rest = (chunks.join(whole, "row", "left_semi").select("row", "k", "last", "window").groupBy("row")
+            .applyInPandas(whole_text(chunk), "row long, k int, window string, begin int, end int"))
     return good.unionByName(rest)
 
 
@@ -260,22 +286,26 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ids_sha256, decoded_sha256 or (``with_parts``) the comma-joined ``ids`` and
     the ``decoded`` bytes themselves.
 
-    ``ranks_path`` is a rank file that every executor can open."""
+    ``ranks_path`` is a rank file that every executor can open. The chunks of
+    long texts are kept as compressed Parquet in the shared folder, in small row
+    groups, so that even one very long text is read by many tasks."""
+    spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     value = "ids string, decoded binary" if with_parts else "ids string, decoded string"
     short = (map_arrow(source.filter(F.length("text") <= chunk), encode_whole(ranks_path, pattern, with_parts),
                        f"row {kind}, n_tokens long, {value}").withColumnRenamed("row", "doc_id"))
-    long_rows = source.filter(F.length("text") > chunk)
-    # long texts are rare and get a row number in shared storage, so repeated or null ids stay apart
-    long_rows = cut(long_rows.withColumn("row", F.monotonically_increasing_id()))
-    parts = stitched_parts(long_rows, ranks_path, pattern, chunk, overlap)
-    encoded = map_arrow(parts, encode_parts(ranks_path, pattern),
-                        "row long, k int, ids string, bytes binary")
-    joined = encoded.groupBy("row").applyInPandas(lambda pdf: join_parts(pdf, with_parts),
-                                                  f"row long, n_tokens long, {value}")
-    long_out = joined.join(long_rows.select("row", "doc_id"), "row").select(*short.columns)
-    out = short.unionByName(long_out)
+    # a row number keeps repeated and null ids apart
+    long_rows = source.filter(F.length("text") > chunk).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    folder = shared_folder(spark, "chunks")
+    (map_arrow(long_rows, cut_chunks(chunk, overlap), f"row long, doc_id {kind}, k int, last boolean, window string")
+     .write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(folder))
+    chunks = spark.read.parquet(folder)
+    parts = stitched_parts(chunks, ranks_path, pattern, chunk, overlap)
+    encoded = map_arrow(parts, encode_parts(ranks_path, pattern), "row long, k int, ids binary")
+    joined = encoded.groupBy("row").applyInPandas(join_parts(ranks_path, pattern, with_parts), f"row long, n_tokens long, {value}")
+    ids_of_rows = chunks.filter("k = 0").select("row", "doc_id")
+    out = short.unionByName(joined.join(ids_of_rows, "row").select(*short.columns))
     names = ("ids", "decoded") if with_parts else ("ids_sha256", "decoded_sha256")
     return out.select("doc_id", "n_tokens", F.col("ids").alias(names[0]), F.col("decoded").alias(names[1]))
 
