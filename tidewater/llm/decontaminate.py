@@ -79,7 +79,7 @@ class WordHashes(dict):
 def word_ids(words: list[str], memo: WordHashes):
     import numpy as np
 
-    if len(memo) > 300_000:
+    if len(memo) > 200_000:
         memo.clear()
     return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
@@ -142,7 +142,7 @@ def scan(shared, lengths):
         import numpy as np
         import pyarrow as pa
 
-        bits, memo = shared.value, worker_cache().setdefault("words", WordHashes())
+        bits, memo = shared.value, worker_cache("decontaminate").setdefault("words", WordHashes())
         masks = (*MASKS, *("#" * n for n in lengths))
         for batch in batches:
             texts = batch.column(1).to_pylist()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow
+from tidewater.llm.common import cut, map_arrow, worker_cache
 
 by_value(__name__)
 
@@ -49,6 +49,7 @@ def summarise(counters: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        worker_cache("exact dedup")                      # let go of other operators' tables
         held: dict = {}
         for batch in batches:
             for x in pc.value_counts(batch.column(0)).to_pylist():

@@ -248,7 +248,7 @@ def word_table(model: dict) -> WordTable:
         letters = np.fromiter((any(map(str.isalpha, w)) for w in words), np.float32, len(words))
         return np.hstack([scores * letters[:, None], letters[:, None]])      # numerals and the like say nothing
 
-    return WordTable(rows_of)
+    return WordTable(rows_of, 100_000)
 
 
 def label_mass(texts: list, model: dict):
@@ -256,10 +256,10 @@ def label_mass(texts: list, model: dict):
     import numpy as np
 
     k = len(model["langs"])
-    cache = worker_cache()
-    if cache.get("language", (None,))[0] != model["key"]:
-        cache["language"] = model["key"], word_table(model)
-    known = cache["language"][1]
+    cache = worker_cache("language")
+    if cache.get("key") != model["key"]:
+        cache["key"], cache["table"] = model["key"], word_table(model)
+    known = cache["table"]
     mass, counts = np.zeros((len(texts), k)), np.zeros(len(texts), np.int64)
     for lo, hi in slices(texts):
         docs = [words_of(t) for t in texts[lo:hi]]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow
+from tidewater.llm.common import cut, map_arrow, worker_cache
 from tidewater.llm.components import smallest_reachable
 
 by_value(__name__)
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("simhash")                          # let go of other operators' tables
         for batch in batches:
             fp = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
