@@ -89,6 +89,17 @@ def test_long_chain_of_links(spark):
     assert got == {**{i: 100 for i in range(100, 181)}, 3: 3, 7: 3, 9: 3}
 
 
+def test_shuffled_chain_and_valley(spark):
+    rng, n = random.Random(5), 1200
+    names = rng.sample(range(10 ** 6), n + 1)            # a chain of 1,200 links under shuffled labels
+    valley = [2 * 10 ** 6 + abs(2 * i - 201) for i in range(201)]     # labels fall to the middle, then rise
+    valley = [x * 2 + (i > 100) for i, x in enumerate(valley)]
+    pairs = list(zip(names, names[1:])) + list(zip(valley, valley[1:]))
+    rng.shuffle(pairs)
+    got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(names, min(names)), **dict.fromkeys(valley, min(valley))}
+
+
 def test_edges(spark, edges, nothing):
     assert rows_of(simhash_groups(edges)) == brute_groups(EDGES)
     left = drop_near_copies(edges)
