@@ -64,3 +64,9 @@ def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in short.collect()]
     want = brute(rows, [(r.item_id, r.text) for r in bench.collect()])
     assert want == {x for x in got if x[0] in {i for i, _ in rows}} and want
+
+
+def test_null_and_repeated_ids_keep_their_clean_rows(spark):
+    rows = [(None, ITEM), (None, "a clean text of no id"), (1, ITEM), (1, "a clean text of id one"), (2, "clean")]
+    left = drop_contaminated(frame(spark, rows), items(spark, [(10, ITEM, 1)])).collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == sorted((str(i), t) for i, t in (rows[1], *rows[3:]))

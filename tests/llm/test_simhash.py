@@ -121,3 +121,11 @@ def test_whole_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert rows_of(simhash_groups(docs)) == brute_groups(rows)
+
+
+def test_null_and_repeated_ids_are_told_apart(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(1, a), (None, a + " "), (None, "a clean text of no id"), (2, b), (2, b), (2, "another text of id two"),
+            (None, "one two three"), (None, "one two three"), (1, "more of id one")]
+    left = sorted((str(r.doc_id), r.text) for r in drop_near_copies(frame(spark, rows)).collect())
+    assert left == sorted((str(i), t) for i, t in (rows[0], *rows[2:4], *rows[5:7], rows[8]))

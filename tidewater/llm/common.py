@@ -26,6 +26,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written once to shared storage with a number of its own in every
+    row, and the name of that column. Ids may be null or repeat; the number
+    stands for one row however often the table is read."""
+    name = "row_key"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    folder = shared_folder(docs.sparkSession, "keyed-rows")
+    docs.withColumn(name, F.monotonically_increasing_id()).write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder), name
+
+
 #: Rows and bytes of an Arrow batch: a task holds a few batches beside its caches.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 

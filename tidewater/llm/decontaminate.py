@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, flatten, map_arrow, slices, worker_cache
+from tidewater.llm.common import cut, flatten, map_arrow, slices, with_row_key, worker_cache
 
 by_value(__name__)
 
@@ -269,6 +269,9 @@ def encode_items(batches):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **items) -> DataFrame:
-    """The input's rows and columns without documents that overlap an item."""
-    bad = cut(overlaps(docs, benchmark, id_col, text_col, **items).select("doc_id").distinct())
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The input's rows and columns without the rows whose text overlaps an item.
+
+    Rows are told apart by a row key, not by their ids, which may be null or repeat."""
+    keyed, key = with_row_key(docs)
+    bad = cut(overlaps(keyed, benchmark, key, text_col, **items).select(F.col("doc_id").alias(key)).distinct())
+    return keyed.join(bad, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

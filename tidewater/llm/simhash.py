@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow, worker_cache
+from tidewater.llm.common import cut, map_arrow, with_row_key, worker_cache
 from tidewater.llm.components import smallest_reachable
 
 by_value(__name__)
@@ -147,28 +147,38 @@ def close_links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUC
     return links.distinct()
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                   radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """One row per input row: doc_id, fp, component_id."""
-    rows = cut(fingerprints(docs, id_col, text_col, shingle))
-    prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+def _component_firsts(rows: DataFrame, first, radius: int, bucket_limit: int) -> DataFrame:
+    """(fp, first): the smallest ``first`` of the component of each fingerprint."""
+    prints = cut(rows.groupBy("fp").agg(F.min(first).alias("first")))
     links = close_links(prints, radius, bucket_limit)
     roots = smallest_reachable(links)                       # (node, root) of linked fingerprints only
     named = cut(prints.join(roots, prints["fp"] == roots["node"], "left")
-                .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    firsts = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
+                .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    firsts = cut(named.groupBy("root").agg(F.min("first").alias("first")))
     # one component may hold most fingerprints, one fingerprint most rows: plain joins, split when skewed
-    by_print = cut(named.select("fp", "root").join(firsts.hint("merge"), "root").select("fp", "component_id"))
-    return rows.join(by_print.hint("merge"), "fp").select("doc_id", "fp", "component_id")
+    return cut(named.select("fp", "root").join(firsts.hint("merge"), "root").select("fp", "first"))
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                   radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """One row per input row: doc_id, fp, component_id."""
+    rows = cut(fingerprints(docs, id_col, text_col, shingle))
+    by_print = _component_firsts(rows, F.col("doc_id"), radius, bucket_limit)
+    return rows.join(by_print.hint("merge"), "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                      radius: int = RADIUS) -> DataFrame:
-    """The input's columns, one row of each component (smallest id).
-
-    Only the ids to be dropped are joined to the texts. Equal ids within one
-    component count as one document and all such rows stay."""
-    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    drop = cut(groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    key = docs[id_col]
-    return docs.join(drop, key.eqNullSafe(drop["doc_id"]), "left_anti")
+    """The input's columns, exactly one row of each component: the smallest id,
+    null ids last, of equal ids the first row.
+
+    Rows are told apart by a row key, not by their ids; only the keys to be
+    dropped are joined to the texts."""
+    keyed, key = with_row_key(docs)
+    ids = keyed.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(key).alias("key"))
+                       .alias("place"), F.col(text_col).alias("text"))
+    rows = cut(fingerprints(ids, "place", "text", shingle).withColumnRenamed("doc_id", "place"))
+    firsts = _component_firsts(rows, F.col("place"), radius, BUCKET_LIMIT)
+    drop = cut(rows.join(firsts.hint("merge"), "fp").filter(F.col("place.key") != F.col("first.key"))
+               .select(F.col("place.key").alias(key)))
+    return keyed.join(drop, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
