@@ -187,3 +187,30 @@ def test_legacy_single_observation_files(spark, tmp_path):
                          T.StructField("result", T.DoubleType())])
     got = entity_src.read_observation_files(spark, None, str(tmp_path / "single"), body)
     assert sorted((r.datastream, r.iot_id, r.result) for r in got.collect()) == [("DS-1", 7, 1.5), ("DS-1", 8, 2.5)]
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_district_files_are_streamed(tmp_path, zipped):
+    import random
+    import zipfile
+
+    from pyarrow import fs
+    from tidewater.sinks.districts import put_file
+    rng, seen = random.Random(1), []
+
+    def rows():
+        for i in range(20_000):
+            if i == 19_999:                              # most of the file is out before its last row is asked for
+                seen.extend(f.stat().st_size for f in tmp_path.rglob("_*"))
+            yield i, f'à "{rng.getrandbits(200)}"\nb;c', None
+
+    path = tmp_path / "Distretto A" / "f"
+    assert put_file(fs.LocalFileSystem(), str(path), 1, ["N", "T", "X"], rows(), zipped) == 20_000
+    assert len(seen) == 1 and seen[0] > 0.8 * path.stat().st_size
+    body = zipfile.ZipFile(path).read("osservazioni.csv") if zipped else path.read_bytes()
+    assert body.startswith(b"\xef\xbb\xbfN,T,X\n0,") and [p.name for p in path.parent.iterdir()] == ["f"]
+
+
+def test_district_file_width_does_not_grow_with_the_table():
+    from tidewater.plans.registry import FILE_WIDTH, _file_width
+    assert [_file_width(n) for n in (0, 7, 10 ** 9, 10 ** 12)] == [1, 2, FILE_WIDTH, FILE_WIDTH]

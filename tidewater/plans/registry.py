@@ -877,6 +877,15 @@ def _awkward(raw):
         .withColumn("NOME_BACINO_ANNALE", F.concat("NOME_BACINO_ANNALE", F.lit(' "'), "PARTE_ANNALE", F.lit('"; a, b')))
 
 
+#: Arrival numbers of a district file at most, whatever the table's size.
+FILE_WIDTH = 100_000
+
+
+def _file_width(last: int) -> int:
+    """Four stretches of a small table; beyond that the number of files grows, not their size."""
+    return min(last // 4 + 1, FILE_WIDTH)
+
+
 def _files_back(spark, sf_dir, zipped):
     from tidewater.operators.ordered import rank_within
     from tidewater.session import cut
@@ -888,7 +897,7 @@ def _files_back(spark, sf_dir, zipped):
     root = scratch(spark, "district files")
     src = DriverTables(spark, sf_dir)
     last = src.table("events").agg(F.max("event_id")).first()[0] or 0
-    cut(write_district_files(_awkward(src.raw_observations()), root, last // 4 + 1, OBSERVATION_COLUMNS, zipped))
+    cut(write_district_files(_awkward(src.raw_observations()), root, _file_width(last), OBSERVATION_COLUMNS, zipped))
     back = (read_zip_csv(spark, f"{root}/*/", OBSERVATION_COLUMNS, "osservazioni") if zipped
             else DistrictFolder(spark, root).raw_observations())
     ranked = rank_within(cut(back.select(*OBSERVATION_COLUMNS, "_ord")), ["COMPARTIMENTO"], "_ord", "arrival_rank")

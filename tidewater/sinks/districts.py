@@ -3,12 +3,14 @@ and stretch of arrival, in the shape the folder source reads.
 
 The writer varies what real folders vary: the delimiter, a byte-order mark,
 names with spaces, quoted cells. Files hold a bounded stretch of arrival, carry
-its number in their name and so sort in arrival order. Each file is written
-under a private name and moved when complete, so a repeated task is harmless.
+its number in their name and so sort in arrival order. Rows go to the opened
+file or zip entry as they come. Each file is written under a private name and
+moved when complete, so a repeated task is harmless.
 """
 
 from __future__ import annotations
 
+import contextlib
 import csv
 import io
 import itertools
@@ -26,6 +28,28 @@ by_value(__name__)
 DELIMITERS = (";", ",", "\t")
 
 
+def put_file(store, path: str, chunk: int, columns: list[str], rows, zipped: bool) -> int:
+    """Write one file row by row; returns the number of rows."""
+    folder, _ = path.rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    attempt, n = f"{folder}/_{uuid.uuid4().hex}", 0
+    with contextlib.ExitStack() as stack:
+        out = stack.enter_context(store.open_output_stream(attempt))
+        if zipped:
+            archive = stack.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED))
+            out = stack.enter_context(archive.open("osservazioni.csv", "w", force_zip64=True))
+        if chunk % 2:
+            out.write(b"\xef\xbb\xbf")
+        text = stack.enter_context(io.TextIOWrapper(out, "utf-8", newline=""))
+        table = csv.writer(text, delimiter=DELIMITERS[chunk % len(DELIMITERS)], lineterminator="\n")
+        table.writerow(columns)
+        for r in rows:
+            table.writerow(r)
+            n += 1
+    store.move(attempt, path)
+    return n
+
+
 def write_district_files(raw: DataFrame, root: str, width: int, columns: list[str], zipped: bool = False) -> DataFrame:
     """Write ``raw`` below ``root`` in files of ``width`` arrival numbers per
     district; returns (file, n_rows) of every file. ``_ord`` must be a number."""
@@ -33,28 +57,6 @@ def write_district_files(raw: DataFrame, root: str, width: int, columns: list[st
                    *columns)
     d = d.repartition("_d", "_c").sortWithinPartitions("_d", "_c", "_ord")
 
-    def put(store, path, chunk, rows):
-        text = io.StringIO(newline="")
-        out = csv.writer(text, delimiter=DELIMITERS[chunk % len(DELIMITERS)], lineterminator="\n")
-        out.writerow(columns)
-        n = 0
-        for r in rows:
-            out.writerow(r)
-            n += 1
-        body = (b"\xef\xbb\xbf" if chunk % 2 else b"") + text.getvalue().encode()
-        if zipped:
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("osservazioni.csv", body)
-            body = packed.getvalue()
-        folder, name = path.rsplit("/", 1)
-        store.create_dir(folder, recursive=True)
-        attempt = f"{folder}/_{uuid.uuid4().hex}"
-        with store.open_output_stream(attempt) as f:
-            f.write(body)
-        store.move(attempt, path)
-        return n
-
     def run(batches):
         import pyarrow as pa
 
@@ -62,7 +64,7 @@ def write_district_files(raw: DataFrame, root: str, width: int, columns: list[st
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         for (district, chunk), own in itertools.groupby(rows, lambda r: r[:2]):
             name = f"osservazioni {chunk:09d}.{'zip' if zipped else 'csv'}"
-            n = put(store, f"{base}/Distretto {district}/{name}", chunk, (r[3:] for r in own))
+            n = put_file(store, f"{base}/Distretto {district}/{name}", chunk, columns, (r[3:] for r in own), zipped)
             yield pa.RecordBatch.from_pydict({"file": [name], "n_rows": pa.array([n], pa.int64())})
 
     return d.mapInArrow(run, "file string, n_rows long")
