@@ -1,9 +1,13 @@
 """Operator 1 against an alignment of every document with every item."""
 
+import itertools
+
 import numpy as np
 
 from tests.llm.conftest import EDGES, SMALL, frame
-from tidewater.llm.decontaminate import MASKS, MIN_MATCH, best_stretch, drop_contaminated, overlaps, words_of
+from tidewater.llm import decontaminate
+from tidewater.llm.decontaminate import (MASKS, MIN_ITEM, MIN_MATCH, PENALTY, SHORT_SHARE, best_stretch,
+                                         drop_contaminated, overlaps, words_of)
 
 ITEM = ("The quick brown fox jumps over the lazy dog while seven wise owls watch from an old oak tree and the river "
         "runs quietly past the mill at dawn")
@@ -70,3 +74,45 @@ def test_null_and_repeated_ids_keep_their_clean_rows(spark):
     rows = [(None, ITEM), (None, "a clean text of no id"), (1, ITEM), (1, "a clean text of id one"), (2, "clean")]
     left = drop_contaminated(frame(spark, rows), items(spark, [(10, ITEM, 1)])).collect()
     assert sorted((str(r.doc_id), r.text) for r in left) == sorted((str(i), t) for i, t in (rows[1], *rows[3:]))
+
+
+def test_masks_find_every_pattern_of_short_items():
+    for n in range(MIN_ITEM, 17):
+        masks = [[i for i, c in enumerate(m) if c == "#"] for m in (*MASKS, *decontaminate.SHORT_MASKS.get(n, ())) if len(m) <= n]
+        for bits in itertools.product((True, False), repeat=n):
+            if 3 * sum(bits) < 2 * n and n < MIN_MATCH / SHORT_SHARE:
+                continue                                 # too few equal words to be accepted
+            m = best_stretch(np.array(bits))[0]
+            if m >= MIN_MATCH or n < MIN_MATCH / SHORT_SHARE and m >= max(MIN_ITEM, SHORT_SHARE * n):
+                assert any(all(bits[s + i] for i in k) for k in masks for s in range(n - k[-1])), bits
+
+
+def test_masks_find_every_pattern_of_any_length():
+    """All stretches without a window of a mask, as states (last words, words,
+    score, highest score so far, equal words): none gets to be accepted."""
+    kept = [(len(m), int(m.replace("#", "1").replace(".", "0"), 2)) for m in MASKS]
+    wide = max(map(len, MASKS))
+    seen, todo = set(), [(0, 0, 0, 0, 0)]
+    while todo:
+        last, n, score, top, equal = todo.pop()
+        for hit in (1, 0):
+            now = score + (1 if hit else -PENALTY)
+            bits, k = (last << 1 | hit) & ((1 << wide) - 1), min(n + 1, wide)
+            if now < 0 or any(k >= size and bits & m == m for size, m in kept):
+                continue
+            state = (bits, k, now, max(top, now), min(MIN_MATCH, equal + hit))
+            assert now < 50 and not (hit and now > top and state[4] >= MIN_MATCH), state
+            if state not in seen:
+                seen.add(state)
+                todo.append(state)
+
+
+def test_regular_substitutions_and_short_items(spark):
+    long = [f"word{i}" for i in range(59)]
+    short = [[f"{c}{i}" for i in range(n)] for n, c in ((6, "a"), (8, "b"), (9, "c"))]
+    bench = items(spark, [(i, " ".join(w), 1) for i, w in enumerate((long, *short))])
+    fourth = [w if i % 4 != 3 else "other" for i, w in enumerate(long)]
+    inner = [[w if i != at else "other" for i, w in enumerate(x)] for at, x in zip((2, 2, 4), short)]
+    docs = [(i, "some text before " + " ".join(w) + " and after") for i, w in enumerate((fourth, *inner))]
+    got = {(r.doc_id, r.item_id): r.n_equal for r in overlaps(frame(spark, docs), bench).collect()}
+    assert got == {(0, 0): 45, (1, 1): 5, (2, 2): 7, (3, 3): 8}

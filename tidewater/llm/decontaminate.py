@@ -4,7 +4,9 @@ Words are lower-cased runs of letters and digits, each hashed to 64 bits. A
 spaced seed is a fixed mask over a window of word positions; positions where
 the mask has ``.`` are ignored, so a window still matches when words there were
 replaced. Every window of every benchmark item and of every document is hashed
-under each mask.
+under each mask. The masks miss nothing that the verification accepts: every
+stretch it can accept in an item of any length holds a window of one of them
+(items of up to eight words have masks of their own beside the others).
 
 * The benchmark's hashes set bits of a bitmap of fixed size (``BITMAP`` bits,
   two probes per hash), built by a distributed ``bit_or`` and broadcast: its
@@ -18,8 +20,7 @@ under each mask.
   ``SHORT_SHARE`` of a shorter item's words.
 
 Defined results: null and empty texts and items have no windows and no
-overlap; items shorter than the shortest mask are matched whole when all their
-words stand consecutively and they have at least ``MIN_ITEM`` words; null ids
+overlap; items of fewer than ``MIN_ITEM`` words are not looked for; null ids
 are carried; repeated rows are reported once per (id, item); empty tables give
 no overlaps; other columns are not read.
 """
@@ -36,8 +37,11 @@ from tidewater.llm.common import cut, flatten, map_arrow, slices, with_row_key,
 
 by_value(__name__)
 
-# Seeds over word positions: # compared, . ignored.
-MASKS = ("########", "##.##.#.##", "#.##..##.##")
+# Seeds over word positions: # compared, . ignored. The tests walk all patterns of equal and
+# other words that ``verify`` accepts; change the masks only together with its limits.
+MASKS = ("###.###", "##.#..###", "##.#.##..#", "####...#.#", "####.#..#")
+#: Further masks for items of so many words.
+SHORT_MASKS = {5: ("#####",), 6: ("#####", "##.###"), 7: ("##.###",), 8: ("##.####",)}
 BITMAP = 1 << 26
 MIN_MATCH = 12
 PENALTY = 2
@@ -92,8 +96,7 @@ def probes(h):
 
 
 def seed_windows(items: DataFrame) -> DataFrame:
-    """(item, pos, h): every spaced-seed window of the benchmark's items; an item
-    too short for a mask is one window of its whole length."""
+    """(item, pos, h): every spaced-seed window of the benchmark's items."""
 
     def run(batches):
         import numpy as np
@@ -103,8 +106,7 @@ def seed_windows(items: DataFrame) -> DataFrame:
             item, pos, hashes = [], [], []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = word_ids(words_of(t), WordHashes())
-                short = ["#" * len(ids)] if MIN_ITEM <= len(ids) < min(map(len, MASKS)) else []
-                for mask in (*MASKS, *short):
+                for mask in (*MASKS, *SHORT_MASKS.get(len(ids), ())):
                     h = window_hashes(ids, mask)
                     item += [i] * len(h)
                     pos += range(len(h))
@@ -133,17 +135,17 @@ def bitmap_of(seeds: DataFrame):
     return bits
 
 
-def scan(shared, lengths):
+def scan(shared, short):
     """Document windows that pass the bitmap, merged to runs of hits no more than
     ``REACH`` words apart: (run, doc, at, window word ids, hit positions, hit
-    hashes). ``lengths``: the item lengths under the shortest mask."""
+    hashes). ``short``: the masks of the short items that there are."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         bits, memo = shared.value, worker_cache("decontaminate").setdefault("words", WordHashes())
-        masks = (*MASKS, *("#" * n for n in lengths))
+        masks = (*MASKS, *short)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             out: dict[str, list] = {k: [] for k in ("row", "at", "ids", "pos", "h")}
@@ -236,12 +238,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     seeds = cut(seed_windows(items.select(F.col("nth").alias("item"), "text")))
     item_words = cut(map_arrow(items.select("nth", "item", "text"), encode_items,
                                f"nth long, item {items.schema['item'].dataType.simpleString()}, words binary"))
-    shortest = min(map(len, MASKS))
     lengths = [r[0] for r in item_words.select((F.octet_length("words") / 8).cast("int").alias("n")).distinct()
-               .filter(F.col("n").between(MIN_ITEM, shortest - 1)).collect()]      # at most three values
+               .filter(F.col("n").isin(*SHORT_MASKS)).collect()]                   # at most four values
+    short = sorted({m for n in lengths for m in SHORT_MASKS[n]})
     shared = spark.sparkContext.broadcast(bitmap_of(seeds))                        # fixed size
     kind = source.schema["doc_id"].dataType.simpleString()
-    runs = cut(map_arrow(source, scan(shared, sorted(lengths)),
+    runs = cut(map_arrow(source, scan(shared, short),
                          f"doc_id {kind}, at long, ids binary, pos array<int>, h array<long>")
                .withColumn("run", F.monotonically_increasing_id()))
     hits = runs.select("run", F.explode(F.arrays_zip("pos", "h")).alias("x")).select("run", "x.pos", "x.h")
