@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidewater.llm.bpe import encode
+from tidewater.llm.collocations import collocations
 from tidewater.llm.common import fold, shared_folder, table
 from tidewater.llm.decontaminate import overlaps
 from tidewater.llm.exact_dedup import exact_groups
@@ -13,6 +14,7 @@ from tidewater.llm.kd_shards import kd_shards
 from tidewater.llm.language import identify, train_language_model
 from tidewater.llm.licenses import scan_licenses
 from tidewater.llm.quality import quality, train_quality_model
+from tidewater.llm.runs import longest_run, periodic_runs, planted_order, run_digest
 from tidewater.llm.simhash import simhash_groups
 from tidewater.llm.token_records import read_records, write_records
 from tidewater.llm.toxicity import toxicity, train_toxicity_model
@@ -80,6 +82,19 @@ def op10_kd_shards(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_runs(spark, sf_dir):
+    rows = periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_order)
+    return (rows.withColumn("best", longest_run(F.col("runs")))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    run_digest(F.col("runs")).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run
 
@@ -97,6 +112,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_kd_shards": op10_kd_shards,
+    "op11_runs": op11_runs,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }
 
@@ -107,4 +124,63 @@ ORACLES = {
         FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS digest
               FROM documents)
         WINDOW g AS (PARTITION BY digest)""",
+    # crc32 as a fold over the digits; pairs of equal words of a document, then gaps and islands per lag
+    "op11_runs": r"""
+        WITH base AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0,
+                   xor(list_reduce(list_prepend(4294967295::UBIGINT,
+                       list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+                       lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                           lambda c, i: xor(c >> 1, 3988292384::UBIGINT * (c & 1)))), 4294967295::UBIGINT)::BIGINT AS h
+            FROM documents),
+        plan AS (SELECT *, len(w0)::BIGINT AS n, h % 10 = 0 AND len(w0) > 0 AS planted,
+                        (h // 10) % greatest(len(w0), 1) AS a FROM base),
+        docs AS (
+            SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: w0[1 + CASE WHEN i < a THEN i
+                       ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) ELSE w0 END AS w FROM plan),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM docs),
+        pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+                  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i),
+        islands AS (SELECT doc_id, q, min(i) AS s, count(*) AS m FROM
+                    (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM pairs)
+                    GROUP BY doc_id, q, g),
+        runs AS (SELECT doc_id, s AS start, m + q AS length, min(q) AS period FROM islands
+                 WHERE m >= greatest(12 - q, q) GROUP BY doc_id, s, m + q),
+        best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+        listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), ''
+                          ORDER BY start, period) AS lines FROM runs GROUP BY doc_id),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words x WHERE NOT EXISTS
+                 (SELECT 1 FROM runs r WHERE r.doc_id = x.doc_id AND x.i >= r.start + r.period AND x.i < r.start + r.length)
+                 GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+               sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+        FROM docs d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, unnest(flatten(list_transform([1, 2, 3], lambda k: list_transform(
+                       range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase FROM lists),
+        counts AS (SELECT lang, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, phrase),
+        totals AS (SELECT lang, sum(len(w)) AS n FROM lists GROUP BY lang),
+        candidates AS (SELECT lang, phrase, f AS a, w FROM counts WHERE len(w) > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+                   (c.a::HUGEINT * c.a * 1000000) // (x.f::HUGEINT * y.f) AS score
+            FROM (SELECT *, unnest(range(1, len(w))) AS k FROM candidates) c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_ones AS (SELECT DISTINCT c.lang, s.phrase FROM candidates c, unnest([array_to_string(c.w[1:2], ' '),
+                              array_to_string(c.w[2:3], ' ')]) AS s(phrase)
+                       JOIN counts f ON f.lang = c.lang AND f.phrase = s.phrase
+                       WHERE len(c.w) = 3 AND 100 * c.a >= 50 * f.f)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+               n::BIGINT AS n, score::BIGINT AS score
+        FROM best JOIN totals USING (lang)
+        WHERE NOT EXISTS (SELECT 1 FROM inner_ones o WHERE o.lang = best.lang AND o.phrase = best.phrase)
+        QUALIFY rank <= 2000""",
 }
