@@ -62,11 +62,15 @@ def brute(rows, min_count, percent, top):
                 f[lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
     out = []
     for lang, own in f.items():
-        scored, long = [], [(p, a) for p, a in own.items() if len(p) == 3 and a >= min_count]
+        scored, holder = [], Counter()                   # largest count of a longer candidate around a pair
+        for p, a in own.items():
+            if len(p) == 3 and a >= min_count:
+                for q in (p[:2], p[1:]):
+                    holder[q] = max(holder[q], a)
         for p, a in own.items():
             if len(p) == 1 or a < min_count:
                 continue
-            if len(p) == 2 and any(p in (q[:2], q[1:]) and 100 * b >= percent * a for q, b in long):
+            if len(p) == 2 and holder[p] and 100 * holder[p] >= percent * a:
                 continue
             score, k = min((1000000 * a * a // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
             scored.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
