@@ -13,6 +13,7 @@ from tidewater.llm.exact_dedup import exact_groups
 from tidewater.llm.kd_shards import kd_shards
 from tidewater.llm.language import identify, train_language_model
 from tidewater.llm.licenses import scan_licenses
+from tidewater.llm.passages import drop_repeated_passages
 from tidewater.llm.quality import quality, train_quality_model
 from tidewater.llm.runs import longest_run, periodic_runs, planted_order, run_digest
 from tidewater.llm.simhash import simhash_groups
@@ -95,6 +96,11 @@ def op12_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_passages(spark, sf_dir):
+    return drop_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark, sf_dir):
     from corpus_pipeline import run
 
@@ -114,6 +120,7 @@ QUERIES = {
     "op10_kd_shards": op10_kd_shards,
     "op11_runs": op11_runs,
     "op12_collocations": op12_collocations,
+    "op13_passages": op13_passages,
     "pipeline": pipeline,
 }
 
@@ -183,4 +190,15 @@ ORACLES = {
         FROM best JOIN totals USING (lang)
         WHERE NOT EXISTS (SELECT 1 FROM inner_ones o WHERE o.lang = best.lang AND o.phrase = best.phrase)
         QUALIFY rank <= 2000""",
+    "op13_passages": r"""
+        WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 20], ' ') AS t
+                    FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS s FROM docs)),
+        later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, s) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+                 FROM words x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
 }
