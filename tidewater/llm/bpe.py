@@ -10,8 +10,9 @@ the right, so their pieces can be found by many tasks.
    ends within two characters of the window's end are not settled and left out.
 2. Stitch: chunk k takes over at the first start that the tail of chunk k - 1
    and its own head share. Only these short lists meet, per document.
-3. Encode: every chunk encodes the pieces between its own take-over point and
-   the next chunk's; the parts are put together in order.
+3. Encode: every chunk pre-tokenises its window and encodes the pieces that
+   start between its own take-over point and the next chunk's, so that a piece
+   always sees the text behind it; the parts are put together in order.
 
 If some overlap has no shared start (one piece longer than the overlap) the
 document is encoded whole, as one chunk: exact, only less parallel. Texts of up
@@ -67,6 +68,23 @@ class _Encoded(dict):
         return got
 
 
+class _Pieces(dict):
+    """Packed ids of single pieces."""
+
+    def __init__(self, bpe, kind: str):
+        super().__init__()
+        self.bpe, self.kind = bpe, kind
+
+    def encoded(self, piece: str) -> bytes:
+        import numpy as np
+
+        return np.array(self.bpe._encode_single_piece(piece.encode()), self.kind).tobytes()
+
+    def __missing__(self, piece):
+        got = self[piece] = self.encoded(piece)
+        return got
+
+
 class _Decoded(dict):
     """Bytes of comma-joined ids."""
 
@@ -99,6 +117,7 @@ class Codec:
     def forget(self):
         self.first, self.rest = _Encoded(self.bpe, self.names, ""), _Encoded(self.bpe, self.names, " ")
         self.decoded = _Decoded(self.table)
+        self.pieces = _Pieces(self.bpe, self.kind)
 
     def encode_text(self, text: str) -> tuple[str, bytes]:
         """(comma-joined ids, decoded bytes) of a text.
@@ -117,6 +136,14 @@ class Codec:
             return ids, b"".join([self.table[int(i)] for i in ids.split(",")])
         return ",".join(filter(None, parts)), b"".join(map(self.decoded.__getitem__, parts))
 
+    def encode_pieces(self, window: str, begin: int, end: int | None) -> bytes:
+        """Packed ids of the pieces of a window that start in [begin, end);
+        ``begin`` is a piece start."""
+        if len(self.pieces) > MEMO:
+            self.pieces.clear()
+        found = (m.group() for m in self.pattern.finditer(window, begin) if end is None or m.start() < end)
+        return b"".join([self.pieces[x] if len(x) <= LONGEST else self.pieces.encoded(x) for x in found])
+
     def plain(self, text: str) -> str:
         return ",".join(map(self.names.__getitem__, self.bpe.encode_ordinary(text)))
 
@@ -180,20 +207,15 @@ def find_borders(path: str, pattern: str, chunk: int, overlap: int):
 
 
 def encode_parts(path: str, pattern: str):
-    """Encode the stretch [from, to) of every window (to null: all the rest);
-    ids travel as packed unsigned integers."""
+    """Encode the pieces of every window that start in [begin, end) (end null:
+    all the rest); ids travel as packed unsigned integers."""
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         own = codec(path, pattern)
         for batch in batches:
-            windows, begin, end = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            got = []
-            for w, a, b in zip(windows, begin, end):
-                ids = own.encode_text(w[a:b])[0]
-                got.append(np.array(ids.split(",") if ids else [], own.kind).tobytes())
+            got = [own.encode_pieces(w, a, b) for w, a, b in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.binary())],
                                              names=["row", "k", "ids"])
 

@@ -14,7 +14,7 @@ without scanning the data.
 
 Writing: rows are range-partitioned by document id and sorted inside each
 partition, so the files in name order hold ascending ids (nulls first, ties by
-text). Every task writes its own pair of files to a name private to the attempt
+a hash of the text: the rows of one id may fill many files). Every task writes its own pair of files to a name private to the attempt
 and renames both when complete; a lost executor's task writes them again. The
 files go through Arrow's file systems, so the folder may be a local, HDFS or
 S3 path that all executors share.
@@ -23,6 +23,9 @@ Encoding uses the tokenizers library. White space never belongs to a token of
 these word-level vocabularies, so a text is split at ASCII blanks, each distinct
 word is encoded once per worker, and the ids are laid together with numpy.
 
+The strings of special tokens in a text become those tokens, as in the plain
+library call.
+
 Defined results: null and empty texts have only the end id; repeated rows are
 written as often as they occur; an empty table writes no frames; other columns
 are not read.
@@ -89,9 +92,11 @@ class WordEncoder:
     """Ids of whole texts, each distinct word encoded once and kept.
 
     Beyond ``MEMO`` words the rarer ones are forgotten (what a word encodes to
-    does not depend on the memo). A new word that is letters and at most one
-    mark shares the entry of its letters: the pre-tokenizer always parts letters
-    from marks, and the tokenizer lower-cases."""
+    does not depend on the memo). A new word of Latin letters and at most one
+    mark shares the entry of its letters: the tokenizer lower-cases, and the
+    pre-tokenizer parts letters from marks. That holds only if the letters still
+    end in a letter once normalised (the dotted capital I ends in a combining
+    mark, which goes with the mark behind it); other words are encoded whole."""
 
     def __init__(self, path: str, end_id: int):
         import os
@@ -101,7 +106,8 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs the tasks in parallel
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        rule = self.tokenizer.normalizer
+        self.normal = rule.normalize_str if rule else str
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.codes = _Codes()
         self.codes[None] = 0                             # the end of a text
@@ -130,7 +136,7 @@ class WordEncoder:
         """Add new words; ids are kept as bytes, which cost no garbage collection."""
         import numpy as np
 
-        letters, marks = self.letters, self.marks
+        letters, marks, normal = self.letters, self.marks, self.normal
         cores, ends = [], []
         for w in words:
             end = marks.get(w[-1:], b"")
@@ -139,6 +145,8 @@ class WordEncoder:
                 core, end = w, b""
             elif core.isascii() or max(core) < "\u0100":
                 core = core.lower()
+            elif end and (max(core) >= "\u0250" or not normal(core)[-1:].isalpha()):
+                core, end = w, b""
             cores.append(core)
             ends.append(end)
         merge, pack = self.tokenizer.model.tokenize, self.pack
@@ -237,7 +245,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     store, root = file_system(folder)
     store.create_dir(root, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = rows.repartitionByRange(F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     files = cut(map_arrow(rows, write_files(folder, tokenizer_path, end_id), "file string, frames long, tokens long"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)      # one small row per file
     return cut(files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long"))))
@@ -289,9 +298,10 @@ def read_records(files: DataFrame, folder: str) -> DataFrame:
     return map_arrow(spread, read_files(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_shuffled(spark: SparkSession, files: DataFrame, folder: str, seed: int) -> DataFrame:
+def read_shuffled(spark: SparkSession, files: DataFrame, folder: str, seed: int, handles: int = 64) -> DataFrame:
     """(doc_id, ids) of all records in a seeded random order: the index entries
-    are shuffled, then every task fetches its frames by offset."""
+    are shuffled as rows of their own, then every task fetches its frames by
+    offset, with at most ``handles`` files open."""
 
     def entries(batches):
         import pyarrow as pa
@@ -300,29 +310,34 @@ def read_shuffled(spark: SparkSession, files: DataFrame, folder: str, seed: int)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows = read_index(store, name)
-                yield pa.RecordBatch.from_pydict({"file": [name] * len(rows),
-                                                  "offset": pa.array([r[2] for r in rows], pa.int64())})
+                for lo in range(0, len(rows), 20_000):
+                    part = rows[lo:lo + 20_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(part), pa.string()), pa.array([r[2] for r in part], pa.int64()),
+                         pa.array([None if r[0] else r[1] for r in part], pa.int64()), pa.array([r[3] for r in part], pa.int64())],
+                        names=["file", "offset", "doc_id", "n"])
 
     def fetch(batches):
         import pyarrow as pa
 
         store, _ = file_system(folder)
+        opened: dict = {}
         for batch in batches:
-            docs, ids = [], []
-            indexes: dict = {}
-            for name, offset in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if name not in indexes:
-                    indexes = {name: {r[2]: r for r in read_index(store, name)}}
-                with store.open_input_file(name + ".rec") as f:
-                    f.seek(offset)
-                    head = f.read(12)
-                    payload, _ = unframe(head + f.read(struct.unpack("<Q", head[:8])[0] + 4), 0)
-                null, doc, _, _ = indexes[name][offset]
-                docs.append(None if null else doc)
-                ids.append(ids_of(payload).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ids, pa.list_(pa.int64()))],
-                                             names=["doc_id", "ids"])
-
-    index = map_arrow(files.select("file"), entries, "file string, offset long")
+            ids = []
+            for name, offset, n in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+                if name not in opened:
+                    if len(opened) >= handles:
+                        opened.pop(next(iter(opened))).close()
+                    opened[name] = store.open_input_file(name + ".rec")
+                f = opened[name]
+                f.seek(offset)
+                head = f.read(12)
+                got = ids_of(unframe(head + f.read(struct.unpack("<Q", head[:8])[0] + 4), 0)[0])
+                if len(got) != n:
+                    raise ValueError(f"{name}: index and frame at {offset} differ")
+                ids.append(got.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    index = map_arrow(files.select("file"), entries, "file string, offset long, doc_id long, n long")
     order = index.orderBy(F.xxhash64("file", "offset", F.lit(seed)))
     return map_arrow(order, fetch, "doc_id long, ids array<long>")
