@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
 from tidewater.llm.automata import Automaton, cut_points, narrowed, range_of, summed, united
-from tidewater.llm.common import cut, map_arrow, shared_folder
+from tidewater.llm.common import cut, map_arrow, shared_folder, slices
 from tidewater.llm.runs import mixed
 
 by_value(__name__)
@@ -40,6 +40,7 @@ SHARD_WORDS = 1_500_000
 UNION_PHRASES = 2_000_000
 RANGE_BYTES = 64 << 20
 SAMPLE_ROWS, SAMPLE_CHARS = 1000, 4000
+SALTS = 16
 BITS = 1 << 26
 #: Separators become a word of their own, which no text can hold.
 PREPARED = bytes(46 if i in b".,;:!?\n\v\f\r" else 32 if i == 9 else i for i in range(256))
@@ -159,18 +160,19 @@ def shard_automata(depths: tuple, ranges: Ranges, frequent=None):
         size = 0
         for batch in batches:
             langs, texts = (c.to_pylist() for c in batch.columns)
-            by_lang: dict[str, list] = {}
-            for lang, text in zip(langs, texts):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, own in by_lang.items():
-                words = tokens(own)
-                numbers, arrays = held.setdefault(lang, (_Numbers({b".": 0}), []))
-                arrays.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-                arrays.append(np.zeros(1, np.int64))
-                size += len(words)
-            if size > SHARD_WORDS:
-                yield flush()
-                size = 0
+            for lo, hi in slices(texts):
+                by_lang: dict[str, list] = {}
+                for lang, text in zip(langs[lo:hi], texts[lo:hi]):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, own in by_lang.items():
+                    words = tokens(own)
+                    numbers, arrays = held.setdefault(lang, (_Numbers({b".": 0}), []))
+                    arrays.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                    arrays.append(np.zeros(1, np.int32))
+                    size += len(words)
+                if size > SHARD_WORDS:
+                    yield flush()
+                    size = 0
         if held:
             yield flush()
 
@@ -341,7 +343,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     best = (scored.groupBy("lang", "phrase", "a")
             .agg(F.min_by(F.struct("score", "l", "r"), F.struct("score", "k")).alias("best"))
             .select("lang", "phrase", "a", "best.*").join(held, ["lang", "phrase"], "left_anti"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of each of SALTS stretches of a language first: one task never ranks more than SALTS * top rows
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    salted = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    some = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return (ranked.join(words_of_lang, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
