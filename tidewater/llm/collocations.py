@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
 from tidewater.llm.automata import Automaton, cut_points, narrowed, range_of, summed, united
-from tidewater.llm.common import cut, map_arrow, shared_folder, slices
+from tidewater.llm.common import bitmap, cut, map_arrow, shared_folder, slices
 from tidewater.llm.runs import mixed
 
 by_value(__name__)
@@ -283,10 +283,10 @@ def count_automata(docs: DataFrame, depths: tuple, ranges: Ranges, min_count: in
 
 
 def frequent_pairs(counted: DataFrame):
-    """The bitmap of all counted pairs; ``BITS / 64`` words reach the driver."""
-    import numpy as np
+    """The bitmap of all counted pairs."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
@@ -296,12 +296,7 @@ def frequent_pairs(counted: DataFrame):
                 bits = np.unique(pair_bits(words, own[:, 0], own[:, 1], lang)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(bits, pa.int64())], names=["bit"])
 
-    words = (map_arrow(counted.select("lang", "automaton"), run, "bit long")
-             .select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas())
-    bits = np.zeros(BITS // 64, np.uint64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
-    return bits
+    return bitmap(map_arrow(counted.select("lang", "automaton"), run, "bit long"), BITS)
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10,

@@ -123,6 +123,30 @@ def flatten(lists: list) -> list:
     return list(itertools.chain.from_iterable(lists))
 
 
+def bitmap(bits: DataFrame, size: int):
+    """A bitmap of ``size`` bits with the bits of the column ``bit`` set, or-ed
+    together in Spark. The driver gets one packed row per partition, ``size / 64``
+    words at most in all."""
+    import numpy as np
+
+    def pack(batches):
+        import pyarrow as pa
+
+        where, words = [], []
+        for batch in batches:
+            where.append(batch.column(0).to_numpy(zero_copy_only=False).astype("<i8"))
+            words.append(batch.column(1).to_numpy(zero_copy_only=False).astype("<i8"))
+        yield pa.RecordBatch.from_pydict({"w": pa.array([b"".join(x.tobytes() for x in where)], pa.binary()),
+                                          "b": pa.array([b"".join(x.tobytes() for x in words)], pa.binary())})
+
+    words = (bits.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")))
+    out = np.zeros(size // 64, np.uint64)
+    for w, b in map_arrow(words, pack, "w binary, b binary").toLocalIterator():
+        out[np.frombuffer(w, "<i8")] = np.frombuffer(b, "<i8").view(np.uint64)
+    return out
+
+
 def fold(id_col: Column, k: int) -> Column:
     """crc32 of the id as text, mod ``k`` (null ids fall in fold 0)."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % F.lit(k), F.lit(0))

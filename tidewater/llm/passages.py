@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, flatten, map_arrow, shared_folder, slices, worker_cache
+from tidewater.llm.common import bitmap, cut, flatten, map_arrow, shared_folder, slices, worker_cache
 from tidewater.llm.runs import mixed
 
 by_value(__name__)
@@ -129,17 +129,9 @@ def name_counts(window: int, gram: int):
 
 
 def marks(names: DataFrame):
-    """The bitmap of the names, two bits each; ``BITS / 64`` words reach the driver."""
-    import numpy as np
-
-    both = F.explode(F.array(F.col("name").bitwiseAND(F.lit(BITS - 1)),
-                             F.shiftrightunsigned("name", 32).bitwiseAND(F.lit(BITS - 1))))
-    words = (names.select(both.alias("bit"))
-             .select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas())
-    bits = np.zeros(BITS // 64, np.uint64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
-    return bits
+    """The bitmap of the names, two bits each."""
+    return bitmap(names.select(F.explode(F.array(
+        F.col("name").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("name", 32).bitwiseAND(F.lit(BITS - 1)))).alias("bit")), BITS)
 
 
 def marked_pieces(shared, window: int, gram: int):
