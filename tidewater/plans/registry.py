@@ -1099,3 +1099,6 @@ def run_totals(spark, sf_dir) -> DataFrame:
          .select(F.lit("observations_rejected").alias("metric"), "n"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+from tidewater.plans import stored  # noqa: E402,F401  (registers its queries)
