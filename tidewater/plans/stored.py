@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.plans import mapping
 from tidewater.plans.registry import _file_width, catalog, query
@@ -48,16 +49,12 @@ def _folder_load(spark, sf_dir, base):
         return named.select("datastream_key", "phenomenon_time", "result", "flag", F.col("_ord.split").alias("file_split"),
                             F.col("_ord.row").alias("file_row"), F.regexp_extract(decoded, r"/files/(.*)$", 1).alias(FILE))
 
-    schema = cut(load_files_schema(spark)).schema
+    schema = T.StructType.fromDDL("datastream_key string, phenomenon_time string, result double, flag string, "
+                                  "file_split long, file_row long")
     return root, FolderLoad(spark, f"{base}/table", root, schema, load_files, ["datastream_key", "phenomenon_time"],
                             ["file_split", "file_row"], "*.csv")
 
 
-def load_files_schema(spark):
-    return spark.createDataFrame([], "datastream_key string, phenomenon_time string, result double, flag string, "
-                                     "file_split long, file_row long")
-
-
 def _after_changes(spark, sf_dir):
     """A folder loaded, then with a quarter of its files rewritten, a quarter
     removed and a quarter added, loaded again, and once more as it is."""
@@ -123,3 +120,171 @@ def stale_targets(spark, sf_dir) -> DataFrame:
     rows = read_text_table(spark, paths, with_order=True).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
     return (stale.join(rows, "name", "left").groupBy("reason")
             .agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows")))
+
+
+# ------------------------------------------- entities
+def _kinds_seen(spark, sf_dir):
+    """Entities of every kind as the mapped observations name them; ``old``:
+    seen before the split."""
+    from tidewater.plans.registry import SPLIT_EXISTING, _mapped
+    cat = catalog(spark, sf_dir)
+    d = cat.datastreams().select("datastream_key", "thing_key", F.col("COMPARTIMENTO").alias("workspace"),
+                                 F.col("VERSION").alias("level_code"), F.col("SIGLA_STRUMENTO").alias("sensor_key"),
+                                 F.col("TIPO_GRANDEZZA").alias("definition"), F.col("uom_symbol").alias("symbol"))
+    g = _mapped(spark, sf_dir).select("datastream_key", F.col("flag").alias("qualifier_code"),
+                                      (F.col("phenomenon_time") < SPLIT_EXISTING).alias("old"))
+    return cut(g.groupBy("datastream_key", "qualifier_code").agg(F.max("old").alias("old")).join(d, "datastream_key"))
+
+
+@query
+def stored_get_or_create(spark, sf_dir) -> DataFrame:
+    """Workspaces, processing levels, sites, sensors, properties, units,
+    qualifiers and datastreams of two loads in a stored, versioned table each; a
+    run between them dies before it publishes, a last run finds nothing new.
+    Returns every stored entity with the generation that created it."""
+    from functools import reduce
+
+    from tidewater.operators.entity_store import KEYS, EntityStore
+    from tidewater.sinks.generations import GenerationStore
+
+    class Dying(GenerationStore):
+        def _publish(self, new):
+            raise InterruptedError("stopped before publishing")
+
+    seen, root = _kinds_seen(spark, sf_dir), scratch(spark, "entities-stored")
+    kinds = [k for k in KEYS if k not in ("Locations", "Observations")]
+    rows = lambda df: {k: df.select(*KEYS[k]).distinct() for k in kinds}
+    store = EntityStore(GenerationStore(spark, root))
+    store.ensure(rows(seen.filter("old")))
+    try:
+        EntityStore(Dying(spark, root)).ensure(rows(seen))
+    except InterruptedError:
+        store.store.recover()
+    store.ensure(rows(seen))
+    store.ensure(rows(seen))
+    return reduce(DataFrame.unionByName, [
+        store.read(k).select(F.lit(k).alias("kind"), F.concat_ws("|", *KEYS[k]).alias("entity_key"), "created_in") for k in kinds])
+
+
+def _numbered_entities(spark, sf_dir):
+    """(key columns, id, name) per kind, with a number ``k`` to choose by."""
+    from tidewater.plans import entities
+    cat = catalog(spark, sf_dir)
+    station = F.substring("ALIAS_STAZIONE", 10, 9).cast("int")
+    things = entities.things(cat)
+    series = entities.datastreams(cat)
+    places = entities.locations(cat).join(things.select("thing_key", "ALIAS_STAZIONE"), "thing_key")
+    sensors = entities.sensors(cat).join(series.select("datastream_id", "datastream_key", "ALIAS_STAZIONE"), "datastream_id")
+    props = entities.observed_properties(cat)
+    return {
+        "Things": things.select("thing_key", F.col("thing_id").alias("iot_id"), "name", station.alias("k")),
+        "Locations": places.select("thing_key", F.col("location_id").alias("iot_id"), "name", station.alias("k")),
+        "Sensors": sensors.select(F.col("datastream_key").alias("sensor_key"), F.col("sensor_id").alias("iot_id"), "name", station.alias("k")),
+        "ObservedProperties": props.select("definition", F.col("observed_property_id").alias("iot_id"), "name", F.length("definition").alias("k")),
+        "Datastreams": series.select("datastream_key", F.col("datastream_id").alias("iot_id"), "name", station.alias("k")),
+    }
+
+
+@query
+def stored_refresh(spark, sf_dir) -> DataFrame:
+    """A forced refresh of Things, Locations, Sensors,
+    ObservedProperties and Datastreams in storage (a NULL keeps the old value,
+    absent ones are inserted), then one Thing renamed and one Datastream deleted
+    by id; everything read back."""
+    from functools import reduce
+
+    from tidewater.operators.entity_store import KEYS, EntityStore
+    from tidewater.sinks.generations import GenerationStore
+    all_rows = {k: cut(df) for k, df in _numbered_entities(spark, sf_dir).items()}
+    store = EntityStore(GenerationStore(spark, scratch(spark, "refresh")))
+    store.refresh({k: df.filter("k % 3 <> 0").drop("k") for k, df in all_rows.items()})
+    renewed = F.when(F.col("k") % 5 != 0, F.concat("name", F.lit(" (2)")))
+    store.refresh({k: df.filter("k % 3 <> 1").withColumn("name", renewed).drop("k") for k, df in all_rows.items()})
+    first = store.read("Things").agg(F.min("thing_key")).first()[0]
+    last = store.read("Datastreams").agg(F.max("datastream_key")).first()[0]
+    if first is not None:
+        store.patch("Things", "thing_key", first, {"name": F.lit("Renamed station")})
+    if last is not None:
+        store.remove("Datastreams", "datastream_key", last)
+    return reduce(DataFrame.unionByName, [
+        store.read(k).select(F.lit(k).alias("kind"), F.col(KEYS[k][0]).alias("entity_key"), "iot_id", "name") for k in all_rows])
+
+
+def _filled_store(spark, sf_dir, name):
+    from tidewater.operators.entity_store import EntityStore
+    from tidewater.plans import entities
+    from tidewater.plans.registry import _mapped
+    from tidewater.sinks.generations import GenerationStore
+    cat = catalog(spark, sf_dir)
+    store = EntityStore(GenerationStore(spark, scratch(spark, name)))
+    store.store.commit({
+        "ObservedProperties": entities.observed_properties(cat).select("definition", "name"),
+        "Datastreams": entities.datastreams(cat).select("datastream_key", "thing_key", "definition"),
+        "Things": entities.things(cat).select("thing_key", "name"),
+        "Locations": entities.locations(cat).select("thing_key", "lon", "lat"),
+        "Observations": _mapped(spark, sf_dir).select("datastream_key", "phenomenon_time", "obs_id")})
+    return store
+
+
+@query
+def executed_cascade(spark, sf_dir) -> DataFrame:
+    """The cascade delete by ObservedProperty name carried out on stored
+    tables; the job stops between two tables and another one resumes the stored
+    plan. Survivors of all tables, read back."""
+    from functools import reduce
+
+    from tidewater.operators.entity_store import EntityStore
+    from tidewater.plans.registry import PROPERTY_TO_DELETE
+    store = _filled_store(spark, sf_dir, "cascade")
+    store.plan_cascade(PROPERTY_TO_DELETE)
+    store.resume(steps=2)
+    again = EntityStore(store.store)
+    again.resume()
+    keys = {"Observations": "datastream_key", "Datastreams": "datastream_key", "Things": "thing_key", "Locations": "thing_key",
+            "ObservedProperties": "definition"}
+    return reduce(DataFrame.unionByName, [
+        again.read(k).groupBy(F.col(c).alias("entity_key")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(k).alias("kind"), "entity_key", "n") for k, c in keys.items()])
+
+
+@query
+def emptied_collections(spark, sf_dir) -> DataFrame:
+    """All collections of a store emptied in dependency order, with a stop
+    after the second; rows before, at the stop and after."""
+    from functools import reduce
+    store = _filled_store(spark, sf_dir, "emptied")
+    full = store.store.snapshot()
+    store.plan_clear()
+    done = store.resume(steps=2)
+    stopped = store.store.snapshot()
+    done += store.resume()
+    n = lambda kind, at: store.read(kind, at).agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionByName, [
+        n(kind, at).select(F.lit(i).alias("position"), F.lit(kind).alias("kind"), F.lit(when).alias("at"), "n")
+        for i, kind in enumerate(done, 1) for when, at in (("before", full), ("stop", stopped), ("end", store.store.snapshot()))])
+
+
+# --------------------------------------------------------- batch records (K9)
+@query
+def batch_records(spark, sf_dir) -> DataFrame:
+    """K9: batches in three loads, one of them tried again (it adds nothing);
+    then the files of one load are lost and those of another doubled. Every batch
+    with the rows expected and visible, and what is wrong with it."""
+    from tidewater.plans.registry import _batched
+    from tidewater.sinks.batch_log import BatchLog
+    b = cut(_batched(spark, sf_dir).select("obs_id", "datastream_key", "phenomenon_time", "batch_no"))
+    log = BatchLog(spark, scratch(spark, "batch-log"), b.schema)
+    loads = [cut(log.load(b.filter(F.pmod("batch_no", F.lit(3)) == k))) for k in (0, 1, 2)]
+    again = log.load(b.filter(F.pmod("batch_no", F.lit(3)) == 1))
+    if not again.isEmpty():
+        raise AssertionError("a retried batch was stored again")
+    folders = Folders(spark)
+    of = lambda k: f"{log.root}/rows/load={(loads[k].select('load').first() or ['none'])[0]}"
+    for name in folders.names(of(1)):
+        if name.startswith("part-"):
+            folders.delete(f"{of(1)}/{name}")
+    copies = spark.read.schema(b.schema).parquet(of(2)) if folders.exists(of(2)) else b.limit(0)
+    cut(copies).write.mode("append").parquet(of(2))
+    v = log.verify()
+    return v.select("datastream_key", "batch_no", "expected", "inserted", "status",
+                    (F.size("missing_files") > 0).alias("file_missing"), (F.size("unknown_files") > 0).alias("file_unknown"))
