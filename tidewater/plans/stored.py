@@ -116,7 +116,8 @@ def stale_targets(spark, sf_dir) -> DataFrame:
         folders.touch(r[0], noon + late[r[1]])
     stale = cut(stale_sources(list_files(spark, f"{base}/sources"), list_files(spark, f"{base}/targets")))
     paths = [r[0] for r in stale.select("path").orderBy("path").toLocalIterator()]
-    name = F.regexp_extract(F.url_decode(F.col("_ord.file")), r"/sources/(.*)$", 1)
+    decoded = F.url_decode(F.replace(F.col("_ord.file"), F.lit("+"), F.lit("%2B")))
+    name = F.regexp_extract(decoded, r"/sources/(.*)$", 1)
     rows = read_text_table(spark, paths, with_order=True).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
     return (stale.join(rows, "name", "left").groupBy("reason")
             .agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows")))
@@ -288,3 +289,64 @@ def batch_records(spark, sf_dir) -> DataFrame:
     v = log.verify()
     return v.select("datastream_key", "batch_no", "expected", "inserted", "status",
                     (F.size("missing_files") > 0).alias("file_missing"), (F.size("unknown_files") > 0).alias("file_unknown"))
+
+
+# --------------------------------------------------- resumed exports (K4)
+@query
+def resumed_export(spark, sf_dir) -> DataFrame:
+    """K4: an export stopped and resumed twice. The observations before the split
+    are published; of the later ones first those of half the datastreams, then all
+    that are missing. Batch documents and their requests, read back."""
+    from tidewater.plans import entities
+    from tidewater.plans.registry import RESUME_SPLIT, SHOWCASE_BATCH, _mapped_once
+    from tidewater.sinks.publish import published_requests, resume_export
+    from tidewater.sources.hadoop import list_files
+    cat = catalog(spark, sf_dir)
+    g = _mapped_once(spark, sf_dir, F.col("obs_id").alias("iot_id"), "datastream_key", "datastream_id",
+                     F.col("phenomenon_time").alias("phenomenonTime"), "result", "_ord")
+    root, body = scratch(spark, "resumed"), {"iot_id": "bigint", "phenomenonTime": "string", "result": "double"}
+    series = entities.datastreams(cat).select("datastream_key", "thing_key")
+    half = F.pmod(F.length("datastream_key"), F.lit(2)) == 0
+    for part in (F.col("phenomenonTime") < RESUME_SPLIT, (F.col("phenomenonTime") >= RESUME_SPLIT) & half, F.lit(True)):
+        cut(resume_export(spark, root, g.filter(part), series, "phenomenonTime", body, "_ord", SHOWCASE_BATCH))
+    listed = list_files(spark, root, "observations_*.json").select(
+        F.regexp_extract("name", r"([^/]+)/observations/[^/]+$", 1).alias("datastream_folder"), F.regexp_extract("name", r"([^/]+)$", 1).alias("file_name"))
+    per_folder = published_requests(spark, root, "iot_id:bigint").groupBy(
+        F.regexp_extract("folder", r"([^/]+)/observations$", 1).alias("datastream_folder")).agg(F.count(F.lit(1)).alias("n_requests"),
+                                                                                                F.count_distinct("iot_id").alias("n_ids"))
+    return (listed.groupBy("datastream_folder").agg(F.count(F.lit(1)).alias("n_files"), F.count_distinct("file_name").alias("n_names"),
+                                                    F.max("file_name").alias("last_file"))
+            .join(per_folder, "datastream_folder", "left"))
+
+
+# ------------------------------------------------------ replaced files (K1)
+@query
+def replaced_files(spark, sf_dir) -> DataFrame:
+    """K1: a folder of raw rows rewritten in sorted order in its own place, after
+    attempts that stopped at every step; the rows seen by a reader at each stop,
+    and the position of each row in its series in the end."""
+    from tidewater.operators import sorting
+    from tidewater.operators.ordered import rank_within
+    from tidewater.sinks.files import current_folder, replace_folder, write_sorted
+    from tidewater.sources.csv_tables import _Fs, read_text_table
+    from tidewater.sources.driver import DriverTables
+    cols = [*sorting.TEXT_KEYS, "ANNO", "MESE", "GIORNO", "ORA", "VALORE"]
+    target = f"{scratch(spark, 'replaced')}/observations"
+    raw = DriverTables(spark, sf_dir).raw_observations()
+    write_sorted(raw.select(*cols, F.col("_ord").alias("ARRIVAL")).orderBy(F.desc("ARRIVAL")), target, sep=";")
+
+    def rows():
+        files = [f for f in _Fs(spark).list(current_folder(spark, target)) if f.endswith(".csv")]
+        return read_text_table(spark, files, with_order=True)
+
+    def rewrite(folder):
+        write_sorted(sorting.sorted_observations(rows().drop("_ord").withColumn("_ord", F.col("ARRIVAL").cast("long"))), folder, sep=";")
+
+    expected = raw.count()
+    for stop in ("written", "intent", "moved", "placed", None):
+        replace_folder(spark, target, rewrite, stop)
+        if rows().count() != expected:
+            raise AssertionError(f"a reader saw part of the rows after step {stop}")
+    back = cut(rows().select(*cols, "_ord"))
+    return (rank_within(back, sorting.TEXT_KEYS, "_ord", "position")
+            .select(*[F.coalesce(c, F.lit("")).alias(c) for c in cols], "position"))

@@ -1,7 +1,8 @@
 """File sinks.
 
-Each sink writes a new folder; replacing an input is a rename by the caller
-after a successful write (never read and overwrite one path in one plan).
+Each sink writes a new folder. ``replace_folder`` puts such a folder in the place
+of an input (no plan reads what it overwrites) in steps that can be taken up again
+after a stop.
 """
 
 from __future__ import annotations
@@ -21,6 +22,73 @@ def write_sorted(sorted_df: DataFrame, out: str, sep: str = ",") -> None:
      .option("encoding", "UTF-8").csv(out))
 
 
+# Names beside a folder while it is being replaced.
+INTENT, STAGED, OLD = "_replacing", "_staged", "_old"
+
+
+def _beside(target: str, what: str) -> str:
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    return f"{parent}/{what}-{name}"
+
+
+def replace_folder(spark, target: str, write, stop_after: str | None = None) -> None:
+    """K1: ``write(folder)`` writes the new contents (it may read ``target``); they
+    then take the place of ``target``.
+
+    1. written: the new folder stands beside the target;
+    2. intent: a marker says that it is complete;
+    3. moved: the target is renamed to an old folder;
+    4. placed: the new folder is renamed to the target;
+    then the old folder and the marker go. Before the marker a stop changes
+    nothing; after it ``finish_replacing`` carries on. ``current_folder`` is where
+    a reader finds the old or the new contents, whole, at any time.
+    ``stop_after`` ends after a step (for tests)."""
+    from tidewater.sources.hadoop import Folders
+
+    folders = Folders(spark)
+    finish_replacing(spark, target)
+    staged = _beside(target, STAGED)
+    folders.delete(staged)
+    write(staged)
+    if stop_after == "written":
+        return
+    folders.write_text(_beside(target, INTENT), staged)
+    if stop_after == "intent":
+        return
+    finish_replacing(spark, target, stop_after)
+
+
+def finish_replacing(spark, target: str, stop_after: str | None = None) -> bool:
+    """Carry a replacement on from where it stopped; whether there was one."""
+    from tidewater.sources.hadoop import Folders
+
+    folders = Folders(spark)
+    intent, staged, old = (_beside(target, x) for x in (INTENT, STAGED, OLD))
+    if not folders.exists(intent):
+        return False
+    if folders.exists(staged):
+        if folders.exists(target):
+            folders.delete(old)
+            folders.rename(target, old)
+        if stop_after == "moved":
+            return True
+        folders.rename(staged, target)
+        if stop_after == "placed":
+            return True
+    folders.delete(old)
+    folders.delete(intent)
+    return True
+
+
+def current_folder(spark, target: str) -> str:
+    """Where the contents of ``target`` are now: itself, or while a replacement
+    stands between its two renames, the complete new folder."""
+    from tidewater.sources.hadoop import Folders
+
+    folders = Folders(spark)
+    return target if folders.exists(target) or not folders.exists(_beside(target, INTENT)) else _beside(target, STAGED)
+
+
 def write_entities(frames: dict[str, DataFrame], out: str, folder_key: str = "thing_key") -> None:
     """K2: one JSON table per entity kind, partitioned by the path-safe key
     folder (P13) so each Thing's documents sit together."""
