@@ -753,16 +753,12 @@ def delete_observations(spark, sf_dir) -> DataFrame:
 
 @query
 def set_operations(spark, sf_dir) -> DataFrame:
-    """U1 union of per-district parts, U2 distinct keys, U3 difference."""
+    """U1 union of parts, U2 distinct keys, U3 difference."""
     from tidewater.operators import upsert
-    from tidewater.session import cut
-    cat = catalog(spark, sf_dir)
-    raw = cat.source.raw_observations()
-    # one part per district there is; the rows are read once for all parts
-    names = [r[0] for r in cat.source.table("region").select("r_name").distinct().collect()]
-    rows = cut(raw.select("COMPARTIMENTO", "_ord"))
-    parts = [rows.filter(F.col("COMPARTIMENTO") == r) for r in sorted(names)]
-    parts.append(rows.filter(F.col("COMPARTIMENTO").isNull()))
+    raw = catalog(spark, sf_dir).source.raw_observations()
+    # the halves of the table as two frames: U1 adds rows up, whatever the parts are
+    rows = raw.select("COMPARTIMENTO", "_ord")
+    parts = [rows.filter(F.col("_ord") % 2 == k) for k in (0, 1)]
     u1 = upsert.union_files(parts).agg(F.count(F.lit(1)).alias("n")).select(F.lit("union").alias("op"), "n")
     g = _mapped_once(spark, sf_dir, "obs_id", "datastream_key", "result")
     u2 = g.select("datastream_key").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit("distinct").alias("op"), "n")
@@ -1083,20 +1079,30 @@ def find_datastreams(spark, sf_dir) -> DataFrame:
     return a.unionByName(b)
 
 
+@query
+def property_codes(spark, sf_dir) -> DataFrame:
+    """the code of every observed property: ``variableCode``, else ``code``."""
+    from tidewater.functions.text import property_code
+    from tidewater.plans import entities
+    p = entities.observed_properties(catalog(spark, sf_dir)).select("definition", "name", "properties")
+    other = p.select("definition", "name", F.create_map(F.lit("code"), F.col("name")).alias("properties"))
+    none = p.select("definition", "name", F.create_map(F.lit("unit"), F.col("name")).alias("properties"))
+    rows = [f.withColumn("form", F.lit(k)) for k, f in (("variableCode", p), ("code", other), ("neither", none))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select("definition", "form", property_code("properties").alias("code"))
+
+
 @query
 def run_totals(spark, sf_dir) -> DataFrame:
     """Totals of one mapping run -- things, datastreams, observations
     mapped and rejected."""
     from functools import reduce
     cat = catalog(spark, sf_dir)
-    m = mapping.map_all(cat)
+    counts = mapping.map_all(cat).agg(F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("observations_mapped"),
+                                      F.count(F.when(F.col("reject_reason").isNotNull(), 1)).alias("observations_rejected"))
     parts = [
         cat.stations().agg(F.count(F.lit(1)).alias("n")).select(F.lit("things").alias("metric"), "n"),
         cat.datastreams().agg(F.count(F.lit(1)).alias("n")).select(F.lit("datastreams").alias("metric"), "n"),
-        m.agg(F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("n"))
-         .select(F.lit("observations_mapped").alias("metric"), "n"),
-        m.agg(F.count(F.when(F.col("reject_reason").isNotNull(), 1)).alias("n"))
-         .select(F.lit("observations_rejected").alias("metric"), "n"),
+        counts.unpivot([], ["observations_mapped", "observations_rejected"], "metric", "n"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

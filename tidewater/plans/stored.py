@@ -350,3 +350,88 @@ def replaced_files(spark, sf_dir) -> DataFrame:
     back = cut(rows().select(*cols, "_ord"))
     return (rank_within(back, sorting.TEXT_KEYS, "_ord", "position")
             .select(*[F.coalesce(c, F.lit("")).alias(c) for c in cols], "position"))
+
+
+# ---------------------------------------------------- damaged files
+def _damage(spark, root, glob, which, how):
+    """Spoil the files whose number has a remainder in ``which``: ``cut`` keeps
+    the first half, ``bytes`` appends a line that is not UTF-8."""
+    from tidewater.sources.stores import file_system
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, name = file_system(path)
+                with store.open_input_file(name) as f:
+                    data = f.read()
+                with store.open_output_stream(name) as f:
+                    f.write(data[:len(data) // 2] if how == "cut" else data + b"\xff\xfe;x\n")
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["path"])
+
+    number = F.regexp_extract("name", r"(\d+)\.[a-z]+$", 1).cast("long")
+    files = list_files(spark, root, glob).filter(F.pmod(number, F.lit(4)).isin(which)).select("path")
+    cut(files.mapInArrow(run, "path string"))
+
+
+@query
+def quarantined_files(spark, sf_dir) -> DataFrame:
+    """District CSV files and archives of which some are spoilt (bytes that
+    are not UTF-8, a column missing, cut short): files per state with its reason,
+    and the rows that the readable ones give."""
+    from tidewater.sinks.districts import write_district_files
+    from tidewater.sources.archives import read_whole_archives
+    from tidewater.sources.csv_tables import DistrictFolder, read_text_table
+    from tidewater.sources.driver import OBSERVATION_COLUMNS
+    base = scratch(spark, "damaged")
+    raw, width = _numbered_files(spark, sf_dir)
+    raw = cut(raw)
+    of = lambda *k: raw.filter(F.pmod("_c", F.lit(4)).isin(*k))
+    cut(write_district_files(of(0, 1, 2), f"{base}/csv", width, OBSERVATION_COLUMNS))
+    cut(write_district_files(of(3), f"{base}/csv", width, [c for c in OBSERVATION_COLUMNS if c != "VALORE"]))
+    cut(write_district_files(raw, f"{base}/zip", width, OBSERVATION_COLUMNS, zipped=True))
+    _damage(spark, f"{base}/csv", "*.csv", [1], "bytes")
+    _damage(spark, f"{base}/zip", "*.zip", [2, 3], "cut")
+    rejects: list = []
+    rows = read_text_table(spark, DistrictFolder(spark, f"{base}/csv").district_files("observations"), ["VALORE"], rejects=rejects)
+    csv_bad = (spark.createDataFrame([(r,) for _, r in rejects], "reason string").groupBy("reason").agg(F.count(F.lit(1)).alias("n_files"))
+               .select(F.lit("csv").alias("source"), "reason", "n_files", F.lit(0).cast("long").alias("n_rows")))
+    good, zip_bad = read_whole_archives(spark, f"{base}/zip/*/", OBSERVATION_COLUMNS, "osservazioni")
+    total = lambda df, source, n: df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(source).alias("source"), F.lit("readable").alias("reason"), F.lit(n).cast("long").alias("n_files"), "n_rows")
+    n_csv = list_files(spark, f"{base}/csv", "*.csv").count() - len(rejects)
+    n_zip = good.select("_archive").distinct().count()
+    bad = zip_bad.groupBy(F.regexp_extract("reason", r"^(\w+)", 1).alias("reason")).agg(F.count(F.lit(1)).alias("n_files"))
+    return (csv_bad.unionByName(total(rows, "csv", n_csv)).unionByName(total(good, "zip", n_zip))
+            .unionByName(bad.select(F.lit("zip").alias("source"), "reason", "n_files", F.lit(0).cast("long").alias("n_rows"))))
+
+
+# ------------------------------------------------------------ run totals
+@query
+def prepare_totals(spark, sf_dir) -> DataFrame:
+    """Totals of a prepare-and-map run, counted by the passes that write:
+    archives expanded and sorted into CSV files, the rows mapped into stored
+    tables, the entities written. No pass counts anything a second time."""
+    from tidewater.operators import sorting
+    from tidewater.plans import entities
+    from tidewater.plans.totals import RunTotals
+    from tidewater.sinks.districts import write_district_files
+    from tidewater.sources.archives import read_zip_csv
+    from tidewater.sources.driver import OBSERVATION_COLUMNS
+    cat, base = catalog(spark, sf_dir), scratch(spark, "totals")
+    raw, width = _numbered_files(spark, sf_dir)
+    cut(write_district_files(raw, f"{base}/raw", width, OBSERVATION_COLUMNS, zipped=True))
+    totals = RunTotals()
+    expanded = read_zip_csv(spark, f"{base}/raw/*/", OBSERVATION_COLUMNS, "osservazioni")
+    ordered = sorting.sorted_observations(expanded)
+    ordered = totals.watch(ordered, files_sorted=F.count(F.when(F.col("_line") == 0, 1)), rows_sorted=F.count(F.lit(1)))
+    ordered.write.option("header", True).parquet(f"{base}/sorted")
+    mapped = mapping.map_all(cat, spark.read.parquet(f"{base}/sorted"))
+    mapped = totals.watch(mapped.select("datastream_key", "result", "reject_reason"),
+                          observations_mapped=F.count(F.when(F.col("reject_reason").isNull(), 1)),
+                          observations_rejected=F.count(F.when(F.col("reject_reason").isNotNull(), 1)))
+    mapped.write.parquet(f"{base}/mapped")
+    totals.watch(entities.things(cat), things=F.count(F.lit(1))).write.parquet(f"{base}/things")
+    totals.watch(entities.datastreams(cat), datastreams=F.count(F.lit(1))).write.parquet(f"{base}/datastreams")
+    return totals.frame(spark)

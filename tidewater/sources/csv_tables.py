@@ -10,9 +10,8 @@ folder per district holding station, series and observation files.
   distributed ``read.csv`` per (delimiter, header) group and ``unionByName``;
 * a UTF-8 byte-order mark is dropped (Spark's CSV reader does so for the
   data; the peeked header is cleaned here);
-* a quoted cell may hold line breaks: files with a line of unpaired quotes (one
-  scan of the lines that have a quote at all) are read as multi-line records,
-  one task per file; all other files stay splittable;
+* a quoted cell may hold line breaks: files with a line of unpaired quotes are
+  read as multi-line records, one task per file; all other files stay splittable;
 * arrival order ``_ord`` is the struct (file path, split start, row id). It sorts
   as it is, nothing is packed into bits, and no number of files, splits or rows
   makes two rows equal. (file, split) is the bucket of the skew-safe ranks.
@@ -51,8 +50,6 @@ SKIP_DIRS = {"processed", "sta"}
 SERIES_REQUIRED = ["COMPARTIMENTO", "ALIAS_STAZIONE", "ALIAS_BACINO", "GRANDEZZA"]
 SERIES_OPTIONAL = ["TIPO_GRANDEZZA", "VERSION", "INTERPOLATION_TYPE", "AGGREGATION_PERIOD",
                    "INTENDED_TIME_SPACING", "INTENDED_TIME_SPACING_UNIT"]
-PEEK_BYTES = 65536
-HEADER_THREADS = 16
 BOM = "﻿"
 
 
@@ -109,55 +106,64 @@ class _Fs:
                     todo.append(st.getPath())
         return sorted(set(out))
 
-    def first_line(self, path: str) -> str:
-        """Header line of a file (only its first line is read)."""
-        p, fs = self._fs(path)
-        stream = fs.open(p)
-        try:
-            reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"), PEEK_BYTES)
-            line = reader.readLine()
-        finally:
-            stream.close()
-        return (line or "").lstrip(BOM)
 
+def inspect_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, header, goes_on, invalid) of every file with a line, in one
+    distributed pass: its first line, whether some line has an odd number of
+    quotes (so that a record goes on in the next line), and whether some line is
+    not UTF-8. ``file`` is the path as listings give it, without its scheme."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_path"), F.struct(
+        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")).alias("_at"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.groupBy("_path").agg(F.min_by("value", "_at").alias("header"),
+                                       F.max(F.pmod(quotes, F.lit(2)) == 1).alias("goes_on"),
+                                       F.max(~F.is_valid_utf8("value")).alias("invalid"))
+    return found.select(plain_path("_path").alias("file"), "header", "goes_on", "invalid")
 
-def broken_records(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files in which some line has an odd number of quotes, so that a record
-    goes on in the next line. Paths as Spark reports them."""
-    if not paths:
-        return set()
-    lines = spark.read.text(paths).withColumn("_file", F.col("_metadata.file_path"))
-    odd = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)) == 1
-    return {r[0] for r in lines.filter(F.col("value").contains('"') & odd).select("_file").distinct().collect()}
 
+def plain_path(path: str):
+    """A path that Spark reports, unescaped and without ``file:``."""
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
 
-def read_text_table(spark: SparkSession, paths: list[str], required: list[str] | None = None,
-                    with_order: bool = False, modified_after: str | None = None) -> DataFrame | None:
-    """All-string read of CSV files with per-file delimiter and header;
-    files missing a required column are skipped with a warning (S9);
-    ``modified_after`` keeps only files changed after that time (S10).
-    Headers are peeked by a few driver threads, one line per file."""
-    from concurrent.futures import ThreadPoolExecutor
-    from urllib.parse import quote, unquote
-
-    fs = _Fs(spark)
-    plain = lambda p: unquote(re.sub("^file:/+", "/", p))
-    broken = {plain(p) for p in broken_records(spark, paths)}
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        heads = list(pool.map(fs.first_line, paths))
+
+def sorted_out(spark: SparkSession, paths: list[str], required: list[str] | None = None) -> tuple[dict, list[tuple[str, str]]]:
+    """The readable files by (delimiter, header, records over several
+    lines), and (file, reason) of the others. Only what names a file and its
+    shape reaches the driver, which needs both to plan the reads."""
+    found = {r["file"]: r for r in inspect_files(spark, paths).toLocalIterator()} if paths else {}
     groups: dict[tuple[str, tuple[str, ...], bool], list[str]] = {}
-    for path, line in zip(paths, heads):
+    rejects = []
+    for path in paths:
+        seen = found.get(re.sub("^file:/+", "/", path))
+        line = (seen["header"] if seen else "").lstrip(BOM)
         if not line.strip():
-            log.warning("empty file skipped: %s", path)
+            rejects.append((path, "empty file"))
+            continue
+        if seen["invalid"]:
+            rejects.append((path, "not UTF-8"))
             continue
         sep = choose_delimiter(line)
         cols = split_header(line, sep)
-        if required:
-            missing = [c for c in required if c not in cols]
-            if missing:
-                log.warning("file %s lacks required columns %s; skipped", path, missing)
-                continue
-        groups.setdefault((sep, tuple(cols), plain(quote(path, safe="%:/")) in broken or plain(path) in broken), []).append(path)
+        if missing := [c for c in required or () if c not in cols]:
+            rejects.append((path, "lacks columns " + ", ".join(missing)))
+            continue
+        groups.setdefault((sep, tuple(cols), seen["goes_on"]), []).append(path)
+    for path, reason in rejects:
+        log.warning("file skipped, %s: %s", reason, path)
+    return groups, rejects
+
+
+def read_text_table(spark: SparkSession, paths: list[str], required: list[str] | None = None,
+                    with_order: bool = False, modified_after: str | None = None,
+                    rejects: list | None = None) -> DataFrame | None:
+    """All-string read of CSV files with per-file delimiter and header. Files
+    without a line, with bytes that are not UTF-8 or without a required column are
+    skipped with a warning (S9) and added to ``rejects`` as (file, reason);
+    ``modified_after`` keeps only files changed after that time."""
+    groups, bad = sorted_out(spark, paths, required)
+    if rejects is not None:
+        rejects += bad
     if not groups:
         return None
     frames = []
@@ -189,6 +195,8 @@ class DistrictFolder:
         self.modified_after = modified_after
         self._fs = _Fs(spark)
         self._files = self._fs.list(self.root)
+        #: (file, reason) of the files that reads so far have skipped.
+        self.rejects: list[tuple[str, str]] = []
 
     # Route district files by name
     def district_files(self, kind: str) -> list[str]:
@@ -245,7 +253,8 @@ class DistrictFolder:
         return df
 
     def _series_all(self) -> DataFrame:
-        df = read_text_table(self.spark, self.district_files("series"), required=SERIES_REQUIRED, with_order=True)
+        df = read_text_table(self.spark, self.district_files("series"), required=SERIES_REQUIRED, with_order=True,
+                             rejects=self.rejects)
         if df is None:  # S16: absent optional file -> empty frame with the schema
             schema = T.StructType([T.StructField(c, T.StringType()) for c in SERIES_REQUIRED + SERIES_OPTIONAL])
             return self.spark.createDataFrame([], schema).withColumn("_ord", F.lit(0).cast("long"))
@@ -262,4 +271,4 @@ class DistrictFolder:
 
     def raw_observations(self) -> DataFrame:
         return read_text_table(self.spark, self.district_files("observations"), with_order=True,
-                               modified_after=self.modified_after)
+                               modified_after=self.modified_after, rejects=self.rejects)

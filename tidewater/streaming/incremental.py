@@ -11,8 +11,9 @@ existing entities are kept and observation ids are deterministic. Here:
   (datastream key, time) is not in the sink yet, by a left anti join. A
   micro-batch replayed after a failure, or a replay with a fresh checkpoint,
   adds nothing; the first batch takes the same path as later ones. The sink
-  (``sinks.tables.ObservationTable``) has a bounded number of hash buckets and
-  only those that the batch touches are read.
+  (``sinks.tables.ObservationTable``) is laid out by year and hash bucket, and
+  only the years and buckets of the batch are read. Files that change or vanish
+  under a known name are the business of ``file_ledger``.
 
 Cross-run de-duplication is by natural key, not by watermark: observations may arrive
 years late (a digitised yearbook), so no state is ever expired.
