@@ -50,8 +50,8 @@ def some_rows(rnd, n, words):
 
 @pytest.mark.parametrize("wide", [False, True])
 def test_shared_passages(spark, monkeypatch, wide):
-    if wide:                                             # every name too large for an automaton, then all split
-        monkeypatch.setattr(p, "NAME_WORDS", 100)
+    if wide:                                             # every name too large for an automaton, down to single windows
+        monkeypatch.setattr(p, "NAME_WORDS", 30)
         monkeypatch.setattr(p, "PIECE_WINDOWS", 7)
         monkeypatch.setattr(p, "BITS", 1 << 6)           # the bitmap marks everything
     monkeypatch.setattr(p, "SHARD_WORDS", 400)
@@ -61,11 +61,13 @@ def test_shared_passages(spark, monkeypatch, wide):
     assert check(spark, some_rows(rnd, 40, ["a", "b", "c"]), window=9) > 500
 
 
-def test_lines_around_everything(spark):
+def test_lines_around_everything(spark, monkeypatch):
     line = " ".join(f"common{i}" for i in range(18))
     rnd = random.Random(2)
     rows = [(i, " ".join(f"u{rnd.random()}" for _ in range(15)) + " " + line + " x " + line + f" {i % 3} {i % 5}") for i in range(80)]
     assert check(spark, rows) > 500
+    monkeypatch.setattr(p, "NAME_WORDS", 500)            # only the names of the line
+    assert check(spark, rows) > 500
 
 
 def test_edges(spark, nothing):

@@ -3,23 +3,25 @@
 A word goes if a window of ``window`` words covers it whose word sequence also
 starts earlier: in a document with a smaller id, or earlier in the same one.
 
-1. Anchors: the smallest hash among the ``GRAM``-word grams of a window names the
-   window; equal windows have equal names, and neighbours mostly share one, so a
-   document falls into pieces, stretches of windows of one name. Names seen once
-   in the whole corpus hold no repeated window. The others are marked in a
-   bitmap of fixed size; a false mark costs work and changes nothing.
-2. Pieces under marked names are kept once per content, with the earliest place
-   (document, word) of that content. A piece that stands elsewhere earlier goes
-   whole. What is left to find are windows that different pieces share.
-3. Reference shards: the distinct pieces of a few names make one shard. Its
+1. Anchors: the smallest hash among the grams of a window names the window; equal
+   windows have equal names, and neighbours mostly share one, so a document falls
+   into pieces, stretches of windows of one name. Names seen once in the whole
+   corpus hold no repeated window. The others are marked in a bitmap of fixed
+   size; a false mark costs work and changes nothing.
+2. Pieces under marked names are grouped by their content, map-side first, and the
+   earliest place (document, word) of each content is kept. A piece whose content
+   stands elsewhere earlier goes whole. What is left to find are windows that
+   different pieces share; only names with several contents can have them.
+3. Reference shards: the distinct pieces of a few such names make one shard. Its
    generalised suffix automaton knows the earliest place where each state's
    stretches end; the shard's pieces are streamed through it, and where the
    matching statistics reach ``window`` words the state tells whether that window
    was there before. An automaton goes to the task that holds the pieces of its
    names and not to all tasks, since all automata together grow with the corpus.
-   A name whose pieces have more than ``NAME_WORDS`` words (a line that stands
-   before and after everything) would not fit: its windows are grouped by their
-   own digests instead, map-side first.
+   The contents of a name with more than ``NAME_WORDS`` words (a line that stands
+   before and after everything) would not fit: they go through the same steps
+   again under names from longer grams, and in the end from whole windows, under
+   which contents are windows and nothing is left to find.
 4. The spans of a document are put together and its other words stay.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; null, empty and blank texts
@@ -38,12 +40,14 @@ from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
 from tidewater.llm.common import bitmap, cut, flatten, map_arrow, shared_folder, slices, worker_cache
+from tidewater.operators.joins import bounded_broadcast
 from tidewater.llm.runs import mixed
 
 by_value(__name__)
 
 WINDOW = 20
-GRAM = 6
+#: Words of the grams that name windows: shares of the window, from long pieces to single windows.
+GRAMS = (0.3, 0.8, 1.0)
 PIECE_WINDOWS = 512
 NAME_WORDS = 60_000
 SHARD_WORDS = 60_000
@@ -58,10 +62,10 @@ class _Hashes(dict):
         return h
 
 
-def window_names(ids, ends, window: int, gram: int):
+def window_names(ids, ends, window: int, gram: int, longest: int):
     """(first window, windows, name, whether one window may stand twice in it) of
     all pieces. ``ids``: word hashes of several documents laid together,
-    ``ends``: where each document ends."""
+    ``ends``: where each document ends; a piece has at most ``longest`` windows."""
     import numpy as np
 
     n = len(ids) - window + 1
@@ -86,10 +90,10 @@ def window_names(ids, ends, window: int, gram: int):
     new = np.append(True, (np.diff(place) > 1) | (name[1:] != name[:-1]))
     head = np.flatnonzero(new)
     size = np.diff(np.append(head, len(place)))
-    parts = -(-size // PIECE_WINDOWS)                    # long pieces are split
+    parts = -(-size // longest)                          # long pieces are split
     own = np.repeat(np.arange(len(head)), parts)
     nth = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
-    first, size = place[head][own] + nth * PIECE_WINDOWS, np.minimum(PIECE_WINDOWS, size[own] - nth * PIECE_WINDOWS)
+    first, size = place[head][own] + nth * longest, np.minimum(longest, size[own] - nth * longest)
     return first, size, name[head][own], (size > span) | (again[first + size - 1 + span] > again[first])
 
 
@@ -105,7 +109,8 @@ def sliced(texts: list, window: int, gram: int):
         docs = [t.encode().split() if t else [] for t in texts[lo:hi]]
         words = flatten(docs)
         ends = np.cumsum([len(d) for d in docs])
-        yield lo, words, ends, window_names(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)), ends, window, gram)
+        ids = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        yield lo, words, ends, window_names(ids, ends, window, gram, 1 if gram == window else PIECE_WINDOWS)
 
 
 def name_counts(window: int, gram: int):
@@ -134,42 +139,64 @@ def marks(names: DataFrame):
         F.col("name").bitwiseAND(F.lit(BITS - 1)), F.shiftrightunsigned("name", 32).bitwiseAND(F.lit(BITS - 1)))).alias("bit")), BITS)
 
 
+def marked(names, bits):
+    """Which names (unsigned) are marked."""
+    import numpy as np
+
+    one, two = names & np.uint64(BITS - 1), (names >> np.uint64(32)) & np.uint64(BITS - 1)
+    return (bits[one >> np.uint64(6)] >> (one & np.uint64(63)) & bits[two >> np.uint64(6)] >> (two & np.uint64(63))
+            & np.uint64(1)).astype(bool)
+
+
 def marked_pieces(shared, window: int, gram: int):
-    """Rows (doc_id, row, text) to the pieces under marked names; the content
-    comes along with the first piece of a batch that has it."""
+    """Rows (unit, doc_id, start, text) to the pieces under marked names; the
+    content comes along with the first piece of a batch that has it."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        bits = shared.value
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("at", "digest", "start", "n", "inner", "content")}
+            out: dict[str, list] = {k: [] for k in ("row", "digest", "offset", "n", "inner", "content")}
             names, sent = [np.zeros(0, np.uint64)], set()
-            for lo, words, ends, (first, size, name, inner) in sliced(batch.column(2).to_pylist(), window, gram):
-                one, two = name & np.uint64(BITS - 1), (name >> np.uint64(32)) & np.uint64(BITS - 1)
-                hit = np.flatnonzero(bits[one >> np.uint64(6)] >> (one & np.uint64(63))
-                                     & bits[two >> np.uint64(6)] >> (two & np.uint64(63)) & np.uint64(1))
+            for lo, words, ends, (first, size, name, inner) in sliced(batch.column(3).to_pylist(), window, gram):
+                hit = np.flatnonzero(marked(name, shared.value))
                 first, size, inner = first[hit], size[hit], inner[hit]
-                doc = np.searchsorted(ends, first, "right")
-                begin = first - np.append(0, ends)[doc]
+                row = np.searchsorted(ends, first, "right")
+                offset = first - np.append(0, ends)[row]
                 names.append(name[hit])
-                for d, a, s, n, x in zip(*(v.tolist() for v in (doc, first, begin, size, inner))):
+                for d, a, o, n, x in zip(*(v.tolist() for v in (row, first, offset, size, inner))):
                     content = b" ".join(words[a:a + n + window - 1])
                     digest = hashlib.blake2b(content, digest_size=16).digest()
-                    out["at"].append(lo + d)
+                    out["row"].append(lo + d)
                     out["digest"].append(digest)
-                    out["start"].append(s)
+                    out["offset"].append(o)
                     out["n"].append(n)
                     out["inner"].append(x)
                     out["content"].append(None if digest in sent else content)
                     sent.add(digest)
-            take = pa.array(out["at"], pa.int64())
+            take = pa.array(out["row"], pa.int64())
+            offset = pa.array(out["offset"], pa.int64())
+            start = pa.array(batch.column(2).to_numpy()[np.array(out["row"], np.int64)] + np.array(out["offset"], np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(names).view(np.int64)),
-                 pa.array(out["digest"], pa.binary()), pa.array(out["start"], pa.int64()), pa.array(out["n"], pa.int32()),
-                 pa.array(out["inner"], pa.bool_()), pa.array(out["content"], pa.binary())],
-                names=["doc_id", "row", "name", "digest", "start", "n", "inner", "content"])
+                [batch.column(0).take(take), batch.column(1).take(take), start, offset, pa.array(np.concatenate(names).view(np.int64)),
+                 pa.array(out["digest"], pa.binary()), pa.array(out["n"], pa.int32()), pa.array(out["inner"], pa.bool_()),
+                 pa.array(out["content"], pa.binary())],
+                names=["unit", "doc_id", "start", "offset", "name", "digest", "n", "inner", "content"])
+
+    return run
+
+
+def under_marks(shared):
+    """Rows whose first column, a name, is marked."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            names = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(marked(names, shared.value)))
 
     return run
 
@@ -276,43 +303,65 @@ def shared_windows(window: int):
     return run
 
 
-def piece_windows(window: int):
-    """Rows (digest, content) to rows (digest, t, key), key a digest of the words."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for digest, content in zip(*(c.to_pylist() for c in batch.columns)):
-                words = content.split(b" ")
-                n = len(words) - window + 1
-                keys = [hashlib.blake2b(b" ".join(words[t:t + window]), digest_size=16).digest() for t in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([digest] * n, pa.binary()), pa.array(range(n), pa.int32()),
-                                                  pa.array(keys, pa.binary())], names=["digest", "t", "key"])
-
-    return run
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
-def earlier_windows(contents: DataFrame, window: int) -> DataFrame:
-    """(digest, gone) of distinct contents (digest, name, n, inner, first, content)."""
-    busy = (contents.groupBy("name").agg(F.count(F.lit(1)).alias("contents"), F.max("inner").alias("inner"),
-                                         F.sum(F.col("n") + F.lit(window - 1)).alias("words"))
-            .filter((F.col("contents") > 1) | F.col("inner")))
-    busy = cut(contents.join(busy.select("name", "words"), "name"))
-    places = [F.col("first.doc_id").alias("doc_id"), F.col("first.start").alias("start")]
-    sharded = (busy.filter(F.col("words") <= NAME_WORDS).select("name", "digest", *places, "content")
-               .repartition("name").sortWithinPartitions("name"))
-    found = map_arrow(sharded, shared_windows(window), "digest binary, gone array<int>")
-    wide = busy.filter(F.col("words") > NAME_WORDS)
+def repeated_spans(units: DataFrame, window: int, level: int = 0) -> DataFrame:
+    """(unit, offset, n, gone) of stretches of windows in ``units`` (unit, doc_id,
+    start, text: words of a document from its word ``start`` on): the windows
+    ``gone`` of the ``n`` from word ``offset`` on (null: all) stand earlier."""
+    spark = units.sparkSession
+    gram = max(1, round(window * GRAMS[level]))
+    unit, doc_id = (units.schema[c].dataType.simpleString() for c in ("unit", "doc_id"))
+    names = (map_arrow(units.select("text"), name_counts(window, gram), "name long, n int")
+             .groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1").select("name"))
+    shared = spark.sparkContext.broadcast(marks(names))
+    pieces = kept(map_arrow(units.select("unit", "doc_id", "start", "text"), marked_pieces(shared, window, gram),
+                            f"unit {unit}, doc_id {doc_id}, start long, offset long, name long, digest binary, n int, "
+                            "inner boolean, content binary"), "pieces")
+    place = F.struct("doc_id", "start")
+    contents = kept(pieces.groupBy("digest", "name", "n").agg(F.min(place).alias("first"), F.max("inner").alias("inner"),
+                                                              F.count(F.lit(1)).alias("places")), "contents")
+    verdict = contents.select("digest", "first", "places")
+    if gram < window:                                    # else contents are windows: none is shared by two
+        verdict = verdict.join(shared_by_contents(pieces, contents, window, level), "digest", "left")
+    else:
+        verdict = verdict.withColumn("gone", F.lit(None).cast("array<int>"))
+    verdict = verdict.filter((F.col("places") > 1) | F.col("gone").isNotNull())
+    return (pieces.select("digest", "unit", "doc_id", "start", "offset", "n").join(verdict, "digest")
+            .withColumn("own", F.col("first") == place).filter(~F.col("own") | F.col("gone").isNotNull())
+            .select("unit", "offset", "n", F.when(F.col("own"), F.col("gone")).alias("gone")))
+
+
+def shared_by_contents(pieces: DataFrame, contents: DataFrame, window: int, level: int) -> DataFrame:
+    """(digest, gone): the windows of a content that stand earlier in another."""
+    spark = pieces.sparkSession
+    busy = cut(contents.groupBy("name").agg(F.count(F.lit(1)).alias("contents"), F.max("inner").alias("inner"),
+                                            F.sum(F.col("n") + F.lit(window - 1)).alias("words"))
+               .filter((F.col("contents") > 1) | F.col("inner")).select("name", "words"))
+    shared = spark.sparkContext.broadcast(marks(busy))
+    columns = pieces.select("name", "digest", "doc_id", "start", "content")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns.schema.fields)
+    texts = (map_arrow(columns, under_marks(shared), kinds).groupBy("name", "digest")
+             .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("content").alias("content"))
+             .select("name", "digest", "first.doc_id", "first.start", "content"))
+    wide = cut(busy.filter(F.col("words") > NAME_WORDS).select("name"))
     if wide.isEmpty():
-        return found
-    rows = (map_arrow(wide.select("digest", "content"), piece_windows(window), "digest binary, t int, key binary")
-            .join(wide.select("digest", *places), "digest")
-            .select("digest", "t", "key", F.struct("doc_id", (F.col("start") + F.col("t")).alias("word")).alias("place")))
-    rows = cut(rows)
-    first = rows.groupBy("key").agg(F.min("place").alias("first"))
-    later = rows.join(first, "key").filter(F.col("first") != F.col("place"))
-    return found.unionByName(later.groupBy("digest").agg(F.collect_set("t").alias("gone")))
+        return map_arrow(texts.repartition("name").sortWithinPartitions("name"), shared_windows(window), "digest binary, gone array<int>")
+    texts = kept(texts, "contents-of-shared-names")
+    fitting = texts.join(bounded_broadcast(wide), "name", "left_anti")
+    found = map_arrow(fitting.select(*texts.columns).repartition("name").sortWithinPartitions("name"), shared_windows(window),
+                      "digest binary, gone array<int>")
+    units = (texts.join(bounded_broadcast(wide), "name", "left_semi")
+             .select(F.col("digest").alias("unit"), "doc_id", "start", F.col("content").cast("string").alias("text")))
+    spans = repeated_spans(kept(units, "contents-of-wide-names"), window, level + 1)
+    starts = F.when(F.col("gone").isNull(), F.expr("sequence(0, n - 1)")).otherwise(F.col("gone"))
+    again = spans.select(F.col("unit").alias("digest"), F.transform(starts, lambda t: (t + F.col("offset")).cast("int")).alias("gone"))
+    return found.unionByName(again.groupBy("digest").agg(F.flatten(F.collect_list("gone")).alias("gone")))
 
 
 def without_spans(window: int):
@@ -332,7 +381,7 @@ def without_spans(window: int):
                 if own:
                     mark = np.zeros(len(words) + 1, np.int64)
                     for span in own:
-                        starts = [span["start"]] if span["gone"] is None else [span["start"] + t for t in span["gone"]]
+                        starts = [span["offset"]] if span["gone"] is None else [span["offset"] + t for t in span["gone"]]
                         size = window - 1 + (span["n"] if span["gone"] is None else 1)
                         np.add.at(mark, starts, 1)
                         np.add.at(mark, [s + size for s in starts], -1)
@@ -356,29 +405,13 @@ def without_spans(window: int):
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, the ``removed`` spans
     (first and last word, from 0) and the ``kept`` words joined by blanks."""
-    spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_kind = source.schema["doc_id"].dataType.simpleString()
     keyed = source.withColumn("row", F.xxhash64(F.coalesce("text", F.lit(""))))
-    names = (map_arrow(source.select("text"), name_counts(window, GRAM), "name long, n int")
-             .groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1").select("name"))
-    shared = spark.sparkContext.broadcast(marks(names))
-    folder = shared_folder(spark, "pieces")
-    (map_arrow(keyed.select("doc_id", "row", "text"), marked_pieces(shared, window, GRAM),
-               f"doc_id {id_kind}, row long, name long, digest binary, start long, n int, inner boolean, content binary")
-     .write.option("compression", "zstd").parquet(folder))
-    pieces = spark.read.parquet(folder)
-    contents = cut(pieces.groupBy("digest", "name", "n")
-                   .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("content").alias("content"),
-                        F.max("inner").alias("inner"), F.count(F.lit(1)).alias("places")))
-    gone = cut(earlier_windows(contents, window))
-    verdict = (contents.select("digest", "first", "places").join(gone, "digest", "left")
-               .filter((F.col("places") > 1) | F.col("gone").isNotNull()))
-    spans = (pieces.select("digest", "doc_id", "row", "start", "n").join(verdict, "digest")
-             .withColumn("own", F.col("first") == F.struct("doc_id", "start"))
-             .filter(~F.col("own") | F.col("gone").isNotNull())
-             .groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "n", F.when(F.col("own"), F.col("gone")).alias("gone"))).alias("spans")))
-    spans = cut(spans)
+    units = keyed.select(F.struct("doc_id", "row").alias("unit"), "doc_id", F.lit(0).cast("long").alias("start"), "text")
+    spans = kept(repeated_spans(units, window)
+                 .groupBy("unit").agg(F.collect_set(F.struct("offset", "n", "gone")).alias("spans"))
+                 .select("unit.doc_id", "unit.row", "spans"), "spans")
     match = keyed["doc_id"].eqNullSafe(spans["doc_id"]) & (keyed["row"] == spans["row"])
     rows = keyed.join(spans, match, "left").select(keyed["doc_id"], keyed["text"], spans["spans"])
     return map_arrow(rows, without_spans(window), f"doc_id {id_kind}, n_words long, n_removed long, "
