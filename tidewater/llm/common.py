@@ -8,7 +8,7 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
@@ -142,7 +142,7 @@ def bitmap(bits: DataFrame, size: int):
     words = (bits.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
     out = np.zeros(size // 64, np.uint64)
-    for w, b in map_arrow(words, pack, "w binary, b binary").toLocalIterator():
+    for w, b in map_arrow(words, pack, "w binary, b binary").collect():
         out[np.frombuffer(w, "<i8")] = np.frombuffer(b, "<i8").view(np.uint64)
     return out
 
@@ -152,10 +152,18 @@ def fold(id_col: Column, k: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % F.lit(k), F.lit(0))
 
 
+def at_most(rows: DataFrame, label: str, per_label: int, *by: str) -> DataFrame:
+    """At most ``per_label`` rows of every label, in an order drawn by a hash of
+    ``by``; tasks pass on no more than that before the shuffle."""
+    order = Window.partitionBy(label).orderBy(F.xxhash64(*by, F.lit("order")), *by)
+    return rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= per_label).drop("_nth")
+
+
 def draw(rows: DataFrame, label: str, id_col: str, per_label: int) -> Column:
     """Condition that draws about ``per_label`` rows of every label value, by a
     hash of the id at the rate ``per_label / rows of the label``: the expected
-    size of the sample does not grow with the table. One small aggregate."""
+    size of the sample does not grow with the table. One small aggregate.
+    Repeated ids are drawn together: ``at_most`` bounds what they add."""
     counts = {r[0]: r[1] for r in rows.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30))
     drawn = F.lit(False)
