@@ -116,3 +116,21 @@ def test_regular_substitutions_and_short_items(spark):
     docs = [(i, "some text before " + " ".join(w) + " and after") for i, w in enumerate((fourth, *inner))]
     got = {(r.doc_id, r.item_id): r.n_equal for r in overlaps(frame(spark, docs), bench).collect()}
     assert got == {(0, 0): 45, (1, 1): 5, (2, 2): 7, (3, 3): 8}
+
+
+def test_candidates_grow_with_the_text(spark, monkeypatch):
+    """A text that repeats an item: what is compared grows like the text, not its square."""
+    item = " ".join(f"word{i}" for i in range(50))
+    bench, seen = items(spark, [(1, item, 1)]), []
+
+    def counted(frame, fn, schema):
+        if fn is decontaminate.verify:
+            seen.append(frame.selectExpr("sum(octet_length(ids)) AS n").first()["n"])
+        return plain(frame, fn, schema)
+
+    plain = decontaminate.map_arrow
+    monkeypatch.setattr(decontaminate, "map_arrow", counted)
+    for times in (40, 160):
+        got = overlaps(frame(spark, [(1, f"{item} " * times)]), bench).collect()
+        assert [(r.doc_id, r.item_id, r.n_equal) for r in got] == [(1, 1, 50)]
+    assert seen[0] >= 40 * 50 * 8 and seen[1] < 5 * seen[0]

@@ -202,24 +202,23 @@ def best_stretch(equal):
 
 
 def verify(batches):
-    """Compare the words of a run and of an item along the diagonal."""
+    """Compare the words of a run beside an item with the item's from ``skip`` on."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
         c = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if i >= 2}
         keep, matched, length, at = [], [], [], []
-        for i, (ids, words, diag, first) in enumerate(zip(c["ids"], c["words"], c["diag"], c["at"])):
+        for i, (ids, words, skip, first) in enumerate(zip(c["ids"], c["words"], c["skip"], c["at"])):
             x, y = np.frombuffer(ids, "<u8"), np.frombuffer(words, "<u8")
-            lo, hi = max(0, diag), min(len(x), diag + len(y))
-            if hi <= lo:
+            if not len(x):
                 continue
-            m, n, s = best_stretch(x[lo:hi] == y[lo - diag:hi - diag])
+            m, n, s = best_stretch(x == y[skip:skip + len(x)])
             if m >= MIN_MATCH or len(y) < MIN_MATCH / SHORT_SHARE and m >= max(MIN_ITEM, SHORT_SHARE * len(y)):
                 keep.append(i)
                 matched.append(m)
                 length.append(n)
-                at.append(first + lo + s)
+                at.append(first + s)
         take = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int64()),
@@ -250,8 +249,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     pairs = (hits.join(seeds.withColumnRenamed("pos", "item_pos"), "h")
              .groupBy("run", "item").agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("diags"))
              .select("run", F.col("item").alias("nth"), F.explode("diags").alias("diag")))
-    full = (pairs.join(runs.select("run", "doc_id", "at", "ids"), "run").join(item_words, "nth")
-            .select("doc_id", "item", "at", "ids", "words", "diag"))
+    # of the run only the words beside the item go on, so candidates grow with the items and not with the runs
+    begin = F.greatest(F.col("diag").cast("long"), F.lit(0).cast("long"))
+    beside = F.least(F.octet_length("ids"), 8 * (F.col("diag") + F.octet_length("words") / 8).cast("long")) - 8 * begin
+    full = (pairs.join(item_words, "nth").join(runs.select("run", "doc_id", "at", "ids"), "run")
+            .select("doc_id", "item", (F.col("at") + begin).alias("at"), F.substr("ids", (8 * begin + 1).cast("int"), beside.cast("int")).alias("ids"),
+                    "words", (begin - F.col("diag")).alias("skip")))
     item_kind = items.schema["item"].dataType.simpleString()
     found = map_arrow(full, verify, f"doc_id {kind}, item_id {item_kind}, first_word long, n_words long, n_equal long")
     best = F.max(F.struct("n_equal", -F.col("n_words"), -F.col("first_word")))
