@@ -6,7 +6,7 @@ import re
 import numpy as np
 
 from tests.llm.conftest import EDGES, SMALL, frame
-from tidewater.llm.licenses import MIN_STRETCH, PHRASES, TEMPLATES, Automaton, chain, scan, scan_licenses, words_of
+from tidewater.llm.licenses import MIN_STRETCH, PHRASES, TEMPLATES, Automaton, best_spans, chain, scan, scan_licenses, words_of
 
 
 def test_automaton_against_plain_search():
@@ -37,12 +37,13 @@ def brute(text):
 
 
 def test_edges_names_and_templates(spark, nothing):
-    mit = TEMPLATES["mit"].split()
+    first = dict(reversed(TEMPLATES))                    # the first passage of each label
+    mit = first["mit"].split()
     rows = EDGES + [
         (100, "Licensed under the Apache License, Version 2.0. Apache  license CC-BY mit license"),
         (101, "GNU General Public License gnu general GNU GENERAL PUBLIC LICENSE"),
         (102, "intro " + " ".join(mit[:30]) + " changed words " + " ".join(mit[30:]) + " outro"),
-        (103, TEMPLATES["bsd"].upper()), (104, "permission is hereby granted to nobody")]
+        (103, first["bsd"].upper()), (104, "permission is hereby granted to nobody")]
     got = {r.doc_id: r for r in scan_licenses(frame(spark, rows)).collect()}
     for i, t in rows:
         if i is not None:
@@ -69,3 +70,28 @@ def test_chains_keep_order():
     assert run("abcdefghij") == [(0, 10, 0, 9)]
     assert run("abczzdefghij") == [(0, 10, 0, 11)]
     assert max(c[1] for c in run("fghij" + "abcde")) == 5
+
+
+def labels_of(spark, *texts):
+    got = {r.doc_id: r for r in scan_licenses(frame(spark, list(enumerate(texts)))).collect()}
+    return [(got[i].labels, [(x.label, x.first, x.last) for x in got[i].spans]) for i in range(len(texts))]
+
+
+def test_every_passage_gets_its_own_label(spark):
+    got = labels_of(spark, *[f"// {text} // and so on" for _, text in TEMPLATES])
+    for (label, text), (labels, spans) in zip(TEMPLATES, got):
+        assert label in labels.split(",") and spans[0][0] == label, (label, text, labels)
+        base = {PHRASES[p] for p in PHRASES if p in " ".join(words_of(text))}
+        assert set(labels.split(",")) == {label} | base, (label, labels)
+
+
+def test_copies_one_after_the_other(spark):
+    notice = dict(reversed(TEMPLATES))["isc"]
+    n = len(words_of(notice))
+    (labels, spans), = labels_of(spark, " ".join([notice] * 3))
+    assert labels == "isc" and [x[1:] for x in spans] == [(k * n, (k + 1) * n - 1) for k in range(3)]
+
+
+def test_the_best_span_wins():
+    spans = [("gpl", 0, 40, 0.8, 33), ("agpl", 0, 41, 1.0, 42), ("mit", 60, 90, 0.9, 30), ("x", 88, 120, 0.9, 30)]
+    assert [x[0] for x in best_spans(spans)] == ["agpl", "mit", "x"]
