@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import CHECK, EDGES, frame
-from tidewater.llm import language, quality, toxicity
+from tidewater.llm import common, language, quality, toxicity
 
 
 def fold(i, k):
@@ -123,3 +123,25 @@ def test_trees_walk_like_single_rows():
                 node = 2 * node + 1 + int(x[i, f[node]] > t[node])
             z += v[node - (2 ** model["depth"] - 1)]
         assert abs(p[i] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_training_samples_are_bounded(spark):
+    """One id may hold a third of all rows, drawn or not: never more than asked."""
+    rows = [(7 if i % 3 == 0 else i, f"text {i} " * 3, "en" if i % 2 else "fr") for i in range(900)]
+    docs = frame(spark, rows).select("doc_id", "text", "lang")
+    for per_label in (1, 5, 400):
+        for seed in range(3):
+            shifted = docs.withColumn("doc_id", docs["doc_id"] + 1000 * seed)
+            drawn = shifted.filter(common.draw(shifted, "lang", "doc_id", per_label))
+            kept = common.at_most(drawn, "lang", per_label, "doc_id", "text").collect()
+            assert max([sum(r.lang == x for r in kept) for x in ("en", "fr")]) <= per_label
+    everything = common.at_most(docs, "lang", 10, "doc_id", "text").collect()
+    assert sorted(r.lang for r in everything) == ["en"] * 10 + ["fr"] * 10
+    assert sorted(map(tuple, everything)) == sorted(map(tuple, common.at_most(docs.repartition(5), "lang", 10, "doc_id", "text").collect()))
+
+
+def test_repeated_labels_and_ids_train(spark):
+    docs = frame(spark, [(i % 40, ("bad awful " if i % 40 % 2 else "good fine ") * 5 + str(i), "en") for i in range(400)])
+    labels = spark.createDataFrame([(i % 40, i % 2, i % 2) for i in range(400)], "doc_id long, toxic int, quality int")
+    assert len(toxicity.train_toxicity_model(docs, labels, per_class=6)["model"]) > 0
+    assert quality.train_quality_model(docs, labels, per_class=6) is not None

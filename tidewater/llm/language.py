@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import WordTable, draw, flatten, fold, map_arrow, slices, training_texts, worker_cache
+from tidewater.llm.common import WordTable, at_most, draw, flatten, fold, map_arrow, slices, training_texts, worker_cache
 
 by_value(__name__)
 
@@ -307,7 +307,8 @@ def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Fit on the rows outside fold 0 of 5 (see ``common.fold``)."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(label_col).alias("label"), F.col(id_col).alias("id"))
     rows = rows.filter(fold(F.col("id"), 5) != 0)
-    sample = training_texts(rows.filter(draw(rows, "label", "id", per_language)), "text").select("text", "label").collect()
+    drawn = training_texts(rows.filter(draw(rows, "label", "id", per_language)), "text")
+    sample = at_most(drawn, "label", per_language, "id", "text").select("text", "label").collect()
     return fit(sorted(sample, key=lambda r: (str(r[1]), r[0])))
 
 

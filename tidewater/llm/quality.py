@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import draw, fold, map_arrow
+from tidewater.llm.common import at_most, draw, fold, map_arrow
 
 by_value(__name__)
 
@@ -158,9 +158,9 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
     """Fit on labelled rows outside fold 1 of 3."""
     import numpy as np
 
-    given = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(fold(F.col("id"), 3) != 1)
+    given = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(fold(F.col("id"), 3) != 1).distinct()
     given = F.broadcast(given.filter(draw(given, "label", "id", per_class)))       # about 2 x per_class rows
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(given, "id")
+    rows = at_most(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(given, "id"), "label", per_class, "id", "text")
     got = map_arrow(rows.select("text", F.col("label").cast("int").alias("label")), describe,
                     "x array<double>, label int").collect()
     got.sort(key=lambda r: (r[1], r[0]))
