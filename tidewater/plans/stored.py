@@ -435,3 +435,83 @@ def prepare_totals(spark, sf_dir) -> DataFrame:
     totals.watch(entities.things(cat), things=F.count(F.lit(1))).write.parquet(f"{base}/things")
     totals.watch(entities.datastreams(cat), datastreams=F.count(F.lit(1))).write.parquet(f"{base}/datastreams")
     return totals.frame(spark)
+
+
+# ------------------------------------- records of the service load (path B)
+@query
+def service_sites(spark, sf_dir) -> DataFrame:
+    """J11, J15 (path B): the site records of the load."""
+    from tidewater.plans import service_entities as S
+    from tidewater.plans.registry import _groups_b
+    return S.sites(catalog(spark, sf_dir), _groups_b(spark, sf_dir))
+
+
+@query
+def service_datastreams(spark, sf_dir) -> DataFrame:
+    """J12-J15 (path B): the datastream records of the load."""
+    from tidewater.plans import service_entities as S
+    from tidewater.plans.registry import _groups_b
+    return S.datastreams(catalog(spark, sf_dir), cut(_groups_b(spark, sf_dir)), "Complete")
+
+
+@query
+def service_lookups(spark, sf_dir) -> DataFrame:
+    """J15 (path B): processing level, sensors, observed properties, units and
+    result qualifiers that the loaded rows use, stored by get-or-create and read
+    back; and how many datastream records refer to each."""
+    from functools import reduce
+
+    from tidewater.plans import service_entities as S
+    from tidewater.plans.registry import _groups_b
+    from tidewater.sinks.generations import GenerationStore
+    cat = catalog(spark, sf_dir)
+    frames = {"ProcessingLevels": (S.processing_levels(cat), "level_code", "explanation", "level_code"),
+              "Sensors": (S.sensors(cat), "method_code", "name", "method_code"),
+              "ObservedProperties": (S.observed_properties(cat), "code", "name", "property_code"),
+              "Units": (S.units(cat), "symbol", "name", "unit_symbol"),
+              "ResultQualifiers": (S.result_qualifiers(cat), "code", "description", None)}
+    store = GenerationStore(spark, scratch(spark, "service"))
+    store.commit({k: f[0] for k, f in frames.items()})
+    ds = cut(S.datastreams(cat, cut(_groups_b(spark, sf_dir)), "Complete"))
+    out = []
+    for kind, (_, key, label, ref) in frames.items():
+        rows = store.read(kind).select(F.lit(kind).alias("kind"), F.col(key).alias("code"), F.col(label).alias("label"))
+        if ref:
+            used = ds.groupBy(F.col(ref).alias("code")).agg(F.count(F.lit(1)).alias("n_datastreams"))
+            rows = rows.join(used, "code", "left").select("kind", "code", "label", F.coalesce("n_datastreams", F.lit(0).cast("long")).alias("n_datastreams"))
+        else:
+            rows = rows.withColumn("n_datastreams", F.lit(None).cast("long"))
+        out.append(rows)
+    return reduce(DataFrame.unionByName, out)
+
+
+# --------------------------------------------------- found files
+@query
+def found_files(spark, sf_dir) -> DataFrame:
+    """The files of a district folder found by name and by pattern at
+    any depth, and the rows of a lookup file that is absent, then there."""
+    from tidewater.sources.csv_tables import DistrictFolder
+    from tidewater.sources.driver import OBSERVATION_COLUMNS
+    base = scratch(spark, "found")
+    raw, width = _numbered_files(spark, sf_dir)
+    raw = cut(raw)
+    _write_files(raw, base, width, [0, 1])
+    _write_files(raw, f"{base}/deep/er", width, [2])
+    _write_files(raw, f"{base}/processed", width, [3])       # a folder that scans skip
+    before = DistrictFolder(spark, base)
+    absent = before.series().count()
+    series = catalog(spark, sf_dir).source.series()
+    put = series.select("COMPARTIMENTO", "ALIAS_STAZIONE", "ALIAS_BACINO", "GRANDEZZA", "VERSION")
+    put.repartition(3).write.option("header", True).option("sep", ";").csv(f"{base}/_tmp")
+    for i, name in enumerate(n for n in Folders(spark).names(f"{base}/_tmp") if n.startswith("part-")):
+        Folders(spark).rename(f"{base}/_tmp/{name}", f"{base}/Distretto A/Serie temporali {i}.csv")
+    Folders(spark).delete(f"{base}/_tmp")
+    after = DistrictFolder(spark, base)
+    raw_columns = set(after.raw_observations().columns) - {"_ord"} == set(OBSERVATION_COLUMNS)
+    return spark.createDataFrame([
+        ("observation files one folder deep", len(after.district_files("observations"))),
+        ("observation files by pattern", len(after.files_matching("osservazioni*.csv"))),
+        ("files by an exact pattern", len(after.files_matching("osservazioni 000000002.csv"))),
+        ("observation columns as written", int(raw_columns)),
+        ("series rows without a file", absent),
+        ("series rows", after.series().count())], "what string, n long")
