@@ -79,3 +79,19 @@ def test_edges(spark, nothing):
 def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert check(spark, rows) > 500
+
+
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    rnd = random.Random(6)
+    words = ["a", "b", "ab", "ba", "é", "\x1c", "\x85", "x" * 300, "word", "a\x00b"] + [f"w{i}" for i in range(300)]
+    for block in (16, 1 << 20):
+        monkeypatch.setattr(p, "BLOCK", block)
+        seen = {}
+        for _ in range(60):
+            text = "".join(rnd.choice(words) + rnd.choice(" \t\n\x0b\x0c\r") * rnd.randint(1, 3) for _ in range(rnd.randint(0, 60)))
+            raw = (rnd.choice(["", " ", "\n"]) + text.rstrip(rnd.choice([" ", ""]))).encode()
+            starts, stops, hashes = p.word_places(raw)
+            assert [raw[a:b] for a, b in zip(starts, stops)] == raw.split()
+            for w, h in zip(raw.split(), hashes.tolist()):
+                assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)

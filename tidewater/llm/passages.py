@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import bitmap, cut, flatten, map_arrow, shared_folder, slices, worker_cache
+from tidewater.llm.common import bitmap, cut, map_arrow, shared_folder, slices, worker_cache
 from tidewater.operators.joins import bounded_broadcast
 from tidewater.llm.runs import mixed
 
@@ -52,14 +52,41 @@ PIECE_WINDOWS = 512
 NAME_WORDS = 60_000
 SHARD_WORDS = 60_000
 BITS = 1 << 26
+BLOCK = 1 << 20                #: bytes of a text that are summed up at a time
 
 
-class _Hashes(dict):
-    def __missing__(self, word):
-        import xxhash
+def powers(n: int):
+    """The first ``n`` or more powers of an odd number and of its inverse, mod 2^64."""
+    import numpy as np
+
+    cache, base = worker_cache("passages"), 0x9E3779B97F4A7C15
+    if len(cache.get("powers", ())) < n:
+        for name, x in (("powers", base), ("inverse", pow(base, -1, 1 << 64))):
+            all_x = np.full(2 * n, x, np.uint64)
+            all_x[0] = 1
+            cache[name] = np.cumprod(all_x)
+    return cache["powers"], cache["inverse"]
+
+
+def word_places(raw: bytes):
+    """(first byte, byte after the last, hash) of every word. A word's hash is the
+    sum of its bytes' numbers times powers of their place in it, from running sums
+    over the text; it depends on the word alone."""
+    import numpy as np
 
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    data = np.frombuffer(raw, np.uint8)
+    edge = np.flatnonzero(np.diff((data == 32) | (data >= 9) & (data <= 13), prepend=True, append=True))
+    starts, stops = edge[::2], edge[1::2]
+    numbers, hashes = mixed(np.arange(1, 257, dtype=np.uint64)), np.zeros(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(raw) + BLOCK, BLOCK))
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:                                      # the words that start in one block
+            begin, end = starts[lo], stops[hi - 1]
+            power, inverse = powers(int(end - begin) + 1)
+            sums = np.zeros(end - begin + 1, np.uint64)
+            np.cumsum(numbers[data[begin:end]] * power[:end - begin], out=sums[1:])
+            hashes[lo:hi] = (sums[stops[lo:hi] - begin] - sums[starts[lo:hi] - begin]) * inverse[starts[lo:hi] - begin]
+    return starts, stops, mixed(hashes)
 
 
 def window_names(ids, ends, window: int, gram: int, longest: int):
@@ -98,19 +125,17 @@ def window_names(ids, ends, window: int, gram: int, longest: int):
 
 
 def sliced(texts: list, window: int, gram: int):
-    """Per slice of a batch: (first row, words of each row, where rows end,
-    pieces as of ``window_names``)."""
+    """Per slice of a batch: (first row, bytes of the rows, first byte and byte
+    after the last of every word, words up to the end of each row, pieces as of
+    ``window_names``)."""
     import numpy as np
 
-    memo = worker_cache("passages").setdefault("words", _Hashes())
     for lo, hi in slices(texts):
-        if len(memo) > 300_000:
-            memo.clear()
-        docs = [t.encode().split() if t else [] for t in texts[lo:hi]]
-        words = flatten(docs)
-        ends = np.cumsum([len(d) for d in docs])
-        ids = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        yield lo, words, ends, window_names(ids, ends, window, gram, 1 if gram == window else PIECE_WINDOWS)
+        rows = [t.encode() if t else b"" for t in texts[lo:hi]]
+        raw = b" ".join(rows)
+        starts, stops, ids = word_places(raw)
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in rows]) - 1)
+        yield lo, raw, (starts, stops), ends, window_names(ids, ends, window, gram, 1 if gram == window else PIECE_WINDOWS)
 
 
 def name_counts(window: int, gram: int):
@@ -123,7 +148,7 @@ def name_counts(window: int, gram: int):
 
         for batch in batches:
             names, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for _, _, _, (_, _, name, inner) in sliced(batch.column(0).to_pylist(), window, gram):
+            for _, _, _, _, (_, _, name, inner) in sliced(batch.column(0).to_pylist(), window, gram):
                 names.append(name)
                 sizes.append(1 + inner)
             name, at = np.unique(np.concatenate(names), return_inverse=True)
@@ -159,14 +184,15 @@ def marked_pieces(shared, window: int, gram: int):
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("row", "digest", "offset", "n", "inner", "content")}
             names, sent = [np.zeros(0, np.uint64)], set()
-            for lo, words, ends, (first, size, name, inner) in sliced(batch.column(3).to_pylist(), window, gram):
+            for lo, raw, (starts, stops), ends, (first, size, name, inner) in sliced(batch.column(3).to_pylist(), window, gram):
                 hit = np.flatnonzero(marked(name, shared.value))
                 first, size, inner = first[hit], size[hit], inner[hit]
                 row = np.searchsorted(ends, first, "right")
                 offset = first - np.append(0, ends)[row]
                 names.append(name[hit])
-                for d, a, o, n, x in zip(*(v.tolist() for v in (row, first, offset, size, inner))):
-                    content = b" ".join(words[a:a + n + window - 1])
+                begin, end = starts[first], stops[first + size + window - 2]
+                for d, a, b, o, n, x in zip(*(v.tolist() for v in (row, begin, end, offset, size, inner))):
+                    content = b" ".join(raw[a:b].split())
                     digest = hashlib.blake2b(content, digest_size=16).digest()
                     out["row"].append(lo + d)
                     out["digest"].append(digest)
