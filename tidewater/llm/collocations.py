@@ -36,8 +36,8 @@ from tidewater.llm.runs import mixed
 
 by_value(__name__)
 
-SHARD_WORDS = 1_500_000
-UNION_PHRASES = 2_000_000
+SHARD_WORDS = 1_000_000
+UNION_PHRASES = 1_200_000
 RANGE_BYTES = 64 << 20
 SAMPLE_ROWS, SAMPLE_CHARS = 1000, 4000
 SALTS = 16
