@@ -77,3 +77,9 @@ def test_slots_over_several_buckets(spark):
     got = number_slots(df, 8).collect()
     for s in range(3):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(i % 3 == s for i in range(500))))
+
+
+def test_rows_without_an_id_spread(spark):
+    rows = [(None if i % 3 else i, "t" * 40) for i in range(3000)]
+    got = kd_shards(frame(spark, rows).repartition(4), ["n_chars"], ["source"], shards=6).collect()
+    check(got, rows, 6, 2.0)

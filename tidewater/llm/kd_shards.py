@@ -13,17 +13,17 @@ sees a bounded number of sums, and narrows each node to the cell that holds its
 quantile. Rounds end when that cell weighs less than ``TOLERANCE`` of a leaf or is
 a single key. A level of the tree is searched for all its nodes at once.
 
-Dimensions become integer keys with ``JITTER`` low bits from a hash of the id,
-so one value that holds a third of all rows (a hot source, one language) can
-still be split anywhere inside; rows of one key stay together.
+Dimensions become integer keys with ``JITTER`` low bits from a hash of the id and
+a row number, so one value that holds a third of all rows (a hot source, one
+language, rows without an id) can still be split anywhere inside. Equal texts
+are not kept together.
 
 Slots: rows are numbered inside (shard, hash bucket) and the buckets' counts
 are summed up per shard, so no task sorts a whole shard.
 
 Defined results: a null dimension is its own value below all others; a null
 text weighs nothing but its 8 bytes; null ids and repeated rows are placed like
-any other (equal rows share a key and thus a shard); an empty table gives an
-empty result; other columns are not read.
+any other; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -131,9 +131,11 @@ def kd_shards(docs: DataFrame, numeric: list[str], categories: list[str], shards
               target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, size (text bytes + 8), text_crc32, shard, slot.
 
-    Give the number of leaves (``shards``) or the bytes a leaf should reach."""
+    Give the number of leaves (``shards``) or the bytes a leaf should reach. The
+    salt that parts rows of equal dimensions has a row number in it, as ids may be
+    null or repeat."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    salt = F.xxhash64(F.col(id_col), F.lit("kd"))
+    salt = F.xxhash64(F.col(id_col), F.monotonically_increasing_id(), F.lit("kd"))
     dims = [f"d{i}" for i in range(len(numeric) + len(categories))]
     keys = [numeric_key(F.col(c), salt) for c in numeric] + [category_key(F.col(c), salt) for c in categories]
     points = cut(docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("weight"),
