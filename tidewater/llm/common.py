@@ -38,6 +38,31 @@ def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.sparkSession.read.parquet(folder), name
 
 
+#: Bits of the filter that spares most rows a shuffle; its table has 1 / 64 as many rows.
+FILTER_BITS = 1 << 24
+
+
+def parted(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (key not null) in two: those whose key is surely not in ``keys``, and
+    the others, which alone have to be shuffled to meet ``keys``. Told apart by a
+    bitmap of fixed size of the keys' hashes, broadcast as a table; with more keys
+    than bits it fills, and all rows are in the second part."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit")
+    words = cut(keys.select(bit).groupBy(F.shiftright("bit", 6).alias("word"))
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
+    whole = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), bit)
+    marked = (whole.withColumn("word", F.shiftright("bit", 6))
+              .join(F.broadcast(words), "word", "left"))                # at most FILTER_BITS / 64 rows
+    hit = F.expr("coalesce(bits, 0L) & shiftleft(1L, cast(bit & 63 as int))") != 0
+    return marked.filter(~hit).select("row.*"), marked.filter(hit).select("row.*")
+
+
+def without_keys(rows: DataFrame, key: str, bad: DataFrame) -> DataFrame:
+    """``rows`` (key not null) less those whose key is in ``bad``."""
+    clean, doubtful = parted(rows, key, bad)
+    return clean.unionByName(doubtful.join(bad, key, "left_anti").select(*[f"`{c}`" for c in rows.columns]))
+
+
 #: Rows and bytes of an Arrow batch: a task holds a few batches beside its caches.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, flatten, map_arrow, slices, with_row_key, worker_cache
+from tidewater.llm.common import cut, flatten, map_arrow, slices, with_row_key, without_keys, worker_cache
 
 by_value(__name__)
 
@@ -279,4 +279,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     Rows are told apart by a row key, not by their ids, which may be null or repeat."""
     keyed, key = with_row_key(docs)
     bad = cut(overlaps(keyed, benchmark, key, text_col, **items).select(F.col("doc_id").alias(key)).distinct())
-    return keyed.join(bad, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return without_keys(keyed, key, bad).select(*[f"`{c}`" for c in docs.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow, worker_cache
+from tidewater.llm.common import cut, map_arrow, parted, worker_cache
 
 by_value(__name__)
 
@@ -95,8 +95,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The input's columns, one row of each group of equal texts (smallest id).
 
     Copies of frequent texts are removed map-side against the broadcast
-    winners before anything is shuffled; the rest is ranked per digest, with
-    Spark's group limit ahead of the shuffle."""
+    winners before anything is shuffled. Of the rest only rows whose digest occurs
+    again are shuffled (``common.parted``) and ranked per digest, with Spark's group
+    limit ahead of the shuffle."""
     from pyspark.sql import Window
 
     names = docs.columns
@@ -109,5 +110,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                   .select("digest", F.col("first.doc_id").alias("keep_id"), F.lit(True).alias("hot")))
     left = (work.join(F.broadcast(winners), "digest", "left")
             .filter(F.col("hot").isNull() | F.col("id").eqNullSafe(F.col("keep_id"))))
+    again = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    single, others = parted(left.select("digest", "id", "row"), "digest", again)
     first = Window.partitionBy("digest").orderBy(F.col("id").asc_nulls_last())
-    return left.withColumn("rank", F.row_number().over(first)).filter("rank = 1").select("row.*")
+    return (single.select("row").unionByName(others.withColumn("rank", F.row_number().over(first)).filter("rank = 1").select("row"))
+            .select("row.*"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater._shipping import by_value
-from tidewater.llm.common import cut, map_arrow, with_row_key, worker_cache
+from tidewater.llm.common import cut, map_arrow, with_row_key, without_keys, worker_cache
 from tidewater.llm.components import smallest_reachable
 
 by_value(__name__)
@@ -181,4 +181,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     firsts = _component_firsts(rows, F.col("place"), radius, BUCKET_LIMIT)
     drop = cut(rows.join(firsts.hint("merge"), "fp").filter(F.col("place.key") != F.col("first.key"))
                .select(F.col("place.key").alias(key)))
-    return keyed.join(drop, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return without_keys(keyed, key, drop).select(*[f"`{c}`" for c in docs.columns])
