@@ -10,9 +10,13 @@ measured size.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 # Default ceiling for an explicit broadcast hint: 64 MiB estimated.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -21,7 +25,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (None when unavailable)."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
+    except Exception as e:  # pragma: no cover - Spark Connect has no JVM handle
+        log.warning("no size estimate, joining by shuffle: %s", e)
         return None
 
 
