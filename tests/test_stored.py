@@ -162,6 +162,28 @@ def test_a_cascade_goes_on_where_it_stopped(spark, tmp_path, steps):
     assert other.cascade("no such property") == CASCADE and other.read("Things").count() == 3
 
 
+def test_observations_beside_the_store(spark, tmp_path, monkeypatch):
+    """Only folders of doomed datastreams are rewritten; a stop between the delete
+    and the note repeats the delete."""
+    store = filled(spark, f"{tmp_path}/s")
+    obs = store.read("Observations")
+    table = ObservationTable(spark, f"{tmp_path}/o", obs.schema, buckets=64)
+    table.append(obs)
+    store.observations = table
+    files = lambda: {r.path: r.modified for r in list_files(spark, f"{tmp_path}/o", "*.parquet").collect()}
+    before = files()
+    store.plan_cascade("rain")
+    commit = store.store.commit
+    monkeypatch.setattr(store.store, "commit", lambda *a, **k: (_ for _ in ()).throw(InterruptedError()))
+    with pytest.raises(InterruptedError):
+        store.resume()
+    monkeypatch.setattr(store.store, "commit", commit)
+    assert store.resume() == CASCADE
+    assert {r[0] for r in rows(store.read("Observations"), "datastream_key")} == {"a2", "c1"} and store.read("Observations").count() == 6
+    assert set(files().items()) & set(before.items())
+    assert store.clear()[0] == "Observations" and store.read("Observations").count() == 0
+
+
 def test_collections_are_emptied_in_order(spark, tmp_path):
     store = filled(spark, f"{tmp_path}/s")
     store.plan_clear()

@@ -9,6 +9,10 @@ generation that also lists the tables still to do) and then one table after the
 other, in dependency order. A job that stops in between is taken up by
 ``resume``, which reads the plan and goes on with the next table; readers see in
 the note of a snapshot which tables are still to come.
+
+Observations may be kept in an ``ObservationTable`` beside the store: a cascade then
+rewrites only the folders of the doomed datastreams. Such a delete may be repeated,
+so a job that stops between it and the note does it again.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from tidewater.operators.cleanup import DELETE_ORDER, delete_by_id, update_by_id
 from tidewater.operators.joins import bounded_broadcast
 from tidewater.session import cut
 from tidewater.sinks.generations import GenerationStore, Snapshot
+from tidewater.sinks.tables import ObservationTable
 
 # Natural key of every kind of entity.
 KEYS = {
@@ -41,12 +46,20 @@ CASCADE = ["Observations", "Datastreams", "Things", "Locations"]
 
 
 class EntityStore:
-    def __init__(self, store: GenerationStore):
-        self.store = store
+    """``observations``: the table of Observations, if they are not one of the
+    store's own."""
+
+    def __init__(self, store: GenerationStore, observations: ObservationTable | None = None):
+        self.store, self.observations = store, observations
 
     def read(self, kind: str, snapshot: Snapshot | None = None) -> DataFrame:
+        if kind == "Observations" and self.observations is not None:
+            return self.observations.read()
         return self.store.read(kind, snapshot)
 
+    def _kinds(self, snapshot: Snapshot) -> set[str]:
+        return set(snapshot.tables) | ({"Observations"} if self.observations is not None else set())
+
     def ensure(self, candidates: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Get or create. Candidates whose key is stored are left alone, the
         others are added with the number of this generation in ``created_in``;
@@ -106,12 +119,12 @@ class EntityStore:
         for kind, rows in (("Observations", keys), ("Datastreams", keys), ("Things", orphans), ("Locations", orphans)):
             part = rows.select(F.lit(kind).alias("entity"), F.col(rows.columns[0]).alias("key"))
             plan = part if plan is None else plan.unionByName(part)
-        return self.store.commit({PLAN: plan}, base, note={"to_do": [k for k in CASCADE if k in base.tables]})
+        return self.store.commit({PLAN: plan}, base, note={"to_do": [k for k in CASCADE if k in self._kinds(base)]})
 
     def plan_clear(self) -> Snapshot:
         """Store the plan to empty all collections, dependent ones first."""
         base = self.store.snapshot()
-        first = [k for k in DELETE_ORDER if k in base.tables]
+        first = [k for k in DELETE_ORDER if k in self._kinds(base)]
         rest = [k for k in KEYS if k in base.tables and k not in first]
         return self.store.commit({}, base, note={"to_do": first + rest, "clear": True})
 
@@ -125,14 +138,21 @@ class EntityStore:
             if not to_do:
                 break
             kind, rest = to_do[0], to_do[1:]
-            rows = self.read(kind, base)
+            apart = kind == "Observations" and self.observations is not None
+            key = "datastream_key" if kind in ("Observations", "Datastreams") else "thing_key"
+            changes = {}
             if base.note.get("clear"):
-                left = rows.limit(0)
+                if apart:
+                    self.observations.clear()
+                else:
+                    changes[kind] = self.read(kind, base).limit(0)
             else:
-                key = "datastream_key" if kind in ("Observations", "Datastreams") else "thing_key"
                 keys = self.read(PLAN, base).filter(F.col("entity") == kind).select(F.col("key").alias(key))
-                left = rows.join(bounded_broadcast(keys), key, "left_anti")
-            self.store.commit({kind: left}, base, note={**base.note, "to_do": rest} if rest else {})
+                if apart:
+                    self.observations.delete(keys)
+                else:
+                    changes[kind] = self.read(kind, base).join(bounded_broadcast(keys), key, "left_anti")
+            self.store.commit(changes, base, note={**base.note, "to_do": rest} if rest else {})
             done.append(kind)
         return done
 

@@ -1079,6 +1079,18 @@ def find_datastreams(spark, sf_dir) -> DataFrame:
     return a.unionByName(b)
 
 
+@query
+def no_data_statistics(spark, sf_dir) -> DataFrame:
+    """The sentinel is stored as a result; statistics leave it out through the
+    mask. The highest values stand for the gaps of a yearbook."""
+    from tidewater.operators.quality import NO_DATA, mask_no_data
+    g = _mapped(spark, sf_dir).select("datastream_key", F.when(F.col("result") > 90, F.lit(float(NO_DATA))).otherwise(F.col("result")).alias("result"))
+    shown = mask_no_data(g.withColumn("stored", F.col("result")))
+    return shown.groupBy("datastream_key").agg(
+        F.count("stored").alias("n_stored"), F.count("result").alias("n_measured"), F.min("stored").alias("lowest_stored"),
+        F.min("result").alias("lowest"), F.round(F.sum("result"), 2).alias("sum_result"))
+
+
 @query
 def property_codes(spark, sf_dir) -> DataFrame:
     """the code of every observed property: ``variableCode``, else ``code``."""

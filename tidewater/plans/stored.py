@@ -216,14 +216,17 @@ def _filled_store(spark, sf_dir, name):
     from tidewater.plans import entities
     from tidewater.plans.registry import _mapped
     from tidewater.sinks.generations import GenerationStore
-    cat = catalog(spark, sf_dir)
-    store = EntityStore(GenerationStore(spark, scratch(spark, name)))
+    from tidewater.sinks.tables import ObservationTable
+    cat, base = catalog(spark, sf_dir), scratch(spark, name)
+    obs = _mapped(spark, sf_dir).select("datastream_key", "phenomenon_time", "obs_id")
+    table = ObservationTable(spark, f"{base}/observations", obs.schema, buckets=8)
+    table.append(obs)
+    store = EntityStore(GenerationStore(spark, f"{base}/entities"), table)
     store.store.commit({
         "ObservedProperties": entities.observed_properties(cat).select("definition", "name"),
         "Datastreams": entities.datastreams(cat).select("datastream_key", "thing_key", "definition"),
         "Things": entities.things(cat).select("thing_key", "name"),
-        "Locations": entities.locations(cat).select("thing_key", "lon", "lat"),
-        "Observations": _mapped(spark, sf_dir).select("datastream_key", "phenomenon_time", "obs_id")})
+        "Locations": entities.locations(cat).select("thing_key", "lon", "lat")})
     return store
 
 
@@ -239,7 +242,7 @@ def executed_cascade(spark, sf_dir) -> DataFrame:
     store = _filled_store(spark, sf_dir, "cascade")
     store.plan_cascade(PROPERTY_TO_DELETE)
     store.resume(steps=2)
-    again = EntityStore(store.store)
+    again = EntityStore(store.store, store.observations)
     again.resume()
     keys = {"Observations": "datastream_key", "Datastreams": "datastream_key", "Things": "thing_key", "Locations": "thing_key",
             "ObservedProperties": "definition"}
@@ -254,15 +257,17 @@ def emptied_collections(spark, sf_dir) -> DataFrame:
     after the second; rows before, at the stop and after."""
     from functools import reduce
     store = _filled_store(spark, sf_dir, "emptied")
-    full = store.store.snapshot()
+    kinds = ["Observations", "Datastreams", "ObservedProperties", "Locations", "Things"]
+    counts = lambda: cut(reduce(DataFrame.unionByName, [
+        store.read(k).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k in kinds]))
+    seen = [("before", counts())]
     store.plan_clear()
     done = store.resume(steps=2)
-    stopped = store.store.snapshot()
+    seen.append(("stop", counts()))
     done += store.resume()
-    n = lambda kind, at: store.read(kind, at).agg(F.count(F.lit(1)).alias("n"))
-    return reduce(DataFrame.unionByName, [
-        n(kind, at).select(F.lit(i).alias("position"), F.lit(kind).alias("kind"), F.lit(when).alias("at"), "n")
-        for i, kind in enumerate(done, 1) for when, at in (("before", full), ("stop", stopped), ("end", store.store.snapshot()))])
+    seen.append(("end", counts()))
+    position = F.create_map(*[F.lit(x) for i, k in enumerate(done, 1) for x in (k, i)])[F.col("kind")]
+    return reduce(DataFrame.unionByName, [df.select(position.alias("position"), "kind", F.lit(when).alias("at"), "n") for when, df in seen])
 
 
 # --------------------------------------------------------- batch records (K9)
