@@ -28,6 +28,8 @@ any other; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,8 +53,13 @@ def category_key(value: Column, salt: Column) -> Column:
 
 
 def node_table(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """A table of tree nodes to join the rows with: at most one row per leaf."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A table of tree nodes to join the rows with: at most one row per leaf. It is
+    made by the JVM from one literal; rows given to Spark from Python would start
+    Python workers."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    kind = ", ".join(":".join(column.split()) for column in schema.split(", "))
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>"))))
 
 
 def find_splits(points: DataFrame, leaves: dict[int, int], span: list[int]) -> dict[int, tuple[int, int]]:
