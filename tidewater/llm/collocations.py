@@ -37,8 +37,8 @@ from tidewater.llm.runs import mixed
 by_value(__name__)
 
 SHARD_WORDS = 1_000_000
-UNION_PHRASES = 1_200_000
-RANGE_BYTES = 64 << 20
+UNION_PHRASES = 800_000
+RANGE_BYTES = 8 << 20
 SAMPLE_ROWS, SAMPLE_CHARS = 1000, 4000
 SALTS = 16
 BITS = 1 << 26
