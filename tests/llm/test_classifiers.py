@@ -145,3 +145,40 @@ def test_repeated_labels_and_ids_train(spark):
     labels = spark.createDataFrame([(i % 40, i % 2, i % 2) for i in range(400)], "doc_id long, toxic int, quality int")
     assert len(toxicity.train_toxicity_model(docs, labels, per_class=6)["model"]) > 0
     assert quality.train_quality_model(docs, labels, per_class=6) is not None
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only few of many positives hold, and only beyond 64 KiB, counts:
+    no row is left out for the size of the table or of its text."""
+    plain = [(i, ("good day to all of you " * 3) + str(i % 7), "en") for i in range(3000)]
+    bad = [(10_000 + i, "awful nasty words here " * 3 + str(i % 5), "en") for i in range(2000)]
+    long = [(20_000 + i, "good day " * 9000 + "zzyzx", "en") for i in range(40)]
+    docs = frame(spark, plain + bad + long).select("doc_id", "text", "lang")
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 10_000)) for r in plain + bad + long], "doc_id long, toxic int")
+    got = toxicity.labelled_rows(docs, labels, "doc_id", "text", "toxic", "lang")
+    assert got.count() == sum(fold(r[0], 3) != 1 for r in plain + bad + long)
+    model = toxicity.train_toxicity_model(docs, labels)["model"]
+    same = toxicity.train_toxicity_model(docs.repartition(7), labels.repartition(3))["model"]
+    assert np.array_equal(model["table"], same["table"]) and model["shift"] == same["shift"]
+    a, b, c, d = toxicity.score(["good day zzyzx", "good day", "nasty words", ""], model)
+    assert a > 0.5 > b and c > 0.5 > d
+
+
+def test_peaks_by_block_are_those_of_the_whole_text():
+    rng = np.random.default_rng(5)
+    flat, words, starts = toxicity.layout([[f"w{k}" for k in rng.integers(0, 50, n)] for n in (40, 0, 1, 200, 7)])
+    e = rng.normal(size=(len(words), toxicity.DIM)).astype(np.float32)
+    e[0] = 0
+    filters = [rng.normal(size=(w, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    for x, y in zip(toxicity.peaks(flat, starts, e, filters), toxicity.peaks(flat, starts, e, filters, 16)):
+        assert all(np.allclose(a, b) for a, b in zip(x, y))
+
+
+def test_thresholds_are_order_statistics_of_all_negatives(spark):
+    rng = np.random.default_rng(6)
+    rows = [("en" if i % 3 else "fr", int(i % 10 == 0), float(rng.random())) for i in range(3000)] + [("xx", 0, 0.9)]
+    got = toxicity.calibrate(spark.createDataFrame(rows, "lang string, label int, score double"), max_false=0.05)
+    assert set(got) == {None, "en", "fr"}
+    for lang, limit in got.items():
+        own = [s for x, y, s in rows if y == 0 and lang in (None, x)]
+        assert np.mean([s >= limit for s in own]) <= 0.05 < np.mean([s >= limit - 0.01 for s in own])
