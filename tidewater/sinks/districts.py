@@ -14,6 +14,7 @@ import contextlib
 import csv
 import io
 import itertools
+import operator
 import uuid
 import zipfile
 
@@ -50,21 +51,26 @@ def put_file(store, path: str, chunk: int, columns: list[str], rows, zipped: boo
     return n
 
 
+def cells(column):
+    """The texts of an Arrow column (None for nulls); many times faster than ``to_pylist``."""
+    return column.to_numpy(zero_copy_only=False)
+
+
 def write_district_files(raw: DataFrame, root: str, width: int, columns: list[str], zipped: bool = False) -> DataFrame:
     """Write ``raw`` below ``root`` in files of ``width`` arrival numbers per
     district; returns (file, n_rows) of every file. ``_ord`` must be a number."""
     d = raw.select(F.coalesce(columns[0], F.lit("UNKNOWN")).alias("_d"), F.floor(F.col("_ord") / width).alias("_c"), "_ord",
                    *columns)
-    d = d.repartition("_d", "_c").sortWithinPartitions("_d", "_c", "_ord")
+    d = d.repartition("_d", "_c").sortWithinPartitions("_d", "_c", "_ord").drop("_ord")
 
     def run(batches):
         import pyarrow as pa
 
         store, base = file_system(root)
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
-        for (district, chunk), own in itertools.groupby(rows, lambda r: r[:2]):
+        rows = (r for b in batches for r in zip(zip(cells(b.column(0)), b.column(1).to_pylist()), zip(*map(cells, b.columns[2:]))))
+        for (district, chunk), own in itertools.groupby(rows, operator.itemgetter(0)):
             name = f"osservazioni {chunk:09d}.{'zip' if zipped else 'csv'}"
-            n = put_file(store, f"{base}/Distretto {district}/{name}", chunk, columns, (r[3:] for r in own), zipped)
+            n = put_file(store, f"{base}/Distretto {district}/{name}", chunk, columns, map(operator.itemgetter(1), own), zipped)
             yield pa.RecordBatch.from_pydict({"file": [name], "n_rows": pa.array([n], pa.int64())})
 
     return d.mapInArrow(run, "file string, n_rows long")
