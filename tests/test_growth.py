@@ -15,6 +15,13 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sites_are_dealt_out_before_they_unfold(spark):
+    src = DriverTables(spark, SF_SMALL)
+    for df in (src.series(), src.series_b(), src.stations()):
+        scan = plan_of(df).split("customer.parquet")[0].rsplit("Exchange", 1)[-1]
+        assert "REPARTITION_BY_COL" in scan and not re.search("Join|Window", scan)
+
+
 def test_district_cells_go_out_as_they_are(spark, tmp_path):
     from tidewater.sinks import districts
     rows = [("A", 'say "x"; y', None, 0), ("A", None, "è\nz", 1), (None, "", "p", 2), ("A", "q", "r", 5)]
