@@ -15,6 +15,18 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_hash_goes_on_with_nul_without_python(spark):
+    df = spark.createDataFrame([("DS-KEY",), ("",), ("è€",), ("x" * 300,)], "p string").withColumn("h", ids.fnv_hash("p"))
+    df = df.withColumn("q", F.concat("p", F.expr("chr(0)")))
+    got = df.select(ids.fnv_after_nul("h").alias("a"), ids.fnv_hash("q").alias("b")).collect()
+    assert len(got) == 4 and all(r.a == r.b for r in got)
+    assert spark.range(1).select(F.lit(None).cast("long").alias("h")).select(ids.fnv_after_nul("h").alias("a")).first().a is None
+
+
+def test_datastream_keys_take_one_python_pass(spark):
+    assert plan_of(Catalog(DriverTables(spark, SF_SMALL))._datastreams()).split("InMemoryRelation")[0].count("ArrowEvalPython") == 1
+
+
 def test_sites_are_dealt_out_before_they_unfold(spark):
     src = DriverTables(spark, SF_SMALL)
     for df in (src.series(), src.series_b(), src.stations()):

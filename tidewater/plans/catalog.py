@@ -116,7 +116,7 @@ class Catalog:
         # each natural key is hashed once, at the grain where it is unique:
         # URIs on the quantity table, thing keys per station, datastream keys
         # per datastream (shared by the datastream and sensor ids, D8)
-        q = (q.withColumn("_h_uri", ids.fnv_hash("TIPO_GRANDEZZA"))
+        q = (q.withColumn("_h_uri", ids.fnv_hash_sql("TIPO_GRANDEZZA"))
              .withColumn("observed_property_id", ids.slot_id(F.col("_h_uri"), ids.OBSERVED_PROPERTY_OFFSET))
              .drop("_h_uri"))
         u = self.units().select("SIGLA_STRUMENTO", F.col("UDM").alias("uom_symbol"),
@@ -132,6 +132,6 @@ class Catalog:
         return (ds.withColumn("thing_id", ids.slot_id(F.col("_h_thing"), ids.THING_OFFSET))
                 .withColumn("datastream_id", ids.slot_id(F.col("_h_ds"), ids.DATASTREAM_OFFSET))
                 .withColumn("sensor_id", ids.slot_id(F.col("_h_ds"), ids.SENSOR_OFFSET))
-                .withColumn("obs_hash_state", ids.fnv_continue_text("_h_ds", "\u0000"))
+                .withColumn("obs_hash_state", ids.fnv_after_nul("_h_ds"))
                 .withColumn("quantity_label", quantity_label("TIPO_GRANDEZZA"))
                 .drop("_h_thing", "_h_ds"))
