@@ -34,6 +34,19 @@ def test_sites_are_dealt_out_before_they_unfold(spark):
         assert "REPARTITION_BY_COL" in scan and not re.search("Join|Window", scan)
 
 
+def test_no_rows_need_no_tasks(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tidewater.session import empty
+    from tidewater.sinks.tables import ObservationTable
+    from tidewater.sources.hadoop import list_files
+    schema = T.StructType.fromDDL("datastream_key string, phenomenon_time string, m map<string,array<int>>")
+    for df in (empty(spark, schema), empty(spark, "a string, m map<string,array<int>>"),
+               ObservationTable(spark, f"{tmp_path}/none", schema).read(), list_files(spark, f"{tmp_path}/none")):
+        assert df.collect() == [] and "RDD" not in plan_of(df) and "LocalTableScan" in plan_of(df)
+    assert empty(spark, schema).dtypes == [(f.name, f.dataType.simpleString()) for f in schema]
+
+
 def test_district_cells_go_out_as_they_are(spark, tmp_path):
     from tidewater.sinks import districts
     rows = [("A", 'say "x"; y', None, 0), ("A", None, "è\nz", 1), (None, "", "p", 2), ("A", "q", "r", 5)]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import cut
+from tidewater.session import cut, empty
 from tidewater.sinks.generations import GenerationStore
 from tidewater.sources.hadoop import Folders
 
@@ -37,13 +37,13 @@ class BatchLog:
         if at.tables:
             return self.store.read("batches", at)
         keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields if f.name in self.keys)
-        return self.spark.createDataFrame([], f"{keys}, expected long, inserted long, {LOAD} string, "
+        return empty(self.spark, f"{keys}, expected long, inserted long, {LOAD} string, "
                                               "files array<struct<name:string,rows:long>>")
 
     def _stored(self) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField(LOAD, T.StringType())])
         if not Folders(self.spark).exists(f"{self.root}/rows"):
-            return self.spark.createDataFrame([], full)
+            return empty(self.spark, full)
         return self.spark.read.schema(full).option("basePath", f"{self.root}/rows").parquet(f"{self.root}/rows")
 
     def read(self) -> DataFrame:

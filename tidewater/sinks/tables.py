@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidewater.operators.dedup import keep_first
 from tidewater.operators.joins import bounded_broadcast
-from tidewater.session import cut
+from tidewater.session import cut, empty
 
 BUCKET, PERIOD = "key_bucket", "period"
 LAYOUT = [PERIOD, BUCKET]
@@ -58,7 +58,7 @@ class ObservationTable:
         schema = T.StructType([*self.schema.fields, T.StructField(PERIOD, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
         p, fs = self._folder(self.path)
         if not fs.exists(p):
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
 
     def read(self) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import empty
+
 
 class Folders:
     """Listing, renames and small text files on whatever store a path names."""
@@ -73,7 +75,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     listed by Spark; contents are not read. An absent folder has none."""
     folders = Folders(spark)
     if not folders.exists(root):
-        return spark.createDataFrame([], "path string, name string, length long, modified timestamp")
+        return empty(spark, "path string, name string, length long, modified timestamp")
     p, fs = folders.at(root)
     base = fs.makeQualified(p).toString().rstrip("/")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidewater.operators.dedup import keep_first
 from tidewater.operators.joins import bounded_broadcast
-from tidewater.session import cut
+from tidewater.session import cut, empty
 from tidewater.sinks.generations import GenerationStore
 from tidewater.sources.hadoop import Folders, list_files
 
@@ -55,7 +55,7 @@ class FolderLoad:
 
     def ledger(self) -> DataFrame:
         at = self.store.snapshot()
-        return self.store.read("files", at) if at.tables else self.spark.createDataFrame([], LEDGER)
+        return self.store.read("files", at) if at.tables else empty(self.spark, LEDGER)
 
     def changes(self) -> DataFrame:
         """(name, path, length, modified, load, state) of every file listed now or
@@ -88,7 +88,7 @@ class FolderLoad:
     def _stored(self) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField(FILE, T.StringType()), T.StructField(LOAD, T.StringType())])
         if not Folders(self.spark).exists(f"{self.root}/rows"):
-            return self.spark.createDataFrame([], full)
+            return empty(self.spark, full)
         return self.spark.read.schema(full).parquet(f"{self.root}/rows")
 
     def live(self) -> DataFrame:
