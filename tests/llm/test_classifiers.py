@@ -164,6 +164,24 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert a > 0.5 > b and c > 0.5 > d
 
 
+def test_labelled_texts_are_shuffled_once(spark):
+    rows = [(i % 60 or None, f"text {i % 90}", "en") for i in range(300)]
+    docs = frame(spark, rows).select("doc_id", "text", "lang")
+    labels = spark.createDataFrame([(i, y) for i in range(0, 80, 2) for y in {0, i % 4 // 2}] * 2, "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = toxicity.labelled_rows(docs, labels, "doc_id", "text", "toxic", "lang", 3)
+        plan = got._jdf.queryExecution().explainString(got._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        shuffled = [x for x in plan.split("\n\n") if ") Exchange\n" in x and " text#" in x.replace("[text#", "[ text#")]
+        assert len(shuffled) == 1 and got.rdd.getNumPartitions() == 3
+        have = sorted((r.id, r.text, r.lang, r.label) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    given = {(i, y) for i in range(0, 80, 2) for y in {0, i % 4 // 2} if fold(i, 3) != 1}
+    assert have == sorted((i, t, lang, y) for i, t, lang in rows for k, y in given if i == k)
+
+
 def test_peaks_by_block_are_those_of_the_whole_text():
     rng = np.random.default_rng(5)
     flat, words, starts = toxicity.layout([[f"w{k}" for k in rng.integers(0, 50, n)] for n in (40, 0, 1, 200, 7)])

@@ -442,28 +442,40 @@ def labelled_scorer(shared):
     return run
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, lang_col: str) -> DataFrame:
-    """(id, text, lang, label) of every labelled row outside fold 1 of 3. Only rows
-    that may have a label are shuffled."""
+def mix(id_col: str, text_col: str):
+    """Deals rows to tasks and orders them within: a hash of id and text."""
+    return F.xxhash64(id_col, text_col, F.lit("mix"))
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, lang_col: str,
+                  tasks: int | None = None) -> DataFrame:
+    """(id, text, lang, label, _mix) of every labelled row outside fold 1 of 3, with
+    ``tasks`` dealt to so many partitions by ``_mix``. The labels meet the ids and
+    hashes of the rows first and go beside the texts to their partitions, so a text
+    is shuffled once, and only if it may have a label."""
     i = F.col(id_col)
     given = (labels.filter(i.isNotNull() & F.col(label_col).isNotNull() & (fold(i, 3) != 1))
              .select(i.alias("id"), F.col(label_col).cast("int").alias("label")).distinct())
     rows = docs.filter(i.isNotNull()).select(i.alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    return parted(rows, "id", given)[1].join(given, "id")
+    texts = parted(rows, "id", given)[1].withColumn("_mix", mix("id", "text"))
+    known = texts.select("id", "_mix").distinct().join(given.groupBy("id").agg(F.collect_set("label").alias("_labels")), "id")
+    both = texts.withColumn("_row", F.lit(True)).unionByName(known.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    both = both.repartition(tasks, "_mix") if tasks else both
+    both = both.withColumn("_labels", F.max("_labels").over(Window.partitionBy("_mix", "id")))
+    return both.filter("_row").select("id", "text", "lang", F.explode("_labels").alias("label"), "_mix")
 
 
 def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          label_col: str = "toxic", lang_col: str = "lang", per_class: int | None = None) -> dict:
     """Fit and calibrate on all labelled rows outside fold 1 of 3 (``per_class``: on
     that many of each class at most); a fifth of them only calibrates."""
-    rows = labelled_rows(docs, labels, id_col, text_col, label_col, lang_col)
-    if per_class is not None:
-        rows = at_most(rows, "label", per_class, "id", "text", "lang")
     counted = labels.filter(F.col(label_col).isNotNull() & (fold(F.col(id_col), 3) != 1)).count()
     tasks = max(1, min(MAX_TASKS, -(-counted // ROWS_A_TASK)))
+    rows = labelled_rows(docs, labels, id_col, text_col, label_col, lang_col, tasks if per_class is None else None)
+    if per_class is not None:
+        rows = at_most(rows, "label", per_class, "id", "text", "lang").repartition(tasks, "_mix")
     held = F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % 5 == 0
-    rows = cut(rows.withColumn("held", held).withColumn("_mix", F.xxhash64("id", "text", F.lit("mix")))
-               .repartition(tasks, "_mix").sortWithinPartitions("_mix", "label", "lang").drop("_mix"))
+    rows = cut(rows.withColumn("held", held).sortWithinPartitions("_mix", "label", "lang").drop("_mix"))
     train = rows.filter(~F.col("held"))
     n = {r[0]: r[1] for r in train.groupBy("label").count().collect()}
     model = fit_rows(train, [n.get(0, 0), n.get(1, 0)])
