@@ -58,3 +58,83 @@ def test_district_cells_go_out_as_they_are(spark, tmp_path):
     assert read("Distretto UNKNOWN/osservazioni 000000000.csv") == [["d", "v", "w"], ["", "", "p"]]
     import pyarrow as pa
     assert list(districts.cells(pa.array(["a", None]))) == ["a", None]
+
+
+class SiteRows:
+    """Station and series rows of a test beside the driver's lookup tables."""
+
+    def __init__(self, spark, stations, series):
+        self.lookups = DriverTables(spark, SF_SMALL)
+        site = "Compartimento string, ALIAS_BACINO string, ALIAS_STAZIONE string"
+        self.rows = (spark.createDataFrame([(*s, "9,1", "45,2", "10.5", i) for i, s in enumerate(stations)],
+                                           f"{site}, X_LONG string, Y_LAT string, Z_MSLM string, _ord long"),
+                     spark.createDataFrame([(*s, "1", i) for i, s in enumerate(series)],
+                                           f"{site}, GRANDEZZA string, VERSION string, _ord long"))
+
+    def stations(self):
+        return self.rows[0]
+
+    def series(self):
+        return self.rows[1]
+
+    def __getattr__(self, name):
+        return getattr(self.lookups, name)
+
+
+def test_one_pass_plans_the_keys_of_a_large_catalogue(spark, monkeypatch):
+    from tidewater.plans import catalog
+    from tidewater.plans.registry import datastream_qualifiers
+    here = ("ASIA", "INDIA", "S1")
+    src = SiteRows(spark, [here, here, ("ASIA", "INDIA ", "S2"), ("ASIA", "CHINA", "S1")],
+                   [(*here, "view"), (*here, "view"), (*here, "error"), ("ASIA", "INDIA", " S2", "purchase"),
+                    ("ASIA", None, "S2", "view"), ("ASIA", "INDIA", "S9", "view"), ("ASIA", "CHINA", "S1", "unheard of")])
+    want = sorted(map(tuple, Catalog(src).mapped_datastreams().collect()))
+    assert [r[4] for r in want] == ["ASIA-INDIA-S1-view", "ASIA-INDIA-S2-purchase"]
+    kept = datastream_qualifiers(spark, SF_SMALL)
+    assert "InMemoryTableScan" in plan_of(kept)
+    monkeypatch.setattr(catalog, "KEPT_BYTES", -1)
+    got = Catalog(src).mapped_datastreams()
+    assert sorted(map(tuple, got.collect())) == want
+    plan = plan_of(got.select(*catalog.DS_KEYS, "datastream_key"))
+    assert not re.search("ArrowEvalPython|Window|InMemoryTableScan", plan)
+    monkeypatch.delitem(spark._tidewater_catalogs, SF_SMALL)
+    planned = datastream_qualifiers(spark, SF_SMALL)
+    assert "ArrowEvalPython" not in plan_of(planned)
+    assert sorted(map(tuple, planned.collect())) == sorted(map(tuple, kept.collect())) != []
+
+
+def test_a_blank_station_key_fails_a_planned_catalogue_too(spark, monkeypatch):
+    import pytest
+
+    from tidewater.plans import catalog
+    monkeypatch.setattr(catalog, "KEPT_BYTES", -1)
+    for blank in (None, " "):
+        with pytest.raises(Exception, match="blank key"):
+            Catalog(SiteRows(spark, [("ASIA", "INDIA", "S1"), ("ASIA", "INDIA", blank)], [("ASIA", "INDIA", "S1", "view")])).mapped_datastreams()
+
+
+def test_a_hash_table_of_one_task_is_bounded(spark):
+    from tidewater.operators.joins import bounded_hash, input_bytes
+    a, n = spark.range(9), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "shuffle_hash" in str(bounded_hash(a, 100 * n, 100)._jdf.queryExecution().logical())
+    assert "shuffle_hash" not in str(bounded_hash(a, 101 * n, 100)._jdf.queryExecution().logical())
+    wide = a.join(a.withColumnRenamed("id", "b"))
+    assert input_bytes(wide) == 2 * input_bytes(a)
+
+
+def test_only_one_column_of_own_text_checks_crosses_to_a_large_catalogue(spark, monkeypatch):
+    from tidewater.plans import catalog, mapping
+    monkeypatch.setattr(catalog, "KEPT_BYTES", -1)
+    mapped = mapping.map_all(Catalog(DriverTables(spark, SF_SMALL)), once=True).select("reject_reason", "datastream_key")
+    dealt = next(x for x in plan_of(mapped).split("Exchange hashpartitioning(COMPARTIMENTO")[1:] if "events.parquet" in x)
+    top = re.search(r"Project \[(.*)", dealt).group(1).split("CASE")[0]
+    assert "GRANDEZZA#" in top and not re.search("year#|result#| VALORE#", top)
+
+
+def test_hour_text_is_split_as_by_split_part(spark):
+    from tidewater.functions.time import split_hour
+    t = spark.createDataFrame([(x,) for x in ("7:05", "24:00", "1:2:3", ":", ":5", "5:", "a:b", "::4", "12", "", " 8 : 9 ", "-1:60",
+                                              "9:é", "99999999999:1", None)], "t string")
+    old = [F.when(F.instr("t", ":") > 0, F.split_part("t", F.lit(":"), F.lit(i)).try_cast("int")) for i in (1, 2)]
+    got = t.select(*split_hour("t"), *old).collect()
+    assert len(got) == 15 and all((r[0], r[1]) == (r[2], r[3]) for r in got)

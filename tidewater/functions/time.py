@@ -39,8 +39,8 @@ def split_hour(text) -> tuple[Column, Column]:
     part is not a number (P7)."""
     t = _c(text)
     has_colon = F.instr(t, ":") > 0
-    h = F.when(has_colon, F.split_part(t, F.lit(":"), F.lit(1)).try_cast("int"))
-    m = F.when(has_colon, F.split_part(t, F.lit(":"), F.lit(2)).try_cast("int"))
+    h = F.when(has_colon, F.substring_index(t, ":", 1).try_cast("int"))
+    m = F.when(has_colon, F.substring_index(F.substring_index(t, ":", 2), ":", -1).try_cast("int"))
     return h, m
 
 

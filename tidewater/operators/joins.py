@@ -30,6 +30,17 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Estimated size of what a plan reads, without what its joins make of it
+    (None when unavailable)."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception as e:  # pragma: no cover - Spark Connect has no JVM handle
+        log.warning("no input size, keeping the tables: %s", e)
+        return None
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a size check; unhinted beyond the bound."""
     size = estimated_bytes(df)
@@ -38,6 +49,18 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     return df
 
 
+# Ceiling for a hash table that one task of a shuffled join holds: 256 MiB.
+DEFAULT_HASHED_BYTES = 256 * 1024 * 1024
+
+
+def bounded_hash(df: DataFrame, size: int, max_bytes: int = DEFAULT_HASHED_BYTES) -> DataFrame:
+    """Hint to join by shuffle and hash, without sorting either side, when the
+    share of one shuffle partition in ``size`` bytes is under a bound; unhinted
+    (sorted, may spill) beyond it. For keys that hardly repeat."""
+    share = size // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash") if share <= max_bytes else df
+
+
 def semi_join(facts: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
     """Facts whose key exists in ``keys_df``."""
     return facts.join(bounded_broadcast(keys_df.select(*keys).distinct()), keys, "left_semi")

@@ -35,17 +35,21 @@ def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.filter(F.assert_true(~blank, F.lit("blank key in lookup table")).isNull())
 
 
-def keyed_table(df: DataFrame, keys: list[str], order: str = "_ord", strict: bool = True) -> DataFrame:
-    """S1 + W5: key-checked table, repeated key -> last row wins. With
-    ``strict=False`` rows with a blank key part are dropped instead of
-    failing (the series file, whose blank-basin rows only path B uses)."""
+def key_rows(df: DataFrame, keys: list[str], strict: bool = True) -> DataFrame:
+    """Key-checked rows. With ``strict=False`` rows with a blank key part are
+    dropped instead of failing (the series file, whose blank-basin rows only
+    path B uses)."""
     if strict:
-        t = require_keys(df, keys)
-    else:
-        t = df
-        for k in keys:
-            t = t.withColumn(k, F.trim(F.col(k)))
-        t = t.filter(" AND ".join(f"coalesce(`{k}`, '') <> ''" for k in keys))
+        return require_keys(df, keys)
+    t = df
+    for k in keys:
+        t = t.withColumn(k, F.trim(F.col(k)))
+    return t.filter(" AND ".join(f"coalesce(`{k}`, '') <> ''" for k in keys))
+
+
+def keyed_table(df: DataFrame, keys: list[str], order: str = "_ord", strict: bool = True) -> DataFrame:
+    """S1 + W5: key-checked table, repeated key -> last row wins."""
+    t = key_rows(df, keys, strict)
     if order in t.columns:
         return last_wins(t, keys, [order])
     return t.dropDuplicates(keys)

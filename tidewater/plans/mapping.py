@@ -20,7 +20,7 @@ Reject reasons, in the order the reference checks them:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import ids
@@ -42,30 +42,39 @@ def typed(raw: DataFrame) -> DataFrame:
         "result": decimal_comma_lenient("VALORE")})
 
 
-def map_all(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
-    """Every raw row with its mapping or its ``reject_reason``."""
+def own_reason() -> Column:
+    """The reject reason that a typed row gives by its own text, else NULL."""
+    return (F.when(F.col("year").isNull() | F.col("month").isNull() | F.col("day").isNull(), "bad_date_part")
+            .when(F.col("hour").isNull() | F.col("minute").isNull(), "bad_hour")
+            .when(F.col("result").isNull(), "bad_value")
+            .when(F.col("_local").isNull(), "invalid_datetime"))
+
+
+def map_all(cat: Catalog, raw: DataFrame | None = None, once: bool = False) -> DataFrame:
+    """Every raw row with its mapping or its ``reject_reason``. ``once``: the
+    caller reads the result a single time and the catalogue nowhere else
+    (``Catalog.mapped_datastreams``)."""
     raw = cat.source.raw_observations() if raw is None else raw
     meta = cat.meta
-    ds = cat.datastreams().select(*DS_KEYS, "datastream_key", "datastream_id", "obs_hash_state",
-                                  F.lit(True).alias("_known"))
+    ds = (cat.mapped_datastreams() if once else cat.datastreams()).select(
+        *DS_KEYS, "datastream_key", "datastream_id", "obs_hash_state", F.lit(True).alias("_known"))
     comp = cat.compartments().select("COMPARTIMENTO", F.col("NOME_COMPARTIMENTO").alias("district"))
     orgs = cat.organisations().select(
         "SIGLA_ENTE_COMPILATORE", F.col("NOME_ENTE_COMPILATORE").alias("editor_organization"),
         F.col("RUOLO_ENTE_COMPILATORE").alias("editor_role"))
     flags = cat.flag_labels()
 
-    t = typed(raw)
+    # what a row's own text decides is decided before the lookups, so that one
+    # column of it crosses the shuffle to a large catalogue
+    t = typed(raw).withColumn("_local", local_wall_time("year", "month", "day", "hour", "minute"))
+    t = t.withColumn("_own_reason", own_reason())
     t = (t.join(bounded_broadcast(ds), DS_KEYS, "left")
          .join(bounded_broadcast(flags), "FLAG_VALORE", "left")
          .join(bounded_broadcast(comp), "COMPARTIMENTO", "left")
          .join(bounded_broadcast(orgs), "SIGLA_ENTE_COMPILATORE", "left"))
-    t = t.withColumn("_local", local_wall_time("year", "month", "day", "hour", "minute"))
     reason = (F.when(F.col("ALIAS_STAZIONE").isNull(), "unknown_station")
               .when(F.col("_known").isNull(), "unknown_series")
-              .when(F.col("year").isNull() | F.col("month").isNull() | F.col("day").isNull(), "bad_date_part")
-              .when(F.col("hour").isNull() | F.col("minute").isNull(), "bad_hour")
-              .when(F.col("result").isNull(), "bad_value")
-              .when(F.col("_local").isNull(), "invalid_datetime")
+              .when(F.col("_own_reason").isNotNull(), F.col("_own_reason"))
               .when(F.col("district").isNull(), "unknown_compartment")
               .when(F.col("editor_organization").isNull(), "unknown_organisation"))
     utc = local_to_utc("_local", cat.time_zone)
@@ -96,13 +105,13 @@ def rejects(mapped: DataFrame) -> DataFrame:
     return mapped.filter(F.col("reject_reason").isNotNull())
 
 
-def map_observations(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
-    return good(map_all(cat, raw))
+def map_observations(cat: Catalog, raw: DataFrame | None = None, once: bool = False) -> DataFrame:
+    return good(map_all(cat, raw, once))
 
 
 def reject_counts(cat: Catalog, raw: DataFrame | None = None) -> DataFrame:
     """Rejects per reason (the reference logs them one line per row)."""
-    return (rejects(map_all(cat, raw)).groupBy("reject_reason")
+    return (rejects(map_all(cat, raw, once=True)).groupBy("reject_reason")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
