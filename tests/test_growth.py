@@ -138,3 +138,17 @@ def test_hour_text_is_split_as_by_split_part(spark):
     old = [F.when(F.instr("t", ":") > 0, F.split_part("t", F.lit(":"), F.lit(i)).try_cast("int")) for i in (1, 2)]
     got = t.select(*split_hour("t"), *old).collect()
     assert len(got) == 15 and all((r[0], r[1]) == (r[2], r[3]) for r in got)
+
+
+def test_files_are_broadcast_by_what_their_rows_unfold_to(spark, tmp_path):
+    from tidewater.operators import joins
+    spark.range(400_000).select("id", F.lit("a").alias("name"), F.lit(None).cast("double").alias("v")).coalesce(1).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t").select("id", "name")
+    hinted = lambda df, most: "hint" in joins.bounded_broadcast(df, most)._jdf.queryExecution().logical().toString().lower()
+    bound = 4 * joins.estimated_bytes(t)
+    assert joins.SMALL_FILE_BYTES < joins.estimated_bytes(t) and bound < 400_000 * 40
+    assert not hinted(t, bound)                                          # the files fit the bound, their rows do not
+    assert hinted(t, 400_000 * 44) and hinted(t.filter("id < 5"), bound)
+    assert joins.file_rows_bytes(t) == 400_000 * (2 * 8 + 8 + 20)
+    for other in (t.distinct(), t.join(t.select("id"), "id"), spark.range(9)):
+        assert joins.file_rows_bytes(other) is None                      # not counted: that would run the plan twice
