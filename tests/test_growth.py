@@ -152,3 +152,22 @@ def test_files_are_broadcast_by_what_their_rows_unfold_to(spark, tmp_path):
     assert joins.file_rows_bytes(t) == 400_000 * (2 * 8 + 8 + 20)
     for other in (t.distinct(), t.join(t.select("id"), "id"), spark.range(9)):
         assert joins.file_rows_bytes(other) is None                      # not counted: that would run the plan twice
+
+
+def test_observations_meet_many_stations_by_shuffle(spark, tmp_path):
+    from tidewater.operators import joins
+    n = 1_000_000                                        # 72 MB as rows, a few MB as a file
+    spark.range(n).select(F.col("id").alias("c_custkey"), F.format_string("Customer#%09d", "id").alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+                          F.lit(1.5).alias("c_acctbal"), F.lit("MACHINERY").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    src = DriverTables(spark, str(tmp_path))
+    customers = src.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    assert 1 << 20 < joins.estimated_bytes(customers) < joins.DEFAULT_BROADCAST_BYTES
+    events = spark.createDataFrame([(5, 7), (6, n - 1), (7, n), (8, None), (9, 7)], "event_id long, user_id long").selectExpr(
+        "event_id", "timestamp'2024-01-01 00:00:00' AS ts", "user_id", "'view' AS event_type", "1.5D AS value", "'{\"k\": 2}' AS props")
+    raw = src.raw_observations(events)
+    hinted = [h.split("Relation", 1)[1].split("]")[0] for h in raw._jdf.queryExecution().analyzed().toString().split("ResolvedHint")[1:]]
+    assert len(hinted) == 2 and not any("c_custkey" in h for h in hinted)
+    assert [tuple(r) for r in raw.select("_ord", "ALIAS_STAZIONE").orderBy("_ord").collect()] == [
+        (5, "Customer#000000007"), (6, f"Customer#{n - 1:09d}"), (7, None), (8, None), (9, "Customer#000000007")]
